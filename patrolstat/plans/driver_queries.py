@@ -161,3 +161,211 @@ def q_bucket_counts_by_group(spark, sf_dir):
     FROM c, t""")
 def q_bucket_shares(spark, sf_dir):
     return A.bucket_shares(A.bucket_counts(incidents(spark, sf_dir)))
+
+
+# --- parsing and ingest -----------------------------------------------------------
+
+from patrolstat.operators import joins as J  # noqa: E402
+from patrolstat.operators.nearest import nearest_centroid  # noqa: E402
+from patrolstat.operators.stitch import segment_stitch  # noqa: E402
+from patrolstat.sources import readers as R  # noqa: E402
+
+RAW = f"({S.raw_incidents_sql()})"
+TAGGED_FIELDS = ["incident_id", "incident_date", "incident_time", "incident_year", "day_of_week",
+                 "incident_code", "category", "district"]
+
+# Fixed-width layout of the rendered order records (0-based, end exclusive).
+ORDER_LAYOUT = {"o_orderkey": (0, 12), "o_custkey": (12, 24), "o_orderstatus": (24, 25),
+                "o_orderpriority": (25, 40)}
+
+
+@register("fixed_width_parse", """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders""")
+def q_fixed_width_parse(spark, sf_dir):
+    """Orders rendered as fixed-width lines, cut back into typed fields."""
+    o = S.table(spark, sf_dir, "orders")
+    lines = o.select(F.format_string("%012d%012d%-1s%-15s", "o_orderkey", "o_custkey",
+                                     "o_orderstatus", "o_orderpriority").alias("value"))
+    cut = R.parse_fixed_width(lines, ORDER_LAYOUT)
+    return cut.select(P.safe_int("o_orderkey").alias("o_orderkey") if False else
+                      F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),
+                      F.col("o_custkey").try_cast("bigint").alias("o_custkey"),
+                      "o_orderstatus", F.rtrim("o_orderpriority").alias("o_orderpriority"))
+
+
+@register("quoted_csv_parse", f"""
+    SELECT incident_id, zip, incident_date, incident_time, category, district FROM {RAW} r""")
+def q_quoted_csv_parse(spark, sf_dir):
+    """CSV lines whose category holds commas inside quotes, parsed field-exact."""
+    raw = S.raw_incidents(spark, sf_dir)
+    cols = ["incident_id", "zip", "incident_date", "incident_time", "category", "district"]
+    lines = raw.select(F.to_csv(F.struct(*cols)).alias("value"))
+    schema = "incident_id bigint, zip string, incident_date string, incident_time string, " \
+             "category string, district string"
+    return lines.select(R.parse_csv_column("value", schema).alias("r")).select("r.*")
+
+
+@register("empty_to_null", f"""
+    SELECT incident_id,
+      CASE WHEN incident_date = 'null' THEN NULL ELSE incident_date END AS incident_date,
+      CASE WHEN incident_time = 'null' THEN NULL ELSE incident_time END AS incident_time,
+      CASE WHEN day_of_week = 'null' THEN NULL ELSE day_of_week END AS day_of_week,
+      CASE WHEN incident_code = 'null' THEN NULL ELSE incident_code END AS incident_code
+    FROM {RAW} r""")
+def q_empty_to_null(spark, sf_dir):
+    """Lines with empty and blank fields (as in the raw export) -> NULLs."""
+    raw = S.raw_incidents(spark, sf_dir)
+    blank = {"incident_date": "", "incident_time": "", "day_of_week": "  ", "incident_code": " "}
+    rendered = raw.select("incident_id", *[
+        F.when(F.col(c) == "null", F.lit(v)).otherwise(F.col(c)).alias(c) for c, v in blank.items()])
+    lines = rendered.select(F.concat_ws(",", *[F.col(c).cast("string") for c in rendered.columns])
+                            .alias("value"))
+    schema = "incident_id bigint, " + ", ".join(f"{c} string" for c in blank)
+    parsed = lines.select(R.parse_csv_column("value", schema).alias("r")).select("r.*")
+    return C.normalize_missing(parsed, list(blank))
+
+
+@register("bracket_strip", f"""
+    SELECT zip, {', '.join(TAGGED_FIELDS)} FROM
+    (SELECT CAST(incident_id AS VARCHAR) AS incident_id, * EXCLUDE (incident_id) FROM {RAW} r) t""")
+def q_bracket_strip(spark, sf_dir):
+    """Zip-tagged text ``(zip,<csv>)``: brackets stripped, zip and fields split off."""
+    raw = S.raw_incidents(spark, sf_dir)
+    body = F.to_csv(F.struct(*[F.col(c).cast("string") for c in TAGGED_FIELDS]))
+    lines = raw.select(F.concat(F.lit("("), F.col("zip"), F.lit(","), body, F.lit(")")).alias("value"))
+    return R.parse_tagged_lines(lines, TAGGED_FIELDS)
+
+
+@register("split_pick", """
+    SELECT p_partkey, string_split(p_name, ' ')[1] AS word1, string_split(p_name, ' ')[2] AS word2,
+           string_split(p_name, ' ')[3] AS word3 FROM part""")
+def q_split_pick(spark, sf_dir):
+    p = S.table(spark, sf_dir, "part")
+    return p.select("p_partkey", *[P.split_pick("p_name", " ", i).alias(f"word{i + 1}") for i in range(3)])
+
+
+@register("safe_int_cast", f"""
+    SELECT incident_id, TRY_CAST(zip AS INTEGER) AS zip_number, TRY_CAST(incident_code AS INTEGER) AS code,
+           TRY_CAST(incident_year AS INTEGER) AS year, TRY_CAST(category AS INTEGER) AS category_number
+    FROM {RAW} r""")
+def q_safe_int_cast(spark, sf_dir):
+    raw = S.raw_incidents(spark, sf_dir)
+    return raw.select("incident_id", P.safe_int("zip").alias("zip_number"),
+                      P.safe_int("incident_code").alias("code"), P.safe_int("incident_year").alias("year"),
+                      P.safe_int("category").alias("category_number"))
+
+
+NATION_HEADER = "n_nationkey,n_name,n_regionkey"
+
+
+@register("header_row_drop", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def q_header_row_drop(spark, sf_dir):
+    """Two 'files' of nation lines, the first with its header line; header dropped."""
+    n = S.table(spark, sf_dir, "nation")
+    body = n.select(F.concat_ws(",", "n_nationkey", "n_name", "n_regionkey").alias("value"))
+    header = n.agg(F.lit(NATION_HEADER).alias("value"))
+    lines = A.union_sources(header, body)
+    kept = C.drop_header_rows(lines, {"value": NATION_HEADER})
+    return kept.select(R.parse_csv_column("value", "n_nationkey int, n_name string, n_regionkey int")
+                       .alias("r")).select("r.*")
+
+
+# --- joins ----------------------------------------------------------------------------
+
+@register("semi_join_filter", """
+    SELECT * FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'SMALL')""")
+def q_semi_join_filter(spark, sf_dir):
+    """Line items whose part is in the key list of SMALL parts."""
+    li = S.table(spark, sf_dir, "lineitem")
+    keys = S.table(spark, sf_dir, "part").filter(F.col("p_type") == "SMALL").select("p_partkey")
+    return J.semi_join_filter(li, keys, key="l_partkey", keys_key="p_partkey")
+
+
+@register("enrich_join", """
+    SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, c.c_name, c.c_mktsegment, c.c_nationkey
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""")
+def q_enrich_join(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    c = S.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"),
+                                                  "c_name", "c_mktsegment", "c_nationkey")
+    return J.enrich_join(c, o, key="o_custkey")
+
+
+@register("rekey_join", """
+    SELECT c.c_nationkey, o.o_custkey, o.o_orderkey, o.o_orderstatus
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""")
+def q_rekey_join(spark, sf_dir):
+    """Order records re-keyed from customer key to the customer's nation key."""
+    o = S.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    m = S.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    return J.rekey_join(o, m, old_key="o_custkey", new_key="c_nationkey")
+
+
+SEGMENTS = ("p_name", "p_brand", "p_type", "p_size")
+
+
+@register("segment_stitch", """
+    SELECT p_partkey, p_name || ',' || p_brand || ',' || p_type || ',' || CAST(p_size AS VARCHAR) || ','
+           AS record
+    FROM part WHERE p_size <= 45""")
+def q_segment_stitch(spark, sf_dir):
+    """Part attributes as 4 numbered segment records (segment 3 missing for p_size > 45)."""
+    p = S.table(spark, sf_dir, "part")
+    segs = p.select("p_partkey", "p_size", F.explode(F.array(*[
+        F.struct(F.lit(i + 1).alias("segment"), F.col(c).cast("string").alias("payload"))
+        for i, c in enumerate(SEGMENTS)])).alias("s")) \
+        .filter(~((F.col("s.segment") == 3) & (F.col("p_size") > 45))) \
+        .select("p_partkey", "s.segment", "s.payload")
+    return segment_stitch(segs, key="p_partkey", segment="segment", payload="payload",
+                          n_segments=len(SEGMENTS))
+
+
+@register("nearest_centroid", """
+    WITH c AS (SELECT label AS zone, vec_id AS ord, CAST(embedding[1] AS DOUBLE) AS cx,
+                      CAST(embedding[2] AS DOUBLE) AS cy
+               FROM embeddings e WHERE vec_id = (SELECT min(vec_id) FROM embeddings e2 WHERE e2.label = e.label)),
+    p AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS px, CAST(embedding[2] AS DOUBLE) AS py FROM embeddings),
+    d AS (SELECT p.vec_id, c.zone, c.ord, (c.cx - p.px) * (c.cx - p.px) + (c.cy - p.py) * (c.cy - p.py) AS d2
+          FROM p, c),
+    r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, ord) AS rn FROM d)
+    SELECT vec_id, zone, sqrt(d2) AS distance FROM r WHERE rn = 1""")
+def q_nearest_centroid(spark, sf_dir):
+    """Each embedding's first two dims as a point; centroid per label = its lowest vec_id."""
+    e = S.table(spark, sf_dir, "embeddings")
+    pts = e.select("vec_id", F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y"))
+    firsts = A.dedup_keep_first(e.select("label", "vec_id", "embedding"), key="label", order_by="vec_id")
+    cents = firsts.select(F.col("label").alias("zone"), F.col("vec_id").alias("ord"),
+                          F.col("embedding")[0].alias("cx"), F.col("embedding")[1].alias("cy"))
+    out = nearest_centroid(pts, cents, "x", "y", "cx", "cy", zone="zone", order="ord",
+                           max_distance=10000.0, point_id="vec_id")
+    return out.select("vec_id", "zone", "distance")
+
+
+# --- dedup, first-seen, union ---------------------------------------------------------
+
+_LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("dedup_keep_first", f"""
+    SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber
+      NULLS FIRST, {', '.join(c + ' NULLS FIRST' for c in _LI_REST)}) AS rn FROM lineitem) t WHERE rn = 1""")
+def q_dedup_keep_first(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem")
+    return A.dedup_keep_first(li, key="l_orderkey", order_by="l_linenumber")
+
+
+@register("distinct_first_seen", """
+    SELECT event_type, min(event_id) AS first_seen FROM events GROUP BY event_type""")
+def q_distinct_first_seen(spark, sf_dir):
+    return A.distinct_first_seen(S.table(spark, sf_dir, "events"), value="event_type", order_by="event_id")
+
+
+@register("union_all_sources", """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
+def q_union_all_sources(spark, sf_dir):
+    """Orders arriving as two files (finished / other), columns in different order."""
+    o = S.table(spark, sf_dir, "orders")
+    first = o.filter(F.col("o_orderstatus") == "F")
+    second = o.filter(~(F.col("o_orderstatus") == "F")).select(*reversed(o.columns))
+    return A.union_sources(first, second)
