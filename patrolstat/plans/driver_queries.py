@@ -369,3 +369,249 @@ def q_union_all_sources(spark, sf_dir):
     first = o.filter(F.col("o_orderstatus") == "F")
     second = o.filter(~(F.col("o_orderstatus") == "F")).select(*reversed(o.columns))
     return A.union_sources(first, second)
+
+
+# --- features ---------------------------------------------------------------------------
+
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from patrolstat.operators import features as FE  # noqa: E402
+from patrolstat.operators import metrics as ME  # noqa: E402
+from patrolstat.operators import models as MO  # noqa: E402
+
+
+def _weekdays(spark, sf_dir):
+    e = S.table(spark, sf_dir, "events")
+    return e.select("event_id", F.date_format("ts", "EEEE").alias("day_of_week"))
+
+
+def _freq_rank_sql(src: str, col: str) -> str:
+    return (f"(SELECT {col}, CAST(row_number() OVER (ORDER BY c DESC, {col}) - 1 AS DOUBLE) AS idx "
+            f"FROM (SELECT {col}, count(*) AS c FROM {src} GROUP BY {col}) f)")
+
+
+@register("frequency_index", f"""
+    SELECT e.event_id, e.event_type, r.idx AS type_index
+    FROM events e JOIN {_freq_rank_sql('events', 'event_type')} r USING (event_type)""")
+def q_frequency_index(spark, sf_dir):
+    e = S.table(spark, sf_dir, "events").select("event_id", "event_type")
+    return FE.frequency_index(e, "event_type", "type_index", keep_invalid=False)
+
+
+_DOW_SQL = "(SELECT event_id, dayname(ts) AS day_of_week FROM events)"
+
+
+def _one_hot_sql(idx: str, k: str) -> str:
+    return f"list_transform(range(CAST({k} - 1 AS BIGINT)), lambda x: CAST({idx} = x AS DOUBLE))"
+
+
+@register("one_hot", f"""
+    WITH d AS {_DOW_SQL}, r AS {_freq_rank_sql('d', 'day_of_week')}, n AS (SELECT count(*) AS k FROM r)
+    SELECT d.event_id, d.day_of_week, {_one_hot_sql('r.idx', 'n.k')} AS day_vec
+    FROM d JOIN r USING (day_of_week), n""")
+def q_one_hot(spark, sf_dir):
+    """Weekday -> frequency index -> one-hot (last category dropped), as an array."""
+    d = FE.frequency_index(_weekdays(spark, sf_dir), "day_of_week", "day_idx", keep_invalid=False)
+    d = FE.one_hot(d, "day_idx", "day_vec_v")
+    return d.select("event_id", "day_of_week", vector_to_array("day_vec_v").alias("day_vec"))
+
+
+@register("dummy_columns", "SELECT event_id, " + ", ".join(
+    f"CAST(dayname(ts) = '{d}' AS INTEGER) AS {d}" for d in FE.WEEKDAYS) + " FROM events")
+def q_dummy_columns(spark, sf_dir):
+    return FE.weekday_dummies(_weekdays(spark, sf_dir), "day_of_week").drop("day_of_week")
+
+
+_TRAIN_SQL = f"""(SELECT incident_id, TRY_CAST(zip AS INTEGER) AS zipcode, month, day AS date, hour, minute,
+    year, day_of_week AS dayOfWeek, weight AS label FROM {INC} i WHERE {_USABLE_SQL})"""
+
+
+def training_rows(spark, sf_dir):
+    return MO.training_frame(incidents(spark, sf_dir), keep=["incident_id"])
+
+
+@register("assemble_features", f"""
+    WITH t AS {_TRAIN_SQL}, r AS {_freq_rank_sql('t', 'dayOfWeek')}, n AS (SELECT count(*) AS k FROM r)
+    SELECT t.incident_id, list_concat({_one_hot_sql('r.idx', 'n.k')},
+      [CAST(zipcode AS DOUBLE), CAST(month AS DOUBLE), CAST(date AS DOUBLE), CAST(hour AS DOUBLE),
+       CAST(minute AS DOUBLE), CAST(year AS DOUBLE)]) AS features
+    FROM t JOIN r USING (dayOfWeek), n""")
+def q_assemble_features(spark, sf_dir):
+    """Weekday vector + zipcode, month, date, hour, minute, year in one feature vector."""
+    t = training_rows(spark, sf_dir)
+    t = FE.frequency_index(t, "dayOfWeek", "dayOfWeekIndex", keep_invalid=False)
+    t = FE.one_hot(t, "dayOfWeekIndex", "dayOfWeekVec")
+    t = FE.assemble(t, ["dayOfWeekVec", *FE.NUMERIC_FEATURES], "features_v")
+    return t.select("incident_id", vector_to_array("features_v").alias("features"))
+
+
+@register("key_split", """
+    SELECT event_id, CASE WHEN (event_id * 7919 + 13) % 100 < 70 THEN 'train' ELSE 'test' END AS split
+    FROM events""")
+def q_key_split(spark, sf_dir):
+    e = S.table(spark, sf_dir, "events").select("event_id")
+    return FE.key_split(e, "event_id", 70, method="modular")
+
+
+# --- evaluation (lineitem: true class = line number, rule-based prediction) ---------------
+
+_PRED_SQL = """(SELECT CAST(l_linenumber AS DOUBLE) AS label,
+    CAST(LEAST(7, floor(l_quantity / 7) + 1) AS DOUBLE) AS prediction FROM lineitem)"""
+
+
+def _pred_pairs(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_linenumber").cast("double").alias("label"),
+                     F.least(F.lit(7), F.floor(F.col("l_quantity") / 7) + 1).cast("double").alias("prediction"))
+
+
+@register("confusion_matrix", f"""
+    SELECT label, prediction, count(*) AS count FROM {_PRED_SQL} p GROUP BY label, prediction""")
+def q_confusion_matrix(spark, sf_dir):
+    return ME.confusion_counts(_pred_pairs(spark, sf_dir))
+
+
+_SUMMARY_SQL = f"""
+    WITH conf AS (SELECT label, prediction, count(*) AS count FROM {_PRED_SQL} p GROUP BY ALL),
+    pl AS (SELECT label, CAST(sum(count) AS BIGINT) AS support,
+                  CAST(coalesce(sum(count) FILTER (WHERE label = prediction), 0) AS BIGINT) AS tp
+           FROM conf GROUP BY label),
+    s AS (SELECT CAST(sum(support) AS BIGINT) AS n, CAST(sum(tp) AS BIGINT) AS correct,
+                 max(support) AS majority_support FROM pl)"""
+
+
+@register("accuracy", _SUMMARY_SQL + """
+    SELECT n, correct, CAST(correct AS DOUBLE) / CAST(n AS DOUBLE) AS accuracy,
+           CAST(majority_support AS DOUBLE) / CAST(n AS DOUBLE) AS majority_share FROM s""")
+def q_accuracy(spark, sf_dir):
+    return ME.summary_metrics(_pred_pairs(spark, sf_dir)).select("n", "correct", "accuracy", "majority_share")
+
+
+@register("weighted_recall", _SUMMARY_SQL + """
+    SELECT n, CAST(correct AS DOUBLE) / CAST(n AS DOUBLE) AS weighted_recall FROM s""")
+def q_weighted_recall(spark, sf_dir):
+    return ME.summary_metrics(_pred_pairs(spark, sf_dir)).select("n", "weighted_recall")
+
+
+@register("metrics_by_label", f"""
+    WITH conf AS (SELECT label, prediction, count(*) AS count FROM {_PRED_SQL} p GROUP BY ALL),
+    tot AS (SELECT sum(count) AS n FROM conf),
+    pl AS (SELECT label, CAST(sum(count) AS BIGINT) AS support,
+                  CAST(coalesce(sum(count) FILTER (WHERE label = prediction), 0) AS BIGINT) AS tp
+           FROM conf GROUP BY label),
+    pp AS (SELECT prediction AS label, CAST(sum(count) AS BIGINT) AS predicted FROM conf GROUP BY prediction),
+    m AS (SELECT pl.label, pl.support, pl.tp, coalesce(pp.predicted, 0) AS predicted FROM pl LEFT JOIN pp USING (label)),
+    q AS (SELECT label, support, tp, predicted - tp AS fp, predicted,
+            CASE WHEN predicted = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / CAST(predicted AS DOUBLE) END AS precision,
+            CAST(tp AS DOUBLE) / CAST(support AS DOUBLE) AS recall,
+            coalesce(CAST(predicted - tp AS DOUBLE) / NULLIF(CAST(tot.n AS DOUBLE) - CAST(support AS DOUBLE), 0), 0.0)
+              AS fpr
+          FROM m, tot)
+    SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
+                   ELSE 2.0 * precision * recall / (precision + recall) END AS f1 FROM q""")
+def q_metrics_by_label(spark, sf_dir):
+    return ME.label_metrics(_pred_pairs(spark, sf_dir))
+
+
+# --- models (rows-only checks: no value oracle for fitted models) ---------------------------
+
+def _split_training(spark, sf_dir):
+    t = FE.key_split(training_rows(spark, sf_dir), "incident_id", 70, method="hash")
+    return t.filter(F.col("split") == "train").drop("split"), t.filter(F.col("split") == "test").drop("split")
+
+
+def _fit_predict(spark, sf_dir, classifier):
+    train, test = _split_training(spark, sf_dir)
+    model = MO.fit(MO.classification_pipeline(classifier), train)
+    return MO.predictions(model, test, keep=["incident_id"])
+
+
+@register("rf_predict")
+def q_rf_predict(spark, sf_dir):
+    """Random forest (10 trees, depth 5) fitted on the train split, scored on the test split."""
+    return _fit_predict(spark, sf_dir, MO.random_forest(num_trees=10, max_depth=5))
+
+
+@register("dt_predict")
+def q_dt_predict(spark, sf_dir):
+    return _fit_predict(spark, sf_dir, MO.decision_tree(max_depth=5))
+
+
+@register("lr_predict")
+def q_lr_predict(spark, sf_dir):
+    return _fit_predict(spark, sf_dir, MO.logistic_regression(max_iter=50))
+
+
+@register("lr_coefficients")
+def q_lr_coefficients(spark, sf_dir):
+    train, _ = _split_training(spark, sf_dir)
+    model = MO.fit(MO.classification_pipeline(MO.logistic_regression(max_iter=50)), train)
+    return MO.lr_coefficients(spark, model)
+
+
+@register("cv_scores")
+def q_cv_scores(spark, sf_dir):
+    """3-fold grid search (weighted recall) over a small random-forest grid."""
+    train, _ = _split_training(spark, sf_dir)
+    rf = MO.random_forest(num_trees=5, max_depth=3)
+    res = MO.cross_validate(MO.classification_pipeline(rf), rf, {"maxDepth": [3, 5], "numTrees": [5]},
+                            train, folds=3, parallelism=2)
+    return MO.cv_scores_frame(spark, res)
+
+
+@register("batch_score")
+def q_batch_score(spark, sf_dir):
+    """Fit on labelled train rows; score test-split rows with complete features, label or not."""
+    train, _ = _split_training(spark, sf_dir)
+    model = MO.fit(MO.classification_pipeline(MO.random_forest(num_trees=10, max_depth=5)), train)
+    inc = FE.key_split(incidents(spark, sf_dir), "incident_id", 70, method="hash")
+    unseen = inc.filter(F.col("split") == "test").select(
+        "incident_id", F.col("zip").try_cast("int").alias("zipcode"), F.col("month"), F.col("day").alias("date"),
+        "hour", "minute", "year", F.col("day_of_week").alias("dayOfWeek"), F.col("weight").alias("label")
+    ).dropna(subset=["zipcode", "month", "date", "hour", "minute", "year", "dayOfWeek"]) \
+        .filter(F.col("zipcode") != 0)
+    return model.transform(unseen).select("incident_id", F.col("prediction").cast("double").alias("prediction"))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """Fitted pipeline saved to the shared checkpoint folder, loaded back and used to score."""
+    import uuid
+
+    from patrolstat.session import ensure_checkpoint_dir
+    from patrolstat.sources.sinks import load_model, save_model
+    train, test = _split_training(spark, sf_dir)
+    model = MO.fit(MO.classification_pipeline(MO.decision_tree(max_depth=5)), train)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
+    save_model(model, path)
+    return MO.predictions(load_model(path), test, keep=["incident_id"])
+
+
+# --- rendering ----------------------------------------------------------------------------
+
+from patrolstat.operators.render import render_profile  # noqa: E402
+
+_CENSUS_LABELS = [("Name", "c_name"), ("Segment", "c_mktsegment")]
+
+
+def _profile_text_sql() -> str:
+    def ftxt(c: str) -> str:
+        return f"coalesce(CAST(CAST({c} AS FLOAT) AS VARCHAR), 'NaN')"
+    slots = []
+    for i in range(1, N_SLOTS + 1):
+        lo, hi = (i - 1) * 6, i * 6
+        slots.append(
+            f"'incidentCount(hour {lo} - {hi}): {{' || CAST(slot{i}_count AS VARCHAR) || "
+            f"'}}; averageIncidentWeight(hour {lo} - {hi}): {{' || {ftxt(f'slot{i}_mean_weight')} || "
+            f"'}}; theftCounts({lo} - {hi}): {{' || CAST(slot{i}_theft_count AS VARCHAR) || '}}'")
+    census = " || '; ' || ".join(f"'{label}: ' || coalesce(CAST({c} AS VARCHAR), 'null')"
+                                 for label, c in _CENSUS_LABELS)
+    body = " || '----' || ".join(["'totalIncidentCount: ' || CAST(total_count AS VARCHAR)"] + slots)
+    return (f"SELECT zip, '(' || zip || ',(censusData: {{' || {census} || '}},' || {body} || '))' "
+            f"AS profile_text FROM ({_slot_profile_sql()}) sp")
+
+
+@register("profile_text", _profile_text_sql())
+def q_profile_text(spark, sf_dir):
+    """The flagship slot profile rendered as labelled text records."""
+    return render_profile(q_slot_profile(spark, sf_dir), "zip", _CENSUS_LABELS)
