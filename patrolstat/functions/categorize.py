@@ -27,13 +27,14 @@ def _col(c: Column | str) -> Column:
 
 
 def severity_weight(category: Column | str) -> Column:
-    """Exact-match severity weight; unknown or NULL category -> 0."""
-    c = _col(category)
-    expr = None
-    for weight, cats in SEVERITY_WEIGHTS:
-        cond = c.isin(*cats)
-        expr = F.when(cond, F.lit(weight)) if expr is None else expr.when(cond, F.lit(weight))
-    return expr.otherwise(F.lit(UNKNOWN_WEIGHT)).cast("int")
+    """Exact-match severity weight; unknown or NULL category -> 0.
+
+    One lookup in a literal map (constant-folded), so the category is read
+    once per row however many weight classes the table has.
+    """
+    pairs = [F.lit(x) for w, cats in SEVERITY_WEIGHTS for c in cats for x in (c, w)]
+    return F.coalesce(F.element_at(F.create_map(*pairs), _col(category)),
+                      F.lit(UNKNOWN_WEIGHT)).cast("int")
 
 
 def keyword_bucket(category: Column | str) -> Column:

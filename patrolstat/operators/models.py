@@ -44,7 +44,7 @@ def training_frame(incidents: DataFrame, keep: list[str] | None = None) -> DataF
         F.col("year").cast("int").alias("year"),
         F.col("day_of_week").alias("dayOfWeek"),
         F.col("weight").cast("int").alias("label"),
-    ).dropna(subset=list(TRAINING_COLUMNS))
+    ).dropna(subset=["zipcode", "month", "date", "hour", "minute"])
 
 
 def random_forest(num_trees: int = 20, impurity: str = "gini", max_depth: int = 5,
@@ -70,9 +70,20 @@ def classification_pipeline(classifier) -> Pipeline:
     return Pipeline(stages=[*feature_stages(), classifier])
 
 
+def spread(train: DataFrame) -> DataFrame:
+    """Give an under-partitioned training set one partition per core.
+
+    Tree and gradient fits pass over the training set many times; one
+    round-robin shuffle up front lets every pass use all cores.  A training
+    set that already has enough partitions is left as it is.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(cores) if train.rdd.getNumPartitions() < cores else train
+
+
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     """Fit on a persisted training set; the cache is released afterwards."""
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipeline.fit(cached)
     finally:
@@ -102,7 +113,7 @@ def cross_validate(pipeline: Pipeline, estimator, grid: dict[str, list], train:
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps,
                         evaluator=MulticlassClassificationEvaluator(metricName=metric),
                         numFolds=folds, parallelism=parallelism, seed=seed)
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         t0 = time.perf_counter()
         model = cv.fit(cached)

@@ -14,6 +14,8 @@ exercised on every scale factor.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,18 +49,45 @@ def _sql_list(values: tuple[str, ...], *extra: str) -> str:
 
 # --- raw incidents (events) -------------------------------------------------
 
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zip-tagged raw incident fields (all text, ``'null'`` markers) from ``events``."""
+    """Zip-tagged raw incident fields (all text, ``'null'`` markers) from ``events``.
+
+    Real raw incidents are a file of plain text columns.  The stand-in is
+    therefore written once per session and scale factor as parquet under the
+    session's checkpoint folder and read back, so downstream jobs see plain
+    columns (not the expressions that derive them from ``events``).
+    """
+    from patrolstat.session import ensure_checkpoint_dir
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/standin/raw_incidents/{uuid.uuid4().hex}"
+        raw_incidents_plan(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
+
+
+def raw_incidents_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stand-in's derivation from ``events`` (see :func:`raw_incidents`)."""
     e = table(spark, sf_dir, "events")
     n_pool = len(CATEGORY_POOL) + 1
-    idx = F.pmod(F.col("event_id") * CATEGORY_STRIDE + F.col("user_id"), F.lit(n_pool))
-    pool = F.array(*[F.lit(c) for c in CATEGORY_POOL], F.col("event_type"))
+    idx = F.pmod(F.col("event_id") * CATEGORY_STRIDE + F.col("user_id"), F.lit(n_pool)).cast("int")
+    # The pool is a fixed 50-row lookup table (size bounded by construction);
+    # the category arrives as a plain column, as it does from a CSV file.
+    pool = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_idx"), F.lit(c).alias("_pool_category"))
+        for i, c in enumerate(CATEGORY_POOL)])))
     districts = F.array(*[F.lit(d) for d in DISTRICT_POOL])
 
     def marked(mod: int, value):
         return F.when(F.pmod(F.col("event_id"), F.lit(mod)) == 0, F.lit("null")).otherwise(value)
 
-    return e.select(
+    with_idx = e.withColumn("_idx", idx).join(F.broadcast(pool), on="_idx", how="left")
+    return with_idx.select(
         F.col("event_id").alias("incident_id"),
         F.when(F.pmod(F.col("event_id"), F.lit(MISSING_ZIP_MOD)) == 0, F.lit("00000"))
         .otherwise(F.col("user_id").cast("string")).alias("zip"),
@@ -66,8 +95,8 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
         marked(MISSING_TIME_MOD, F.date_format("ts", "HH:mm")).alias("incident_time"),
         F.year("ts").cast("string").alias("incident_year"),
         marked(MISSING_DOW_MOD, F.date_format("ts", "EEEE")).alias("day_of_week"),
-        marked(MISSING_CODE_MOD, F.lpad((idx + 1000).cast("string"), 5, "0")).alias("incident_code"),
-        F.element_at(pool, (idx + 1).cast("int")).alias("category"),
+        marked(MISSING_CODE_MOD, F.lpad((F.col("_idx") + 1000).cast("string"), 5, "0")).alias("incident_code"),
+        F.coalesce(F.col("_pool_category"), F.col("event_type")).alias("category"),
         F.element_at(districts, (F.pmod(F.col("user_id"), F.lit(len(DISTRICT_POOL))) + 1).cast("int"))
         .alias("district"),
     )
