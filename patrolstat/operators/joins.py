@@ -1,10 +1,13 @@
 """Equi joins: profile enrichment, key lists (semi join), re-keying.
 
-No join here forces a broadcast of a side whose size is unknown.  A side is
-broadcast only after :func:`bounded_broadcast` has counted it (reading at
-most ``max_rows + 1`` rows); otherwise the join stays a shuffle join and
-AQE may still turn it into a broadcast from the measured shuffle size, or
-split skewed partitions.
+No join here forces a broadcast of a side whose size is unknown.  By
+default the strategy is left to Spark: the planner broadcasts a side only
+when its estimated size is under ``spark.sql.autoBroadcastJoinThreshold``,
+and AQE re-plans from the *measured* shuffle sizes (broadcast when a side
+turns out small, split skewed partitions otherwise).  A caller who knows a
+side is a small dimension can pass ``max_broadcast_rows``: the side is then
+counted (reading at most ``max_rows + 1`` rows) and broadcast only when the
+count proves it small; beyond the bound the join stays a shuffle join.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 
 def enrich_join(profile: DataFrame, facts: DataFrame, key: str | list[str],
-                max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_rows: int | None = None) -> DataFrame:
     """Inner join each fact row to its profile row (1:N); unmatched facts vanish."""
     side = profile if max_broadcast_rows is None else bounded_broadcast(profile, max_broadcast_rows)
     return facts.join(side, on=key, how="inner")
@@ -35,7 +38,7 @@ def enrich_join(profile: DataFrame, facts: DataFrame, key: str | list[str],
 
 def semi_join_filter(df: DataFrame, keys: DataFrame, key: str,
                      keys_key: str | None = None,
-                     max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     max_broadcast_rows: int | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` appears in ``keys`` (membership in a key list)."""
     k = keys.select(F.col(keys_key or key).alias(key))
     if max_broadcast_rows is not None:
@@ -44,7 +47,7 @@ def semi_join_filter(df: DataFrame, keys: DataFrame, key: str,
 
 
 def rekey_join(df: DataFrame, mapping: DataFrame, old_key: str, new_key: str,
-               max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_rows: int | None = None) -> DataFrame:
     """Replace ``old_key`` by ``new_key`` through a key mapping (inner join)."""
     m = mapping.select(old_key, new_key)
     if max_broadcast_rows is not None:

@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 
 from patrolstat.operators.joins import has_at_most
 
-# Centroids we accept to pack into one array shipped with every task.
-DEFAULT_PACKED_CENTROIDS = 50_000
+# Centroids we accept to pack into one array shipped with every task; the
+# packed plan costs one distance per (point, centroid), so it is kept for
+# city-sized centroid tables and the grid plan takes over beyond.
+DEFAULT_PACKED_CENTROIDS = 1024
 
 
 def _dist2(px: Column, py: Column, cx: Column, cy: Column) -> Column:
@@ -70,7 +72,17 @@ def nearest_centroid(points: DataFrame, centroids: DataFrame, x: str, y: str,
     if grid_cell is None and has_at_most(cents, max_packed):
         return _nearest_packed(points, cents, x, y, out, distance_col, missing_zone, max_distance)
     return _nearest_grid(points, cents, x, y, out, distance_col, missing_zone, max_distance,
-                         point_id, grid_cell or 0.01)
+                         point_id, grid_cell or _auto_cell(cents))
+
+
+def _auto_cell(cents: DataFrame) -> float:
+    """A cell width giving about one centroid per cell over the centroids' extent."""
+    s = cents.agg(F.count(F.lit(1)).alias("n"), F.min("_cx").alias("x0"), F.max("_cx").alias("x1"),
+                  F.min("_cy").alias("y0"), F.max("_cy").alias("y1")).first()
+    if not s.n:
+        return 1.0
+    span = max(s.x1 - s.x0, s.y1 - s.y0)
+    return span / max(1.0, s.n ** 0.5) if span > 0 else 1.0
 
 
 def _nearest_packed(points, cents, x, y, out, distance_col, missing_zone, max_distance):

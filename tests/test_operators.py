@@ -136,8 +136,8 @@ def _brute(points, cents):
     return out
 
 
-@pytest.mark.parametrize("grid", [None, 0.05, 0.5])
-def test_nearest_centroid_matches_brute_force(spark, grid):
+@pytest.mark.parametrize("grid,max_packed", [(None, 1024), (0.05, 1024), (0.5, 1024), (None, 10)])
+def test_nearest_centroid_matches_brute_force(spark, grid, max_packed):
     rnd = random.Random(7)
     cents = [(f"Z{i:03d}", i, rnd.uniform(37.6, 37.9), rnd.uniform(-122.6, -122.3)) for i in range(40)]
     cents.append(("DUP", 99, cents[3][2], cents[3][3]))        # same spot as Z003, later in file -> loses
@@ -146,7 +146,7 @@ def test_nearest_centroid_matches_brute_force(spark, grid):
     pdf = spark.createDataFrame(points, "pid long, x double, y double")
     cdf = spark.createDataFrame(cents, "zone string, ord long, cx double, cy double")
     got = nearest_centroid(pdf, cdf, "x", "y", "cx", "cy", zone="zone", order="ord", missing_zone="00000",
-                           point_id="pid", grid_cell=grid)
+                           point_id="pid", grid_cell=grid, max_packed=max_packed)
     got = {r.pid: r.zone for r in got.collect()}
     assert got == _brute(points, cents)
     assert got[1001] == "Z003"
