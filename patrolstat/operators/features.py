@@ -81,3 +81,17 @@ def random_split(df: DataFrame, train_fraction: float = 0.7, seed: int = 12345)
     """Seeded random split (depends on the input's partitioning, unlike :func:`key_split`)."""
     train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
     return train, test
+
+
+def indexed_one_hot_stages(columns: list[str], out: str = "features") -> list:
+    """Every column indexed by frequency, one-hot encoded, then assembled.
+
+    Indexing first makes each vector as wide as the number of values that
+    occur, not as the largest raw value (a raw zip code as a one-hot index
+    would make a vector ~94,000 wide).
+    """
+    idx = [frequency_indexer(c, f"{c}_idx") for c in columns]
+    enc = OneHotEncoder(inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_vec" for c in columns],
+                        dropLast=True, handleInvalid="keep")
+    asm = VectorAssembler(inputCols=[f"{c}_vec" for c in columns], outputCol=out, handleInvalid="keep")
+    return [*idx, enc, asm]

@@ -25,10 +25,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patrolstat.operators.clean import usable_condition
-from patrolstat.operators.features import feature_stages
+from patrolstat.operators.features import feature_stages, indexed_one_hot_stages
 
 TRAINING_COLUMNS = ("zipcode", "month", "date", "hour", "minute", "year", "dayOfWeek", "label")
 
+# --- FIXED VALUES: the reference's full random-forest search grid (768 cells)
+FULL_RF_GRID: dict[str, list] = {
+    "numTrees": [5, 10, 20, 30, 40, 50],
+    "impurity": ["entropy", "gini"],
+    "maxDepth": [2, 3, 5, 8],
+    "minInstancesPerNode": [5, 10, 15, 20],
+    "maxBins": [5, 10, 20, 30],
+}
+# --- end of fixed values
+
 
 def training_frame(incidents: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Typed incidents -> the classifier's rows (complete rows only, label = weight)."""
@@ -65,8 +75,15 @@ def logistic_regression(max_iter: int = 100, reg_param: float = 0.0) -> Logistic
     return LogisticRegression(family="multinomial", maxIter=max_iter, regParam=reg_param)
 
 
-def classification_pipeline(classifier) -> Pipeline:
-    """Weekday index + one-hot + assembly, then the classifier."""
+def classification_pipeline(classifier, one_hot_all: bool = False) -> Pipeline:
+    """Weekday index + one-hot + assembly, then the classifier.
+
+    ``one_hot_all`` one-hot encodes every feature column (each indexed
+    first) instead of passing the numeric columns through.
+    """
+    if one_hot_all:
+        cols = ["dayOfWeek", "zipcode", "month", "date", "hour", "minute", "year"]
+        return Pipeline(stages=[*indexed_one_hot_stages(cols), classifier])
     return Pipeline(stages=[*feature_stages(), classifier])
 
 

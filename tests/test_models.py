@@ -57,3 +57,14 @@ def test_cross_validate_and_lr(spark):
     lr = MO.fit(MO.classification_pipeline(MO.logistic_regression(max_iter=10)), t)
     coef = MO.lr_coefficients(spark, lr)
     assert coef.filter("feature_index = -1").count() > 0
+
+
+def test_one_hot_all_columns_is_narrow(spark):
+    t = MO.training_frame(_incidents(spark))
+    model = MO.fit(MO.classification_pipeline(MO.decision_tree(max_depth=3), one_hot_all=True), t)
+    width = model.transform(t).first().features.size
+    distinct = sum(t.select(c).distinct().count() for c in
+                   ["dayOfWeek", "zipcode", "month", "date", "hour", "minute", "year"])
+    # indexed first: one slot per value seen (+1 for unseen values), never as wide as a raw zip
+    assert width == distinct + 7
+    assert len(MO.param_grid(MO.random_forest(), MO.FULL_RF_GRID)) == 768
