@@ -1 +1 @@
-"""operators."""
+"""DataFrame -> DataFrame operators (cleaning, joins, aggregation, features, models, metrics)."""

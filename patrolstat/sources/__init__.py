@@ -1 +1 @@
-"""sources."""
+"""Readers and sinks (explicit schemas; distributed writes)."""
