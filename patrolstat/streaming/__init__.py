@@ -1,8 +1,5 @@
 """Streaming.
 
 The reference reads every input as a batch file and has no stream source,
-watermark, window or state, so there is no streaming operator here.  The
-operators in :mod:`patrolstat.operators` are plain DataFrame functions; the
-aggregations (slot profile, bucket counts) also accept a streaming
-DataFrame when a caller wants them over ``readStream`` input.
+watermark, window or state, so there is no streaming operator here.
 """
