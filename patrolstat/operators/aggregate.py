@@ -95,10 +95,11 @@ def bucket_counts(df: DataFrame, category: str = "category",
     partial row per (task, group).
     """
     groups = [] if group_by is None else ([group_by] if isinstance(group_by, str) else list(group_by))
-    b = keyword_bucket(category)
+    # The bucket is computed once per row in a projection; each count then
+    # compares that column (the optimizer does not re-inline the CASE).
+    src = df.select(*groups, keyword_bucket(category).alias("_bucket"))
     aggs = [F.count(F.lit(1)).alias("total_incidents")]
-    aggs += [F.count_if(b == F.lit(name)).alias(bucket_column(name)) for name in bucket_names()]
-    src = df.select(*groups, category)
+    aggs += [F.count_if(F.col("_bucket") == F.lit(name)).alias(bucket_column(name)) for name in bucket_names()]
     return src.groupBy(*groups).agg(*aggs) if groups else src.agg(*aggs)
 
 
