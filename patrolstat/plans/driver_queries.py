@@ -90,8 +90,8 @@ def q_hour_slot(spark, sf_dir):
 
 
 @register("calendar_parts", """
-    SELECT event_id AS incident_id, month(ts) AS month, day(ts) AS day,
-           hour(ts) AS hour, minute(ts) AS minute FROM events""")
+    SELECT event_id AS incident_id, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
+           CAST(hour(ts) AS INTEGER) AS hour, CAST(minute(ts) AS INTEGER) AS minute FROM events""")
 def q_calendar_parts(spark, sf_dir):
     """Month/day/hour/minute cut from the ``yyyy/MM/dd`` and ``HH:mm`` texts."""
     e = S.table(spark, sf_dir, "events")
