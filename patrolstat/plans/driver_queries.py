@@ -615,3 +615,9 @@ def _profile_text_sql() -> str:
 def q_profile_text(spark, sf_dir):
     """The flagship slot profile rendered as labelled text records."""
     return render_profile(q_slot_profile(spark, sf_dir), "zip", _CENSUS_LABELS)
+
+
+@register("rf_evaluation")
+def q_rf_evaluation(spark, sf_dir):
+    """Per-label precision, recall, FPR and F1 of the random forest on the test split."""
+    return ME.label_metrics(q_rf_predict(spark, sf_dir))

@@ -64,10 +64,14 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     key = (spark.sparkContext.applicationId, sf_dir)
     path = _MATERIALIZED.get(key)
-    if path is None:
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/standin/raw_incidents/{uuid.uuid4().hex}"
-        raw_incidents_plan(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _MATERIALIZED[key] = path
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 -- folder removed since: write it again
+            _MATERIALIZED.pop(key, None)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/standin/raw_incidents/{uuid.uuid4().hex}"
+    raw_incidents_plan(spark, sf_dir).write.mode("overwrite").parquet(path)
+    _MATERIALIZED[key] = path
     return spark.read.parquet(path)
 
 
