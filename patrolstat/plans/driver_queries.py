@@ -320,7 +320,7 @@ def q_segment_stitch(spark, sf_dir):
                           n_segments=len(SEGMENTS))
 
 
-@register("nearest_centroid", """
+_NEAREST_SQL = """
     WITH c AS (SELECT label AS zone, vec_id AS ord, CAST(embedding[1] AS DOUBLE) AS cx,
                       CAST(embedding[2] AS DOUBLE) AS cy
                FROM embeddings e WHERE vec_id = (SELECT min(vec_id) FROM embeddings e2 WHERE e2.label = e.label)),
@@ -328,19 +328,32 @@ def q_segment_stitch(spark, sf_dir):
     d AS (SELECT p.vec_id, c.zone, c.ord, (c.cx - p.px) * (c.cx - p.px) + (c.cy - p.py) * (c.cy - p.py) AS d2
           FROM p, c),
     r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, ord) AS rn FROM d)
-    SELECT vec_id, zone, sqrt(d2) AS distance FROM r WHERE rn = 1""")
-def q_nearest_centroid(spark, sf_dir):
-    """Each embedding's first two dims as a point; centroid per label = its lowest vec_id."""
+    SELECT vec_id, zone, sqrt(d2) AS distance FROM r WHERE rn = 1"""
+
+
+def _nearest(spark, sf_dir, max_packed):
     e = S.table(spark, sf_dir, "embeddings")
     pts = e.select("vec_id", F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y"))
     firsts = A.dedup_keep_first(e.select("label", "vec_id", "embedding"), key="label", order_by="vec_id")
     cents = firsts.select(F.col("label").alias("zone"), F.col("vec_id").alias("ord"),
                           F.col("embedding")[0].alias("cx"), F.col("embedding")[1].alias("cy"))
     out = nearest_centroid(pts, cents, "x", "y", "cx", "cy", zone="zone", order="ord",
-                           max_distance=10000.0, point_id="vec_id")
+                           max_distance=10000.0, point_id="vec_id", max_packed=max_packed)
     return out.select("vec_id", "zone", "distance")
 
 
+@register("nearest_centroid", _NEAREST_SQL)
+def q_nearest_centroid(spark, sf_dir):
+    """Each embedding's first two dims as a point; centroid per label = its lowest vec_id."""
+    return _nearest(spark, sf_dir, max_packed=1024)
+
+
+@register("nearest_centroid_grid", _NEAREST_SQL)
+def q_nearest_centroid_grid(spark, sf_dir):
+    """Same assignment through the exact grid plan (the plan used for large centroid tables)."""
+    return _nearest(spark, sf_dir, max_packed=0)
+
+
 # --- dedup, first-seen, union ---------------------------------------------------------
 
 _LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
