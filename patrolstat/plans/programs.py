@@ -82,10 +82,15 @@ def assign_incident_zips(incidents: DataFrame, centroids: DataFrame,
     return tagged.drop("_lat", "_lon", "_zip")
 
 
-def zip_slot_profile(incidents: DataFrame, profile: DataFrame, key: str = "zip") -> DataFrame:
-    """Per-zip census profile + incident counts, mean severity and thefts per 6-hour slot."""
-    return A.slot_profile(C.typed_incidents(incidents) if "weight" not in incidents.columns else incidents,
-                          profile, key=key)
+def zip_slot_profile(raw_incidents: DataFrame, census: DataFrame, key: str = "zip",
+                     order_by: str = "logrecno") -> DataFrame:
+    """Per-zip census profile + incident counts, mean severity and thefts per 6-hour slot.
+
+    ``raw_incidents`` are zip-tagged text fields; ``census`` may hold several
+    records per zip (the one with the smallest ``order_by`` is kept).
+    """
+    profile = A.dedup_keep_first(census, key=key, order_by=order_by).drop(order_by)
+    return A.slot_profile(C.typed_incidents(raw_incidents), profile, key=key)
 
 
 def category_breakdown(incidents: DataFrame, district: str = "district") -> tuple[DataFrame, DataFrame]:
