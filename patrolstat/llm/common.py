@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from patrolstat.session import ensure_checkpoint_dir
 
@@ -29,9 +29,14 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z only (no locale or Unicode case rules)."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of frames that are no longer referenced.
+
+    Its cleaner acts when the driver's JVM collects garbage; between the rounds
+    of a long job that is worth asking for, since their results are written.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def fresh_name(df: DataFrame, name: str) -> str:

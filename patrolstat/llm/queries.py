@@ -3,24 +3,64 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, pii
+from . import ann, chat, html_text, jaccard, mixing, pii, quality
 from .common import read
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and the cascade's verdict for every whole text of ``documents``."""
+    judged = quality.cascade(read(spark, sf_dir, "documents").select("doc_id", "text"), features=quality.BASE_COLUMNS)
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select("doc_id", *quality.BASE_COLUMNS, failed.alias("base_failed"),
+                         F.col("failed_rule").isNull().alias("kept"), "failed_rule")
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``conversations`` and conversation -7, formatted and read back."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.expand(chat.render(turns)))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every whole text of ``documents``."""
     return pii.digest(pii.detect(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = html_text.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of ``documents`` linked by 4-word shingles at a similarity of 0.85."""
+    return jaccard.classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document the mix of all sources takes."""
     return mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every vector whose id is divisible by 100."""
+    return ann.search(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), lambda i: i % 100 == 0)
+
+
 QUERIES = {
+    "op2_quality": op2_quality,
+    "op4_chat": op4_chat,
     "op6_pii": op6_pii,
+    "op7_html_text": op7_html_text,
+    "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
+    "op10_ann": op10_ann,
 }
 
 ORACLE: dict[str, str] = {}
