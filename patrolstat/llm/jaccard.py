@@ -12,8 +12,9 @@ all written out; none between classes is lost).
 3. What can still be missed are links between classes.  In any global order of
    the tokens two linked sets share one of their first ``n - ceil(t n) + 1``
    tokens; the order used puts frequent tokens last, by a counting sketch, which
-   decides the cost and not the result.  Tokens met in two classes or more give
-   (node, group) candidates.
+   decides the cost and not the result.  With ``SHARED - 1`` more tokens they
+   share ``SHARED`` of them; a (node, group) pair of different classes that does
+   is a candidate.
 4. The matrix holds each candidate group's token union.  A node's overlap with
    the union bounds its overlap with every member: a group is opened only if
    the bound reaches what the smallest member needs, and then each member of
@@ -39,47 +40,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, release
 from .components import components
+from .wordhash import WordHasher, mixed, ngrams
 
 WIDTH = 4
 PERCENT = 85
 GROUP = 64
 MIN_HASHES = 4
+SHARED = 4
 MAX_SKETCH_BITS = 24
-_CACHE_WORDS = 1_000_000
-_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-
-
-class _WordHashes(dict):
-    """word -> 64-bit hash; emptied when it has grown to ``_CACHE_WORDS`` words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * _M1
-    return h ^ (h >> np.uint64(29))
-
-
-def shingles(text: str | None, width: int, words: dict) -> np.ndarray:
-    """The sorted distinct n-gram hashes of a text."""
-    w = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z only; the six ASCII white-space bytes
-    if not w:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(words.__getitem__, w), np.uint64, len(w))
-    k = min(width, len(w))
-    out = h[: len(h) - k + 1].copy()
-    for i in range(1, k):
-        out = _mixed(out) * _M2 + h[i: len(h) - k + 1 + i]
-    return np.unique(_mixed(out + np.uint64(k)))
+MAX_FILTER_BITS = 27
+_KEY = np.uint64(0xD6E8FEB86659FD93)
 
 
 def node_of(tokens: np.ndarray) -> int:
@@ -91,27 +66,30 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _profiles(texts: DataFrame, width: int, bits: int) -> DataFrame:
-    """Per document ``id, node, n, mins``; per task its counts of token slots in ``chunk, blob``."""
+    """Per document ``id, node, n, mins``; per task its counts of token slots in ``chunk, blob``.
+
+    A task's counts stop at 255: the sketch only orders tokens.
+    """
     seeds = np.random.default_rng(11).integers(1, 2**63, MIN_HASHES, dtype=np.uint64) | np.uint64(1)
     chunks = 1 << max(0, bits - 16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = _WordHashes(), np.zeros(1 << bits, np.int32)
+        hasher, counts = WordHasher(), np.zeros(1 << bits, np.uint32)
         names = ["id", "node", "n", "mins", "chunk", "blob"]
         for b in batches:
             nodes, sizes, mins = [], [], []
-            for x in b.column(1).to_pylist():
-                t = shingles(x, width, words)
+            for words in hasher.texts(b.column(1).to_pylist()):
+                t = ngrams(words, width)
                 nodes.append(node_of(t))
                 sizes.append(len(t))
-                mins.append([int(_mixed(t * s).view(np.int64).min()) for s in seeds] if len(t) else [])
-                np.add.at(counts, t >> np.uint64(64 - bits), 1)
+                mins.append([int(((t * s) ^ (t >> np.uint64(31))).view(np.int64).min()) for s in seeds] if len(t) else [])
+                np.add.at(counts, t >> np.uint64(64 - bits), np.uint32(1))
             n = len(nodes)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(mins, pa.list_(pa.int64())),
                  pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         if counts.any():
-            blobs = [c.tobytes() for c in np.split(counts, chunks)]
+            blobs = [c.tobytes() for c in np.split(np.minimum(counts, 255).astype(np.uint8), chunks)]
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(chunks, pa.int64()), pa.nulls(chunks, pa.int64()), pa.nulls(chunks, pa.int64()),
                  pa.nulls(chunks, pa.list_(pa.int64())), pa.array(range(chunks), pa.int32()), pa.array(blobs, pa.binary())], names)
@@ -125,7 +103,7 @@ def _levels(profiles: DataFrame, bits: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for c, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                got = np.frombuffer(blob, np.int32).astype(np.int64)
+                got = np.frombuffer(blob, np.uint8).astype(np.int64)
                 sums[c] = sums[c] + got if c in sums else got
         levels = [np.ceil(np.log2(s + 1.0) * 2).astype(np.uint8).tobytes() for s in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], ["chunk", "blob"])
@@ -139,24 +117,24 @@ def _levels(profiles: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+def prefix_length(n: int, percent: int, shared: int = SHARED) -> int:
+    """Two linked sets have ``min(shared, overlap)`` tokens in common among their first so many."""
+    return min(n, n - -(-percent * n // 100) + shared)
 
 
 def _prefixes(texts: DataFrame, width: int, percent: int, levels: np.ndarray, bits: int) -> DataFrame:
     """``node, n, token``: each document's first tokens in the order (level, token)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WordHashes()
+        hasher = WordHasher()
         for b in batches:
             nodes, sizes, parts = [], [], []
-            for x in b.column(1).to_pylist():
-                t = shingles(x, width, words)
+            for words in hasher.texts(b.column(1).to_pylist()):
+                t = ngrams(words, width)
                 if not len(t):
                     continue
-                p = prefix_length(len(t), percent)
                 level = levels[t >> np.uint64(64 - bits)]
                 # t is sorted, so a stable sort by level breaks ties by token
-                part = t[np.argsort(level, kind="stable")[:p]]
+                part = t[np.argsort(level, kind="stable")[:prefix_length(len(t), percent)]]
                 nodes.append(np.full(len(part), node_of(t), np.int64))
                 sizes.append(np.full(len(part), len(t), np.int64))
                 parts.append(part.view(np.int64))
@@ -167,21 +145,54 @@ def _prefixes(texts: DataFrame, width: int, percent: int, levels: np.ndarray, bi
     return texts.mapInArrow(run, "node long, n long, token long")
 
 
+def _slot(node: np.ndarray, ids: np.ndarray, bits: int) -> np.ndarray:
+    return mixed(node.view(np.uint64) ^ (ids.view(np.uint64) * _KEY)) >> np.uint64(64 - bits)
+
+
+def _filter_of(wanted: DataFrame) -> tuple[np.ndarray, int]:
+    """A one-hash bit filter of the ``node, id`` pairs; at most ``2 ** MAX_FILTER_BITS`` bits."""
+    bits = min(MAX_FILTER_BITS, max(16, math.ceil(math.log2(16 * max(1, wanted.count())))))
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            slot = _slot(b.column(0).to_numpy(), b.column(1).to_numpy(), bits)
+            yield pa.RecordBatch.from_arrays([pa.array((slot >> np.uint64(6)).astype(np.int64)), pa.array(
+                (np.uint64(1) << (slot & np.uint64(63))).view(np.int64))], ["word", "mask"])
+
+    rows = (wanted.select("node", "id").mapInArrow(words, "word long, mask long")
+            .groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow())
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[rows.column("word").to_numpy()] = rows.column("mask").to_numpy()
+    return table.view(np.uint64), bits
+
+
 def _token_sets(texts: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
-    """``node, tokens`` of the wanted nodes; ``wanted`` has ``node, id``, an id that holds the node."""
+    """``node, tokens`` of the wanted nodes, each from the document ``id`` that ``wanted`` names for it.
+
+    The texts stay where they are: a bit filter of bounded size goes to them.
+    What it lets through by chance is a few more sets, which no join asks for.
+    """
+    table, bits = _filter_of(wanted)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WordHashes()
+        hasher = WordHasher()
         for b in batches:
-            sets = [shingles(x, width, words) for x in b.column(1).to_pylist()]
-            sets = [t for t in sets if len(t)]
+            ids, sets, nodes = b.column(0).to_pylist(), [], []
+            for own, words in zip(ids, hasher.texts(b.column(1).to_pylist())):
+                t = ngrams(words, width)
+                if own is None or not len(t):
+                    continue
+                node = node_of(t)
+                slot = int(_slot(np.array([node], np.int64), np.array([own], np.int64), bits)[0])
+                if int(table[slot >> 6]) >> (slot & 63) & 1:
+                    sets.append(t)
+                    nodes.append(node)
             ends = np.cumsum([0] + [len(t) for t in sets]).astype(np.int32)
             flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([node_of(t) for t in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                ["node", "tokens"])
+                [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["node", "tokens"])
 
-    mine = texts.join(wanted.select("id").distinct(), "id", "left_semi")
-    return mine.mapInArrow(run, "node long, tokens array<long>").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node long, tokens array<long>")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -193,7 +204,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * shared >= percent * (F.size("ta") + F.size("tb") - shared)).select("a", "b")
 
 
-def _may_link(n1: str, n2: str, percent: int):
+def _may_link(n1: str, n2: str, percent: int) -> Column:
     return 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
 
 
@@ -202,7 +213,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     """``doc_id, n_shingles, component_id``: per row its set size and its class, named by the smallest id."""
     texts = _texts(docs, doc_id, text)
     spark = docs.sparkSession
-    bits = min(MAX_SKETCH_BITS, max(16, math.ceil(math.log2(4 * max(1, docs.count())))))
+    bits = min(MAX_SKETCH_BITS, max(16, math.ceil(math.log2(16 * max(1, docs.count())))))
     profiles = cut(_profiles(texts, width, bits))
     rows = profiles.filter("chunk is null").select("id", "node", "n", "mins")
     nodes = (rows.filter("n > 0 and id is not null").groupBy("node")
@@ -216,44 +227,51 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     stars = cut(keys.join(pivots, ["slot", "key"]).filter((F.col("node") != F.col("b")) & _may_link("n", "nb", percent))
                 .select(F.col("node").alias("a"), "b").distinct())
     ends = stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node"))).distinct()
-    links = cut(_linked(stars, cut(_token_sets(texts, width, nodes.join(ends, "node"))), percent))
+    starred = cut(nodes.join(ends, "node").select("node", "id"))
+    sets = cut(_token_sets(texts, width, starred))
+    links = cut(_linked(stars, sets, percent))
     release(spark)
     first = components(links)
 
-    # candidates between classes
-    classed = cut(nodes.select("node", "id", "n").join(first, "node", "left")
-                  .select("node", "id", "n", F.coalesce("label", "node").alias("cls")))
-    sizes = classed.groupBy("cls").agg(F.count("*").alias("members"))
-    grouped = cut(classed.join(sizes, "cls")
-                  .withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / GROUP).cast("long"))))
-    heads = (_prefixes(texts, width, percent, _levels(profiles, bits), bits)
-             .dropDuplicates(["node", "token"]).join(grouped.drop("n", "id"), "node"))
-    met = heads.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo <> hi").select("token")
-    heads = cut(heads.join(met, "token"))
+    # tokens that stand among the first of two different nodes, and there in different classes
+    heads = cut(_prefixes(texts, width, percent, _levels(profiles, bits), bits))
+    met = cut(heads.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+              .filter("lo <> hi").select("token"))
+    heads = cut(heads.join(met, "token").distinct())
     release(spark)
+    classed = nodes.select("node", "id", "n").join(first, "node", "left").withColumn("cls", F.coalesce("label", "node"))
+    members = classed.groupBy("cls").agg(F.count("*").alias("members"))
+    grouped = cut(classed.join(members, "cls").select(
+        "node", "id", "n", "cls", "members",
+        F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / GROUP).cast("long")).alias("part")))
+    heads = cut(heads.join(grouped.drop("n", "id"), "node"))
     groups = (heads.groupBy("token", "cls", "part").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"),
-                                                         F.first("members").alias("members"))
-              .select("token", F.col("cls").alias("g_cls"), F.col("part").alias("g_part"), "n_min", "n_max",
-                      F.col("members").alias("g_members")))
-    smaller = F.struct("members", "cls") < F.struct(F.col("g_members"), F.col("g_cls"))
+                                                         F.first("members").alias("g_members"))
+              .withColumnsRenamed({"cls": "g_cls", "part": "g_part"}))
+    smaller = F.struct("members", "cls") < F.struct(F.col("g_members").alias("members"), F.col("g_cls").alias("cls"))
     asked = cut(heads.join(groups, "token").filter(
-        (F.col("cls") != F.col("g_cls")) & smaller & (100 * F.col("n_max") >= percent * F.col("n"))
-        & (100 * F.col("n") >= percent * F.col("n_min")))
-        .select("node", "n", "g_cls", "g_part").distinct())
-
-    # the matrix: token unions of the groups asked for
-    opened = grouped.join(asked.select(F.col("g_cls").alias("cls"), F.col("g_part").alias("part")).distinct(), ["cls", "part"], "left_semi")
-    wanted = grouped.join(asked.select("node").distinct(), "node", "left_semi").select("node", "id").union(opened.select("node", "id"))
-    sets = cut(_token_sets(texts, width, wanted))
-    matrix = (opened.join(sets, "node").groupBy(F.col("cls").alias("g_cls"), F.col("part").alias("g_part"))
-              .agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"), F.min("n").alias("least")))
+        smaller & (100 * F.col("n_max") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("n_min")))
+        .groupBy("node", "n", "g_cls", "g_part").agg(F.count("*").alias("c"))
+        .filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))).drop("c"))
+
+    opened = grouped.select(F.col("node").alias("b"), F.col("id").alias("b_id"), F.col("n").alias("nb"),
+                            F.col("cls").alias("g_cls"), F.col("part").alias("g_part"), "members")
+    opened = cut(opened.join(asked.select("g_cls", "g_part").distinct(), ["g_cls", "g_part"], "left_semi"))
+    wanted = (grouped.join(asked.select("node").distinct(), "node", "left_semi").select("node", "id")
+              .union(opened.select("b", "b_id")).distinct().join(starred.select("node"), "node", "left_anti"))
+    sets = sets.unionByName(cut(_token_sets(texts, width, cut(wanted))))
+    # the matrix: token unions of the groups asked for (a group of one is its own union: compared at once)
+    many = opened.filter("members > 1")
+    matrix = (many.join(sets.withColumnRenamed("node", "b"), "b").groupBy("g_cls", "g_part")
+              .agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"), F.min("nb").alias("least")))
     bound = F.size(F.array_intersect("tokens", "union"))
-    qualified = (asked.join(sets, "node").join(matrix, ["g_cls", "g_part"])
+    qualified = (asked.join(many.select("g_cls", "g_part").distinct(), ["g_cls", "g_part"], "left_semi")
+                 .join(sets, "node").join(matrix, ["g_cls", "g_part"])
                  .filter(100 * bound >= percent * F.greatest("n", "least")).select("node", "n", "g_cls", "g_part"))
-    pairs = cut(qualified.join(opened.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("cls").alias("g_cls"),
-                                             F.col("part").alias("g_part")), ["g_cls", "g_part"])
+    alone = asked.join(opened.filter("members = 1").select("g_cls", "g_part"), ["g_cls", "g_part"], "left_semi")
+    pairs = cut(qualified.unionByName(alone.select("node", "n", "g_cls", "g_part")).join(opened, ["g_cls", "g_part"])
                 .filter(_may_link("n", "nb", percent)).select(F.col("node").alias("a"), "b").distinct())
-    links = links.unionByName(cut(_linked(pairs, sets, percent)))
+    links = cut(links.unionByName(_linked(pairs, sets, percent)))
     release(spark)
 
     last = components(links)
