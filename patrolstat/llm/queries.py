@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, html_text, jaccard, mixing, pii, quality
+from . import ann, chat, html_text, jaccard, mixing, pii, quality, suffix_dedup
 from .common import read
 
 
@@ -27,6 +27,14 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.expand(chat.render(turns)))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every byte of ``documents`` that a repeated 200-byte string covers, removed."""
+    found = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["start"])
+    return found.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every whole text of ``documents``."""
     return pii.digest(pii.detect(read(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -56,6 +64,7 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_quality": op2_quality,
     "op4_chat": op4_chat,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_pii": op6_pii,
     "op7_html_text": op7_html_text,
     "op8_jaccard": op8_jaccard,
