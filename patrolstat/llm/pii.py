@@ -140,8 +140,11 @@ def detect(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame
     return docs.withColumn(out, F.sort_array(F.flatten(F.array(*[kind_spans(t, k) for k in KINDS]))))
 
 
-def mask(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with every span replaced by ``[KIND]``; overlapping spans become one, named by the first."""
+def mask(docs: DataFrame, text: str = "text", chars: str | None = None) -> DataFrame:
+    """``docs`` with every span replaced by ``[KIND]``; overlapping spans become one, named by the first.
+
+    ``chars`` names a column that holds the text's length and follows it.
+    """
     spans = "__pii_spans__"
     while spans in docs.columns:
         spans += "_"
@@ -155,7 +158,8 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
 
     done = F.aggregate(spans, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")).cast(kind), step,
                        lambda acc: F.concat(acc["out"], F.substr(t, (acc["at"] + 1).cast("int"))))
-    return found.withColumn(text, F.when(F.size(spans) > 0, done).otherwise(t)).drop(spans)
+    found = found.withColumn(text, F.when(F.size(spans) > 0, done).otherwise(t)).drop(spans)
+    return found.withColumn(chars, F.length(t).cast("long")) if chars else found
 
 
 def _of_kind(name: str) -> Callable[[Column], Column]:

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, html_text, jaccard, mixing, pii, quality, suffix_dedup
+from . import ann, chat, html_text, jaccard, mixing, mixing_lm, pieces, pii, quality, suffix_dedup
 from .common import read
 
 
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All whole texts of ``documents``, scored by the model and by the unigram base."""
+    return mixing_lm.score(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures and the cascade's verdict for every whole text of ``documents``."""
     judged = quality.cascade(read(spark, sf_dir, "documents").select("doc_id", "text"), features=quality.BASE_COLUMNS)
@@ -17,6 +22,17 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("failed_rule").isNull().alias("kept"), "failed_rule")
 
 
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of ``documents`` as pieces, its N best scores, and the text decoded again."""
+    encoded = pieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = pieces.decode(encoded)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.transform("n_best", lambda x: x["score"]).alias("scores"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"), F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"))
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``conversations`` and conversation -7, formatted and read back."""
     said = "</s>[INST] ok [/INST]"
@@ -62,7 +78,9 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_context_mixing": op1_context_mixing,
     "op2_quality": op2_quality,
+    "op3_pieces": op3_pieces,
     "op4_chat": op4_chat,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_pii": op6_pii,
