@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 from .common import WORD, cut
 
 BLOCK_WORDS = 32
-SHARD_SLOTS = 65_536
+SHARD_SLOTS = 16_384
 MAX_PASSES = 2
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 ROUNDS = 10
 SEED = 20_231
 
@@ -129,7 +129,9 @@ def draw_slots(targets: DataFrame, shard_slots: int = SHARD_SLOTS, max_passes: i
     numbered = plan.withColumn("first", F.coalesce(
         F.sum("count").over(Window.partitionBy("sid").orderBy("shard")
                             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    slots = (numbered.filter("count > 0").repartition("sid", "shard")
+    # a few bytes here become many rows: a fixed number of partitions, which AQE leaves as they are
+    parts = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = (numbered.filter("count > 0").repartition(parts, "sid", "shard")
              .select("shard", "sid", "n_blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("i"))
              .filter(F.col("i") < F.col("n_blocks") * max_passes)
              .withColumn("pass", F.floor(F.col("i") / F.col("n_blocks")).cast("long")))
