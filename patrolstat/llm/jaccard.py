@@ -43,9 +43,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bitfilter import filter_of, near, passes, slot_of
 from .common import cut, release
 from .components import components
-from .wordhash import WordHasher, mixed, ngrams
+from .wordhash import WordHasher, ngrams
 
 WIDTH = 4
 PERCENT = 85
@@ -53,8 +54,6 @@ GROUP = 64
 MIN_HASHES = 4
 SHARED = 4
 MAX_SKETCH_BITS = 24
-MAX_FILTER_BITS = 27
-_KEY = np.uint64(0xD6E8FEB86659FD93)
 
 
 def node_of(tokens: np.ndarray) -> int:
@@ -122,83 +121,13 @@ def prefix_length(n: int, percent: int, shared: int = SHARED) -> int:
     return min(n, n - -(-percent * n // 100) + shared)
 
 
-def _slot(bits: int, first: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:
-    h = first.view(np.uint64)
-    if second is not None:
-        h = h ^ (second.view(np.uint64) * _KEY)
-    return mixed(h) >> np.uint64(64 - bits)
-
-
-def _filter_of(wanted: DataFrame) -> tuple[np.ndarray, int]:
-    """A one-hash bit filter of the rows (one or two longs); at most ``2 ** MAX_FILTER_BITS`` bits.
-
-    Past that size it lets more through, which costs time: what it is used on is joined exactly later.
-    """
-    bits = min(MAX_FILTER_BITS, max(16, math.ceil(math.log2(16 * max(1, wanted.count())))))
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            slot = _slot(bits, *[c.to_numpy() for c in b.columns])
-            yield pa.RecordBatch.from_arrays([pa.array((slot >> np.uint64(6)).astype(np.int64)), pa.array(
-                (np.uint64(1) << (slot & np.uint64(63))).view(np.int64))], ["word", "mask"])
-
-    rows = (wanted.mapInArrow(words, "word long, mask long")
-            .groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow())
-    table = np.zeros(1 << (bits - 6), np.int64)
-    table[rows.column("word").to_numpy()] = rows.column("mask").to_numpy()
-    return table.view(np.uint64), bits
-
-
-def _passes(table: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    return (table[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
-
-
-def _near(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose ``column`` is in ``wanted`` (a column of longs), and a few others:
-    what an exact join would drop, dropped before its shuffle."""
-    table, bits = _filter_of(wanted)
-    at = df.columns.index(column)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(_passes(table, _slot(bits, b.column(at).to_numpy()))))
-
-    return df.mapInArrow(run, df.schema)
-
-
-def _prefixes(texts: DataFrame, width: int, percent: int, levels: np.ndarray, bits: int, nodes: DataFrame) -> DataFrame:
-    """``node, token``: each node's first tokens in the order (level, token), from the document named for it."""
-    table, filter_bits = _filter_of(nodes.select("node", "id"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for b in batches:
-            nodes, parts = [], []
-            for own, words in zip(b.column(0).to_pylist(), hasher.texts(b.column(1).to_pylist())):
-                t = ngrams(words, width)
-                if own is None or not len(t):
-                    continue
-                node = np.array([node_of(t)], np.int64)
-                if not _passes(table, _slot(filter_bits, node, np.array([own], np.int64)))[0]:
-                    continue
-                level = levels[t >> np.uint64(64 - bits)]
-                # t is sorted, so a stable sort by level breaks ties by token
-                part = t[np.argsort(level, kind="stable")[:prefix_length(len(t), percent)]]
-                nodes.append(np.full(len(part), node, np.int64))
-                parts.append(part.view(np.int64))
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (nodes, parts)], ["node", "token"])
-
-    return texts.mapInArrow(run, "node long, token long")
-
-
 def _token_sets(texts: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
     """``node, tokens`` of the wanted nodes, each from the document ``id`` that ``wanted`` names for it.
 
     The texts stay where they are: a bit filter of bounded size goes to them.
     What it lets through by chance is a few more sets, which no join asks for.
     """
-    table, bits = _filter_of(wanted.select("node", "id"))
+    table, bits = filter_of(wanted.select("node", "id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -209,7 +138,7 @@ def _token_sets(texts: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
                 if own is None or not len(t):
                     continue
                 node = node_of(t)
-                if _passes(table, _slot(bits, np.array([node], np.int64), np.array([own], np.int64)))[0]:
+                if passes(table, slot_of(bits, np.array([node], np.int64), np.array([own], np.int64)))[0]:
                     sets.append(t)
                     nodes.append(node)
             ends = np.cumsum([0] + [len(t) for t in sets]).astype(np.int32)
@@ -261,7 +190,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     # tokens that stand among the first of two nodes or more
     heads = cut(_prefixes(texts, width, percent, _levels(profiles, bits), bits, nodes))
     met = cut(heads.groupBy("token").count().filter("count > 1").select("token"))
-    heads = cut(_near(heads, "token", met).join(met, "token").distinct())
+    heads = cut(near(heads, "token", met).join(met, "token").distinct())
     release(spark)
     classed = nodes.select("node", "id", "n").join(first, "node", "left").withColumn("cls", F.coalesce("label", "node"))
     members = classed.groupBy("cls").agg(F.count("*").alias("members"))
@@ -287,16 +216,16 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     # the matrix: token unions of the groups asked for (a group of one is its own union: compared at once)
     many = opened.filter("members > 1")
     asked_many = cut(asked.join(many.select("g_cls", "g_part").distinct(), ["g_cls", "g_part"], "left_semi"))
-    matrix = (many.join(_near(sets, "node", many.select("b")).withColumnRenamed("node", "b"), "b").groupBy("g_cls", "g_part")
+    matrix = (many.join(near(sets, "node", many.select("b")).withColumnRenamed("node", "b"), "b").groupBy("g_cls", "g_part")
               .agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"), F.min("nb").alias("least")))
     bound = F.size(F.array_intersect("tokens", "union"))
-    qualified = (asked_many.join(_near(sets, "node", asked_many.select("node")), "node").join(matrix, ["g_cls", "g_part"])
+    qualified = (asked_many.join(near(sets, "node", asked_many.select("node")), "node").join(matrix, ["g_cls", "g_part"])
                  .filter(100 * bound >= percent * F.greatest("n", "least")).select("node", "n", "g_cls", "g_part"))
     alone = asked.join(opened.filter("members = 1").select("g_cls", "g_part"), ["g_cls", "g_part"], "left_semi")
     pairs = cut(qualified.unionByName(alone.select("node", "n", "g_cls", "g_part")).join(opened, ["g_cls", "g_part"])
                 .filter(_may_link("n", "nb", percent)).select(F.col("node").alias("a"), "b").distinct())
     paired = pairs.select("a").union(pairs.select("b")).distinct()
-    links = cut(links.unionByName(_linked(pairs, _near(sets, "node", paired), percent)))
+    links = cut(links.unionByName(_linked(pairs, near(sets, "node", paired), percent)))
     release(spark)
 
     last = components(links)

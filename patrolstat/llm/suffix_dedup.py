@@ -39,9 +39,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .bitfilter import filter_of, near, passes, slot_of
 from .common import cut, fresh_name, release
 from .deep_shallow import deep_shallow_sort
-from .jaccard import _filter_of, _near, _passes, _slot
 from .wordhash import mixed
 
 LENGTH = 200
@@ -145,7 +145,7 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
 def _contexts(texts: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
     """``key, ctx, before, after`` of the wanted anchors (``rid, at``): read where the texts are,
     through a bit filter of bounded size; what passes by chance is joined away."""
-    table, bits = _filter_of(wanted.select("rid", "at"))
+    table, bits = filter_of(wanted.select("rid", "at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length, gram)
@@ -154,7 +154,7 @@ def _contexts(texts: DataFrame, wanted: DataFrame, length: int, gram: int) -> Da
             for r, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 places, hashes = anchors.of(data)
                 if len(places):
-                    ok = _passes(table, _slot(bits, np.full(len(places), r, np.int64), places))
+                    ok = passes(table, slot_of(bits, np.full(len(places), r, np.int64), places))
                     for p, h in zip(places[ok].tolist(), hashes[ok].view(np.int64).tolist()):
                         before, after = anchors.context(data, p)
                         rows.append((r, p, h, _context_hash(before, after), before, after))
@@ -258,7 +258,7 @@ def intervals(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int
     anchors = cut(_anchor_rows(texts, length, gram))
     keys = cut(anchors.groupBy("key").agg(F.count("*").alias("n"), F.min("ctx").alias("c1"), F.max("ctx").alias("c2"))
                .filter("n > 1").select("key", (F.col("c1") != F.col("c2")).alias("several")))
-    met = cut(_near(anchors, "key", keys.select("key")).join(keys, "key"))
+    met = cut(near(anchors, "key", keys.select("key")).join(keys, "key"))
     release(spark)
     wanted = cut(met.filter("several").groupBy("key", "ctx")
                  .agg(F.min(F.struct("rid", "at")).alias("one"), F.count("*").alias("n"))
