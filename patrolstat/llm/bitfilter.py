@@ -58,29 +58,3 @@ def near(df: DataFrame, column: str, wanted: DataFrame, without: bool = False) -
             yield b.filter(pa.array(passes(table, slot_of(bits, b.column(at).to_numpy())) != without))
 
     return df.mapInArrow(run, df.schema)
-
-
-def _prefixes(texts: DataFrame, width: int, percent: int, levels: np.ndarray, bits: int, nodes: DataFrame) -> DataFrame:
-    """``node, token``: each node's first tokens in the order (level, token), from the document named for it."""
-    table, filter_bits = filter_of(nodes.select("node", "id"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for b in batches:
-            nodes, parts = [], []
-            for own, words in zip(b.column(0).to_pylist(), hasher.texts(b.column(1).to_pylist())):
-                t = ngrams(words, width)
-                if own is None or not len(t):
-                    continue
-                node = np.array([node_of(t)], np.int64)
-                if not passes(table, slot_of(filter_bits, node, np.array([own], np.int64)))[0]:
-                    continue
-                level = levels[t >> np.uint64(64 - bits)]
-                # t is sorted, so a stable sort by level breaks ties by token
-                part = t[np.argsort(level, kind="stable")[:prefix_length(len(t), percent)]]
-                nodes.append(np.full(len(part), node, np.int64))
-                parts.append(part.view(np.int64))
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (nodes, parts)], ["node", "token"])
-
-    return texts.mapInArrow(run, "node long, token long")
