@@ -89,8 +89,10 @@ def test_prefix_code_and_probabilities_add_up():
 
 
 def test_counts_survive_packing():
-    c = np.random.default_rng(2).integers(0, 1 << 30, 64).astype(np.int32)
-    assert (mixing_lm._unpack(mixing_lm._pack(c)) == c).all()
+    rng = np.random.default_rng(2)
+    for share in (0.0, 0.05, 0.9):
+        c = (rng.integers(0, 1 << 30, 2 * mixing_lm.SLOTS_PER_ROW) * (rng.random(2 * mixing_lm.SLOTS_PER_ROW) < share)).astype(np.int32)
+        assert (mixing_lm._unpack(mixing_lm._pack(c)) == c).all()
 
 
 # 2 ---------------------------------------------------------------------------------------------------
