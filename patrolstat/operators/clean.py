@@ -63,7 +63,8 @@ def typed_incidents(raw: DataFrame) -> DataFrame:
 
 
 def usable_condition(zip_col: str = "zip", required: tuple[str, ...] = (
-        "incident_date", "incident_time", "year", "day_of_week", "category", "code"),
+        "incident_date", "incident_time", "year", "month", "day", "hour", "minute",
+        "day_of_week", "category", "code"),
         label: str = "weight") -> Column:
     """A row can train a model: a non-zero zip, all fields present, label != 0."""
     zip_ok = F.coalesce(safe_int(zip_col) != F.lit(0), F.lit(False))

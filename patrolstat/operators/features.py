@@ -65,13 +65,13 @@ def key_split(df: DataFrame, key: str, train_percent: int = 70, method: str = "h
               out: str = "split") -> DataFrame:
     """Deterministic train/test label per row from its key, independent of partitioning.
 
-    ``hash``: ``pmod(xxhash64(key), 100)``; ``modular``: ``pmod(key * 7919 + 13, 100)``
+    ``hash``: ``pmod(xxhash64(key), 100)``; ``modular``: ``pmod(pmod(key, 100) * 19 + 13, 100)``
     (integer keys; reproducible in any SQL engine).
     """
     if method == "hash":
         bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(100))
     elif method == "modular":
-        bucket = F.pmod(F.col(key) * F.lit(7919) + F.lit(13), F.lit(100))
+        bucket = F.pmod(F.pmod(F.col(key), F.lit(100)) * F.lit(19) + F.lit(13), F.lit(100))
     else:
         raise ValueError(method)
     return df.withColumn(out, F.when(bucket < F.lit(train_percent), F.lit("train")).otherwise(F.lit("test")))

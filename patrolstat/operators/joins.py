@@ -1,13 +1,9 @@
 """Equi joins: profile enrichment, key lists (semi join), re-keying.
 
-No join here forces a broadcast of a side whose size is unknown.  By
-default the strategy is left to Spark: the planner broadcasts a side only
-when its estimated size is under ``spark.sql.autoBroadcastJoinThreshold``,
-and AQE re-plans from the *measured* shuffle sizes (broadcast when a side
-turns out small, split skewed partitions otherwise).  A caller who knows a
-side is a small dimension can pass ``max_broadcast_rows``: the side is then
-counted (reading at most ``max_rows + 1`` rows) and broadcast only when the
-count proves it small; beyond the bound the join stays a shuffle join.
+The strategy is left to Spark: the planner broadcasts a side only when its
+estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
+re-plans from the *measured* shuffle sizes (broadcast when a side turns out
+small, split skewed partitions otherwise).
 """
 
 from __future__ import annotations
@@ -15,43 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a dimension side we accept to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def enrich_join(profile: DataFrame, facts: DataFrame, key: str | list[str],
-                max_broadcast_rows: int | None = None) -> DataFrame:
+def enrich_join(profile: DataFrame, facts: DataFrame, key: str | list[str]) -> DataFrame:
     """Inner join each fact row to its profile row (1:N); unmatched facts vanish."""
-    side = profile if max_broadcast_rows is None else bounded_broadcast(profile, max_broadcast_rows)
-    return facts.join(side, on=key, how="inner")
+    return facts.join(profile, on=key, how="inner")
 
 
-def semi_join_filter(df: DataFrame, keys: DataFrame, key: str,
-                     keys_key: str | None = None,
-                     max_broadcast_rows: int | None = None) -> DataFrame:
+def semi_join_filter(df: DataFrame, keys: DataFrame, key: str, keys_key: str | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` appears in ``keys`` (membership in a key list)."""
-    k = keys.select(F.col(keys_key or key).alias(key))
-    if max_broadcast_rows is not None:
-        k = bounded_broadcast(k, max_broadcast_rows)
-    return df.join(k, on=key, how="left_semi")
+    return df.join(keys.select(F.col(keys_key or key).alias(key)), on=key, how="left_semi")
 
 
-def rekey_join(df: DataFrame, mapping: DataFrame, old_key: str, new_key: str,
-               max_broadcast_rows: int | None = None) -> DataFrame:
+def rekey_join(df: DataFrame, mapping: DataFrame, old_key: str, new_key: str) -> DataFrame:
     """Replace ``old_key`` by ``new_key`` through a key mapping (inner join)."""
-    m = mapping.select(old_key, new_key)
-    if max_broadcast_rows is not None:
-        m = bounded_broadcast(m, max_broadcast_rows)
-    joined = df.join(m, on=old_key, how="inner")
+    joined = df.join(mapping.select(old_key, new_key), on=old_key, how="inner")
     rest = [c for c in df.columns if c != old_key]
     return joined.select(new_key, old_key, *rest)

@@ -13,11 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patrolstat.operators.joins import has_at_most
-
-# Distinct labels we accept to lay out as matrix columns.
-MAX_MATRIX_LABELS = 1000
-
 
 def confusion_counts(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Long confusion matrix: (label, prediction, count)."""
@@ -26,17 +21,15 @@ def confusion_counts(pred: DataFrame, label: str = "label", prediction: str = "p
 
 
 def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Wide matrix: one row per actual label (ascending), one column per true label as predicted."""
+    """Wide matrix: a row per actual label and a column per label, labels being all that occur as
+    either, ascending; rows sum to the label's support.  (The long form needs no label list.)"""
     conf = confusion_counts(pred, label, prediction)
-    labels_df = conf.select("label").distinct()
-    if not has_at_most(labels_df, MAX_MATRIX_LABELS):
-        raise ValueError(f"more than {MAX_MATRIX_LABELS} labels: use confusion_counts (long form)")
-    labels = sorted(r.label for r in labels_df.collect())
-    known = conf.filter(F.col("prediction").isin(labels))
-    wide = known.groupBy("label").pivot("prediction", labels).agg(F.sum("count"))
+    labels_df = conf.select("label").union(conf.select("prediction")).distinct()
+    labels = sorted(r.label for r in labels_df.collect() if r.label is not None)
+    wide = conf.groupBy("label").pivot("prediction", labels).agg(F.sum("count"))
     wide = wide.select("label", *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(f"pred_{c}")
                                   for c in wide.columns if c != "label"])
-    return labels_df.join(wide, "label", "left").fillna(0).orderBy("label")
+    return labels_df.filter("label is not null").join(wide, "label", "left").fillna(0).orderBy("label")
 
 
 def label_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -83,6 +76,18 @@ def summary_metrics(pred: DataFrame, label: str = "label", prediction: str = "pr
                     (F.col("majority_support").cast("double") / n).alias("majority_share"))
 
 
+def run_section(coverage: DataFrame, seconds: float, params: dict[str, object]) -> DataFrame:
+    """Report rows of a run: total, usable and usable percent, training seconds, the best parameters
+    (as text in ``label``, value NULL)."""
+    def row(section: str, lab, value):
+        return F.struct(F.lit(section).alias("section"), F.lit(lab).cast("string").alias("label"),
+                        (value if not isinstance(value, (int, float, type(None))) else F.lit(value)).cast("double").alias("value"))
+    rows = [row(c, None, F.col(c)) for c in ("total_records", "usable_records", "usable_percent")]
+    rows.append(row("training_seconds", None, float(seconds)))
+    rows += [row("best_parameter", f"{k}={v}", None) for k, v in sorted(params.items())]
+    return coverage.select(F.inline(F.array(*rows)))
+
+
 def evaluation_report(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Tidy report rows (section, label, value) for a report sink."""
     per = label_metrics(pred, label, prediction)

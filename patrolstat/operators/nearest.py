@@ -12,12 +12,18 @@ Two exact plans:
   one array by a scalar subquery and every point takes ``array_min`` of
   (squared distance, order, zone) structs -- a narrow map over the points,
   no shuffle of the point side and no cross join.
-* **grid** (any size): centroids and points are keyed by square grid cells.
-  A point compares against centroids in its 3x3 cell block; the best match
-  is provably the nearest when it lies within one cell width.  Unresolved
-  points move to a grid 4x coarser, until every point is resolved (a cell
-  wider than the data resolves every point).  Every level is an equi join on
-  cell keys, with the pending points checkpointed between levels.
+* **grid** (any size): centroids are keyed by square grid cells over their
+  extent, points by their 3x3 cell block.  The best match is provably the
+  nearest when it lies within one cell width.  Unresolved points move to a
+  grid 4x coarser.  When a cell is as wide as the centroids' extent (or as
+  ``max_distance``) no coarser grid can tell centroids apart: the points that
+  are left are compared with every centroid, in blocks of centroids.  So the
+  number of levels is bounded by the centroids, whatever the points.
+
+Both plans treat coordinates alike: NULL, NaN and infinite ones are missing
+(for a centroid: it takes no part), and of centroids at one place only the
+first in order is kept.  Points carry an id of our own, so their columns may
+hold anything, repeated or NULL keys included.
 """
 
 from __future__ import annotations
@@ -25,8 +31,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patrolstat.operators.joins import has_at_most
-
 # Centroids we accept to pack into one array shipped with every task; the
 # packed plan costs one distance per (point, centroid), so it is kept for
 # city-sized centroid tables and the grid plan takes over beyond.
@@ -38,10 +42,17 @@ def _dist2(px: Column, py: Column, cx: Column, cy: Column) -> Column:
     return dx * dx + dy * dy
 
 
+def _finite(v: Column) -> Column:
+    """``v`` as a double, NULL where it is NaN or infinite."""
+    d = v.cast("double")
+    return F.when(F.abs(d) < F.lit(float("inf")), d)
+
+
 def _prepared(centroids: DataFrame, cx: str, cy: str, zone: str, order: str) -> DataFrame:
-    return centroids.select(F.col(cx).cast("double").alias("_cx"), F.col(cy).cast("double").alias("_cy"),
-                            F.col(order).alias("_ord"), F.col(zone).alias("_zone")) \
-        .filter(F.col("_cx").isNotNull() & F.col("_cy").isNotNull())
+    c = centroids.select(_finite(F.col(cx)).alias("_cx"), _finite(F.col(cy)).alias("_cy"),
+                         F.struct(F.col(order).alias("o"), F.col(zone).alias("z")).alias("_oz"))
+    first = c.filter(F.col("_cx").isNotNull() & F.col("_cy").isNotNull()).groupBy("_cx", "_cy").agg(F.min("_oz").alias("_oz"))
+    return first.select("_cx", "_cy", F.col("_oz.o").alias("_ord"), F.col("_oz.z").alias("_zone"))
 
 
 def _finish(df: DataFrame, best: Column, px: Column, py: Column, out: str, distance_col: str | None,
@@ -65,67 +76,59 @@ def nearest_centroid(points: DataFrame, centroids: DataFrame, x: str, y: str,
                      grid_cell: float | None = None) -> DataFrame:
     """Assign every point the zone of its nearest centroid (see module doc).
 
-    ``point_id`` names a unique point key; it is needed only by the grid
-    plan (without it a stable id is generated and checkpointed).
+    ``point_id`` is accepted for callers that name a key; no plan relies on it.
     """
-    cents = _prepared(centroids, cx, cy, zone, order)
-    if grid_cell is None and has_at_most(cents, max_packed):
-        return _nearest_packed(points, cents, x, y, out, distance_col, missing_zone, max_distance)
-    return _nearest_grid(points, cents, x, y, out, distance_col, missing_zone, max_distance,
-                         point_id, grid_cell or _auto_cell(cents))
-
-
-def _auto_cell(cents: DataFrame) -> float:
-    """A cell width giving about one centroid per cell over the centroids' extent."""
+    cents = _prepared(centroids, cx, cy, zone, order).checkpoint(eager=True)
+    pts = points.withColumn("_px", _finite(F.col(x))).withColumn("_py", _finite(F.col(y)))
     s = cents.agg(F.count(F.lit(1)).alias("n"), F.min("_cx").alias("x0"), F.max("_cx").alias("x1"),
                   F.min("_cy").alias("y0"), F.max("_cy").alias("y1")).first()
-    if not s.n:
-        return 1.0
-    span = max(s.x1 - s.x0, s.y1 - s.y0)
-    return span / max(1.0, s.n ** 0.5) if span > 0 else 1.0
+    if s.n == 0 or (grid_cell is None and s.n <= max_packed):
+        return _nearest_packed(pts, cents, out, distance_col, missing_zone, max_distance, list(points.columns))
+    return _nearest_grid(pts, cents, s, out, distance_col, missing_zone, max_distance, list(points.columns), grid_cell)
 
 
-def _nearest_packed(points, cents, x, y, out, distance_col, missing_zone, max_distance):
-    packed = cents.agg(F.collect_list(F.struct("_cx", "_cy", "_ord", "_zone")).alias("c")).scalar()
-    px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    # The subquery result is projected once as a column; the lambda reads that column.
-    cands = F.transform(F.col("_cents"), lambda c: F.struct(
+def _pack(cents: DataFrame) -> DataFrame:
+    return cents.agg(F.collect_list(F.struct("_cx", "_cy", "_ord", "_zone")).alias("c"))
+
+
+def _best_of(cents: Column) -> Column:
+    px, py = F.col("_px"), F.col("_py")
+    return F.array_min(F.transform(cents, lambda c: F.struct(
         _dist2(px, py, c.getField("_cx"), c.getField("_cy")).alias("d2"),
-        c.getField("_ord").alias("ord"), c.getField("_zone").alias("zone")))
-    best = F.when(px.isNotNull() & py.isNotNull(), F.array_min(cands))
-    keep = list(points.columns)
-    with_best = points.withColumn("_cents", packed).withColumn("_best", best)
-    return _finish(with_best, F.col("_best"), px, py, out, distance_col,
-                   missing_zone, max_distance, keep)
-
-
-def _cells(v: Column, cell: float) -> Column:
-    return F.floor(v / F.lit(cell)).cast("long")
-
-
-def _nearest_grid(points, cents, x, y, out, distance_col, missing_zone, max_distance,
-                  point_id, cell):
-    """Exact multi-level grid search (equi joins on cell keys only)."""
-    keep = list(points.columns)
-    if point_id is None:
-        points = points.withColumn("_pid", F.monotonically_increasing_id()).checkpoint(eager=True)
-        pid = "_pid"
-    else:
-        pid = point_id
-    pts = points.withColumn("_px", F.col(x).cast("double")).withColumn("_py", F.col(y).cast("double"))
-    pending = (pts.filter(F.col("_px").isNotNull() & F.col("_py").isNotNull())
-               .select(F.col(pid).alias("_k"), "_px", "_py"))
+        c.getField("_ord").alias("ord"), c.getField("_zone").alias("zone"))))
+
+
+def _nearest_packed(pts, cents, out, distance_col, missing_zone, max_distance, keep):
+    px, py = F.col("_px"), F.col("_py")
+    # The subquery result is projected once as a column; the lambda reads that column.
+    with_best = pts.withColumn("_cents", _pack(cents).scalar()) \
+        .withColumn("_best", F.when(px.isNotNull() & py.isNotNull(), _best_of(F.col("_cents"))))
+    return _finish(with_best, F.col("_best"), px, py, out, distance_col, missing_zone, max_distance, keep)
+
+
+def _cells(v: Column, origin: float, cell: float) -> Column:
+    return F.floor((v - F.lit(origin)) / F.lit(cell)).cast("long")
+
+
+def _nearest_grid(pts, cents, s, out, distance_col, missing_zone, max_distance, keep, grid_cell):
+    """Exact multi-level grid search (equi joins on cell keys)."""
+    pts = pts.withColumn("_k", F.monotonically_increasing_id()).checkpoint(eager=True)
+    pending = pts.filter(F.col("_px").isNotNull() & F.col("_py").isNotNull()).select("_k", "_px", "_py")
+    span = max(s.x1 - s.x0, s.y1 - s.y0)
+    cell = grid_cell or (span / max(1.0, s.n ** 0.5) if span > 0 else 1.0)
+    widest = span if max_distance is None else min(span, float(max_distance))
     offsets = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     resolved: list[DataFrame] = []
-    has_centroids = not cents.isEmpty()
-    while has_centroids:
-        c_cells = cents.select(_cells(F.col("_cx"), cell).alias("_gx"),
-                               _cells(F.col("_cy"), cell).alias("_gy"), "_cx", "_cy", "_ord", "_zone")
-        p_cells = (pending.select("_k", "_px", "_py", F.explode(offsets).alias("_ox"))
+    while cell < widest:
+        c_cells = cents.select(_cells(F.col("_cx"), s.x0, cell).alias("_gx"),
+                               _cells(F.col("_cy"), s.y0, cell).alias("_gy"), "_cx", "_cy", "_ord", "_zone")
+        # a point outside the centroids' box by more than a cell cannot be resolved at this level
+        near = pending.filter(F.col("_px").between(s.x0 - cell, s.x1 + cell) & F.col("_py").between(s.y0 - cell, s.y1 + cell))
+        p_cells = (near.select("_k", "_px", "_py", F.explode(offsets).alias("_ox"))
                    .select("*", F.explode(offsets).alias("_oy"))
                    .select("_k", "_px", "_py",
-                           (_cells(F.col("_px"), cell) + F.col("_ox")).alias("_gx"),
-                           (_cells(F.col("_py"), cell) + F.col("_oy")).alias("_gy")))
+                           (_cells(F.col("_px"), s.x0, cell) + F.col("_ox")).alias("_gx"),
+                           (_cells(F.col("_py"), s.y0, cell) + F.col("_oy")).alias("_gy")))
         cand = p_cells.join(c_cells, on=["_gx", "_gy"], how="inner").select(
             "_k", F.struct(_dist2(F.col("_px"), F.col("_py"), F.col("_cx"), F.col("_cy")).alias("d2"),
                            F.col("_ord").alias("ord"), F.col("_zone").alias("zone")).alias("_c"))
@@ -137,13 +140,14 @@ def _nearest_grid(points, cents, x, y, out, distance_col, missing_zone, max_dist
         if pending.isEmpty():
             break
         cell *= 4.0
-    if resolved:
-        found = resolved[0]
-        for r in resolved[1:]:
-            found = found.unionByName(r)
-        joined = pts.join(found.withColumnRenamed("_k", pid), on=pid, how="left")
-    else:
-        joined = pts.withColumn("_best", F.lit(None).cast(
-            "struct<d2:double,ord:bigint,zone:string>"))
-    return _finish(joined, F.col("_best"), F.col("_px"), F.col("_py"), out, distance_col,
-                   missing_zone, max_distance, keep)
+    # the rest: blocks of centroids, each row of a block read with every point left
+    blocks = cents.withColumn("_b", F.pmod(F.hash("_cx", "_cy"), F.lit(-(-s.n // DEFAULT_PACKED_CENTROIDS)))) \
+        .groupBy("_b").agg(F.collect_list(F.struct("_cx", "_cy", "_ord", "_zone")).alias("_cents"))
+    n_blocks = -(-s.n // DEFAULT_PACKED_CENTROIDS)
+    left = pending.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(blocks, "_b")
+    rest = left.select("_k", _best_of(F.col("_cents")).alias("_c")).groupBy("_k").agg(F.min("_c").alias("_best"))
+    found = rest
+    for r in resolved:
+        found = found.unionByName(r)
+    joined = pts.join(found, on="_k", how="left")
+    return _finish(joined, F.col("_best"), F.col("_px"), F.col("_py"), out, distance_col, missing_zone, max_distance, keep)

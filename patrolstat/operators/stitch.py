@@ -1,12 +1,11 @@
 """Segment stitch: records split over N numbered segments, joined back per key.
 
-The chain of N-1 inner joins on the record key is one aggregation here:
-each segment's payload is a ``min(when(segment = i, payload))`` column, so
-the plan is a single partial/final hash aggregate (one shuffle, N bounded
-string slots per key), never a list of a key's rows.  A key is kept only
-when every segment 1..N is present, which is what the inner-join chain
-means.  If a (key, segment) pair occurs more than once the smallest payload
-is used (an inner-join chain would instead multiply the record).
+The chain of N-1 inner joins on the record key is one grouping here: narrow
+(segment, payload) rows are shuffled once and sorted per key, at most N of
+them.  A key is kept only when every segment 1..N is present, which is what
+the inner-join chain means.  A repeated (key, segment) pair is an error in the
+input (a join chain would multiply the record) and fails the job, by name.
+Segments outside 1..N are ignored.
 """
 
 from __future__ import annotations
@@ -21,12 +20,12 @@ def segment_stitch(segments: DataFrame, key: str, segment: str, payload: str,
 
     Every payload is followed by ``sep`` (the record is ``p1,p2,...,pN,``).
     """
-    slots = [F.min(F.when(F.col(segment) == F.lit(i), F.coalesce(F.col(payload), F.lit(""))))
-             .alias(f"_s{i}") for i in range(1, n_segments + 1)]
-    per_key = segments.groupBy(key).agg(*slots)
-    complete = [F.col(f"_s{i}").isNotNull() for i in range(1, n_segments + 1)]
-    cond = complete[0]
-    for c in complete[1:]:
-        cond = cond & c
-    record = F.concat(*[F.concat(F.col(f"_s{i}"), F.lit(sep)) for i in range(1, n_segments + 1)])
-    return per_key.filter(cond).select(key, record.alias(out))
+    rows = segments.filter(F.col(segment).between(1, n_segments)).select(
+        key, F.struct(F.col(segment).alias("s"), F.coalesce(F.col(payload), F.lit("")).alias("p")).alias("_sp"))
+    # repeated pairs are found by partial counts, so they never pile up in a list
+    per_pair = rows.groupBy(key, F.col("_sp.s").alias("_s")).agg(F.count(F.lit(1)).alias("_n"), F.first("_sp").alias("_sp"))
+    one = F.when(F.col("_n") == 1, F.col("_sp")).otherwise(F.raise_error(F.concat(
+        F.lit("segment "), F.col("_s").cast("string"), F.lit(" is repeated for record "), F.col(key).cast("string"))))
+    per_key = per_pair.groupBy(key).agg(F.sort_array(F.collect_list(one)).alias("_all")).filter(F.size("_all") == n_segments)
+    record = F.concat(F.array_join(F.transform("_all", lambda x: x["p"]), sep), F.lit(sep))
+    return per_key.select(key, record.alias(out))

@@ -187,8 +187,7 @@ def q_fixed_width_parse(spark, sf_dir):
     lines = o.select(F.format_string("%012d%012d%-1s%-15s", "o_orderkey", "o_custkey",
                                      "o_orderstatus", "o_orderpriority").alias("value"))
     cut = R.parse_fixed_width(lines, ORDER_LAYOUT)
-    return cut.select(P.safe_int("o_orderkey").alias("o_orderkey") if False else
-                      F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),
+    return cut.select(F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),
                       F.col("o_custkey").try_cast("bigint").alias("o_custkey"),
                       "o_orderstatus", F.rtrim("o_orderpriority").alias("o_orderpriority"))
 

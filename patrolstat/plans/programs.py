@@ -51,12 +51,26 @@ def census_cut(geo_lines: DataFrame, segment_lines: DataFrame, zips: DataFrame,
     return keyed.select("zip", "logrecno", "record")
 
 
-def census_profile(census_records: DataFrame, fields: dict[str, int]) -> DataFrame:
-    """Pick numbered fields of the stitched census record: {name: field index}.
+# --- FIXED VALUES: census fields of the profile, as positions counted with the
+# record number as field 0; our record starts after it, hence one less there.
+CENSUS_FIELDS: dict[str, int] = {
+    "total_population": 1,
+    "median_household_income": 1237,
+    "per_capita_income": 1455,
+    "poverty_status_population": 1507,
+}
+# --- end of fixed values
+
+
+def census_profile(census_records: DataFrame, fields: dict[str, int] | None = None) -> DataFrame:
+    """Pick numbered fields of the stitched census record: {name: index in ``record``, from 0}.
+
+    Default: :data:`CENSUS_FIELDS`.
 
     Several record numbers may share one zip; the smallest record number is
     kept, deterministically.
     """
+    fields = fields if fields is not None else {k: i - 1 for k, i in CENSUS_FIELDS.items()}
     parts = F.split(F.col("record"), ",")
     picked = census_records.select("zip", "logrecno", *[
         F.get(parts, i).try_cast("long").alias(name) for name, i in fields.items()])
@@ -87,9 +101,10 @@ def zip_slot_profile(raw_incidents: DataFrame, census: DataFrame, key: str = "zi
     """Per-zip census profile + incident counts, mean severity and thefts per 6-hour slot.
 
     ``raw_incidents`` are zip-tagged text fields; ``census`` may hold several
-    records per zip (the one with the smallest ``order_by`` is kept).
+    records per zip (the one with the smallest ``order_by`` is kept); without that
+    column it has one per zip already, as :func:`census_profile` returns it.
     """
-    profile = A.dedup_keep_first(census, key=key, order_by=order_by).drop(order_by)
+    profile = A.dedup_keep_first(census, key=key, order_by=order_by).drop(order_by) if order_by in census.columns else census
     return A.slot_profile(C.typed_incidents(raw_incidents), profile, key=key)
 
 
@@ -129,4 +144,5 @@ def train_and_evaluate(spark: SparkSession, incidents: DataFrame, grid: dict[str
     preds = MO.predictions(cv.model, test, keep=[key])
     return TrainResult(coverage=coverage, cv=cv, predictions=preds,
                        label_metrics=ME.label_metrics(preds), summary=ME.summary_metrics(preds),
-                       report=ME.evaluation_report(preds))
+                       report=ME.evaluation_report(preds).unionByName(
+                           ME.run_section(coverage, cv.seconds, max(cv.scores, key=lambda s: s[1])[0])))

@@ -14,8 +14,6 @@ exercised on every scale factor.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,34 +47,8 @@ def _sql_list(values: tuple[str, ...], *extra: str) -> str:
 
 # --- raw incidents (events) -------------------------------------------------
 
-_MATERIALIZED: dict[tuple[str, str], str] = {}
-
-
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zip-tagged raw incident fields (all text, ``'null'`` markers) from ``events``.
-
-    Real raw incidents are a file of plain text columns.  The stand-in is
-    therefore written once per session and scale factor as parquet under the
-    session's checkpoint folder and read back, so downstream jobs see plain
-    columns (not the expressions that derive them from ``events``).
-    """
-    from patrolstat.session import ensure_checkpoint_dir
-
-    key = (spark.sparkContext.applicationId, sf_dir)
-    path = _MATERIALIZED.get(key)
-    if path is not None:
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 -- folder removed since: write it again
-            _MATERIALIZED.pop(key, None)
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/standin/raw_incidents/{uuid.uuid4().hex}"
-    raw_incidents_plan(spark, sf_dir).write.mode("overwrite").parquet(path)
-    _MATERIALIZED[key] = path
-    return spark.read.parquet(path)
-
-
-def raw_incidents_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stand-in's derivation from ``events`` (see :func:`raw_incidents`)."""
+    """Zip-tagged raw incident fields (all text, ``'null'`` markers), derived from ``events``."""
     e = table(spark, sf_dir, "events")
     n_pool = len(CATEGORY_POOL) + 1
     idx = F.pmod(F.col("event_id") * CATEGORY_STRIDE + F.col("user_id"), F.lit(n_pool)).cast("int")

@@ -84,14 +84,11 @@ ZIP_CENTROID_SCHEMA = T.StructType([
 def read_lines(spark: SparkSession, path: str | list[str], min_partitions: int | None = None) -> DataFrame:
     """Text lines in column ``value``.
 
-    Split sizes come from ``spark.sql.files.maxPartitionBytes``; only when a
-    caller asks for more parallelism than the splits give is the input
-    round-robin repartitioned (one shuffle of the raw lines).
+    Split sizes come from ``spark.sql.files.maxPartitionBytes``; with
+    ``min_partitions`` the lines are dealt round-robin to that many (one shuffle).
     """
     df = spark.read.text(path)
-    if min_partitions is not None and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    return df if min_partitions is None else df.repartition(min_partitions)
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], schema: T.StructType,
@@ -211,12 +208,13 @@ def census_segment_records(lines: DataFrame, line: str = "value",
 
 
 def read_numbered_segments(spark: SparkSession, path_glob: str,
-                           number_pattern: str = r"(\d+)\.[^.]*$") -> DataFrame:
+                           number_pattern: str = r"ca(\d{5})\.") -> DataFrame:
     """All numbered segment files in one scan: ``value`` + ``segment`` number.
 
     The segment number is taken from each file's name through the hidden
     ``_metadata`` column, so 76 files are one job and one scan instead of 76.
+    A file whose name has no number gets a NULL segment.
     """
     df = spark.read.text(path_glob)
     return df.select("value", F.regexp_extract(F.col("_metadata.file_name"), number_pattern, 1)
-                     .cast("int").alias("segment"))
+                     .try_cast("int").alias("segment"))

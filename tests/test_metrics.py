@@ -40,7 +40,8 @@ def test_confusion_matrix_shape(spark, pairs):
     labels = [r.label for r in wide]
     assert labels == sorted(labels)
     assert all(len(r) == len(labels) + 1 for r in wide)
-    # rows sum to support only over predicted values that are true labels
+    support = {r.label: r.support for r in ME.label_metrics(pairs).collect()}
+    assert all(sum(r[1:]) == support.get(r.label, 0) for r in wide)
     long = ME.confusion_counts(pairs).collect()
     assert sum(r["count"] for r in long) == 601
 

@@ -40,3 +40,38 @@ def test_train_and_evaluate(spark):
     assert 0.0 <= s.accuracy <= 1.0 and s.n == res.predictions.count()
     assert res.coverage.first().total_records == 300
     assert {r.section for r in res.report.collect()} >= {"accuracy", "precision"}
+
+
+def test_census_chain_from_text_to_profile_text(spark):
+    from patrolstat.operators.render import render_profile
+
+    geo = spark.createDataFrame([(" " * 18 + f"000000{i}" + " " * 135 + z,) for i, z in ((1, "94100"), (2, "94100"), (3, "94101"))],
+                                "value string")
+    # two segments that hold 1,600 fields together; field k of the record (from 0) is 10000 * i + k
+    segs = spark.createDataFrame([("X" * 15 + f"000000{i} " + ",".join(str(10000 * i + k) for k in span), s)
+                                  for i in (1, 2, 3) for s, span in ((1, range(900)), (2, range(900, 1600)))], "value string, segment int")
+    records = PR.census_cut(geo, segs, spark.createDataFrame([("94100",), ("94101",)], "zip string"), n_segments=2)
+    profile = PR.zip_slot_profile(_raw(spark), PR.census_profile(records))
+    rows = {r.zip: r for r in profile.collect()}
+    assert [rows["94100"][c] for c in PR.CENSUS_FIELDS] == [10000 + i - 1 for i in PR.CENSUS_FIELDS.values()]
+    text = {r.zip: r.profile_text for r in render_profile(profile, "zip", [("Total Population", "total_population")]).collect()}
+    assert text["94101"].startswith("(94101,(censusData: {Total Population: 30000},totalIncidentCount: 60----")
+
+
+def test_report_has_the_run(spark):
+    from patrolstat.operators.clean import typed_incidents
+
+    res = PR.train_and_evaluate(spark, typed_incidents(_raw(spark)), grid={"maxDepth": [2], "numTrees": [2]}, folds=2)
+    got = {r.section: r for r in res.report.collect()}
+    assert got["total_records"].value == 300 and got["training_seconds"].value > 0
+    assert got["best_parameter"].label in ("maxDepth=2", "numTrees=2")
+
+
+def test_a_learnable_label_is_learned(spark):
+    from patrolstat.operators import models as MO
+
+    rows = [(94100 + i % 5, 1 + i % 12, 1 + i % 28, i % 24, i % 60, 2019, DAYS[i % 7], 1.0 + (i % 24) // 6) for i in range(800)]
+    df = spark.createDataFrame(rows, "zipcode int, month int, date int, hour int, minute int, year int, dayOfWeek string, label double")
+    model = MO.fit(MO.classification_pipeline(MO.random_forest(max_depth=8)), df)
+    got = {r.part: r.accuracy for r in MO.train_and_test_accuracy(model, df, df.limit(200)).collect()}
+    assert got["train"] >= 0.95 and got["test"] >= 0.95
