@@ -90,8 +90,9 @@ def classification_pipeline(classifier, one_hot_all: bool = False, include_code:
 
 
 # Partitions a training set is dealt to: fixed, so that what depends on the
-# partitioning (bagging) is the same on any number of cores.
-TRAIN_PARTITIONS = 32
+# partitioning (bagging) is the same on any number of cores.  Raise it with the
+# size of the training set (``spread(train, partitions)``).
+TRAIN_PARTITIONS = 8
 FOLD = "_fold"
 
 

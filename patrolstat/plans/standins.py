@@ -62,8 +62,9 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     def marked(mod: int, value):
         return F.when(F.pmod(F.col("event_id"), F.lit(mod)) == 0, F.lit("null")).otherwise(value)
 
-    with_idx = e.withColumn("_idx", idx).join(F.broadcast(pool), on="_idx", how="left")
-    return with_idx.select(
+    # The text columns are made in one generated row, so that what reads them uses them as
+    # plain columns, as from a file: projections and filters are not merged through a generator.
+    made = e.select(F.inline(F.array(F.struct(
         F.col("event_id").alias("incident_id"),
         F.when(F.pmod(F.col("event_id"), F.lit(MISSING_ZIP_MOD)) == 0, F.lit("00000"))
         .otherwise(F.col("user_id").cast("string")).alias("zip"),
@@ -71,11 +72,12 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
         marked(MISSING_TIME_MOD, F.date_format("ts", "HH:mm")).alias("incident_time"),
         F.year("ts").cast("string").alias("incident_year"),
         marked(MISSING_DOW_MOD, F.date_format("ts", "EEEE")).alias("day_of_week"),
-        marked(MISSING_CODE_MOD, F.lpad((F.col("_idx") + 1000).cast("string"), 5, "0")).alias("incident_code"),
-        F.coalesce(F.col("_pool_category"), F.col("event_type")).alias("category"),
-        F.element_at(districts, (F.pmod(F.col("user_id"), F.lit(len(DISTRICT_POOL))) + 1).cast("int"))
-        .alias("district"),
-    )
+        marked(MISSING_CODE_MOD, F.lpad((idx + 1000).cast("string"), 5, "0")).alias("incident_code"),
+        F.element_at(districts, (F.pmod(F.col("user_id"), F.lit(len(DISTRICT_POOL))) + 1).cast("int")).alias("district"),
+        "event_type", idx.alias("_idx")))))
+    return made.join(F.broadcast(pool), on="_idx", how="left").select(
+        "incident_id", "zip", "incident_date", "incident_time", "incident_year", "day_of_week", "incident_code",
+        F.coalesce(F.col("_pool_category"), F.col("event_type")).alias("category"), "district")
 
 
 def raw_incidents_sql() -> str:
