@@ -7,14 +7,17 @@ all written out; none between classes is lost).
 
 1. Equal sets collapse to one node (the hash of the sorted set).
 2. Similar nodes are partitioned into groups: nodes that share a min-hash are
-   compared with one pivot of theirs, and the links found make the first
-   classes; a class is cut into groups of about ``GROUP`` nodes.
+   compared with one pivot of theirs, the one with the smallest share of tokens
+   of its own, and the links found make the first classes; a class is cut into groups of about ``GROUP`` nodes.
 3. What can still be missed are links between classes.  In any global order of
    the tokens two linked sets share one of their first ``n - ceil(t n) + 1``
    tokens; the order used puts frequent tokens last, by a counting sketch, which
    decides the cost and not the result.  With ``SHARED - 1`` more tokens they
    share ``SHARED`` of them; a (node, group) pair of different classes that does
-   is a candidate.
+   is a candidate.  A first token that no other node has among its own first
+   ones is in no set that shares a later one of them, so a node with ``lone``
+   such tokens before the shared one overlaps by ``n - lone`` at most: copies
+   that each have many tokens of their own meet only nodes that have few.
 4. The matrix holds each candidate group's token union.  A node's overlap with
    the union bounds its overlap with every member: a group is opened only if
    the bound reaches what the smallest member needs, and then each member of
@@ -40,7 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bitfilter import filter_of, near, passes, slot_of
@@ -122,13 +125,13 @@ def prefix_length(n: int, percent: int, shared: int = SHARED) -> int:
 
 
 def _prefixes(texts: DataFrame, width: int, percent: int, levels: np.ndarray, bits: int, nodes: DataFrame) -> DataFrame:
-    """``node, token``: each node's first tokens in the order (level, token), from the document named for it."""
+    """``node, token, at``: each node's first tokens in the order (level, token), from the document named for it."""
     table, filter_bits = filter_of(nodes.select("node", "id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for b in batches:
-            nodes, parts = [], []
+            nodes, parts, places = [], [], []
             for own, words in zip(b.column(0).to_pylist(), hasher.texts(b.column(1).to_pylist())):
                 t = ngrams(words, width)
                 if own is None or not len(t):
@@ -141,10 +144,12 @@ def _prefixes(texts: DataFrame, width: int, percent: int, levels: np.ndarray, bi
                 part = t[np.argsort(level, kind="stable")[:prefix_length(len(t), percent)]]
                 nodes.append(np.full(len(part), node, np.int64))
                 parts.append(part.view(np.int64))
+                places.append(np.arange(len(part)))
             if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (nodes, parts)], ["node", "token"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (nodes, parts, places)],
+                                                 ["node", "token", "at"])
 
-    return texts.mapInArrow(run, "node long, token long")
+    return texts.mapInArrow(run, "node long, token long, at long")
 
 
 def _token_sets(texts: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
@@ -188,6 +193,27 @@ def _may_link(n1: str, n2: str, percent: int) -> Column:
     return 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
 
 
+def _candidates(heads: DataFrame, percent: int) -> DataFrame:
+    """``node, n, g_cls, g_part``: the groups of other classes that share enough first tokens with a node.
+
+    ``heads``: ``node, token, most`` (the largest overlap a set that shares the
+    token can reach), ``n``, ``cls, part, members``.  Two sides that both fail to
+    reach the threshold with a set of their own size cannot reach it together, so
+    such rows are joined only with those that can.
+    """
+    groups = (heads.groupBy("token", "cls", "part").agg(
+        F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("most").alias("g_most"), F.first("members").alias("g_members"))
+        .withColumnsRenamed({"cls": "g_cls", "part": "g_part"}))
+    smaller = F.struct("members", "cls") < F.struct(F.col("g_members").alias("members"), F.col("g_cls").alias("cls"))
+    fits = ((100 * F.col("n_max") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("n_min"))
+            & ((100 + percent) * F.least("most", "g_most") >= percent * (F.col("n") + F.col("n_min"))))
+    able, g_able = (100 + percent) * F.col("most") >= 2 * percent * F.col("n"), (100 + percent) * F.col("g_most") >= 2 * percent * F.col("n_min")
+    met = [left.join(right, "token").filter(smaller & fits).select("node", "n", "g_cls", "g_part")
+           for left, right in ((heads.filter(able), groups), (heads.filter(~able), groups.filter(g_able)))]
+    return (met[0].unionByName(met[1]).groupBy("node", "n", "g_cls", "g_part").agg(F.count("*").alias("c"))
+            .filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))).drop("c"))
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
             percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id``: per row its set size and its class, named by the smallest id."""
@@ -200,9 +226,20 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
              .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("mins").alias("mins")))
     nodes = cut(nodes)
 
-    # nodes that share a min-hash, each with the pivot of its bucket
-    keys = nodes.select("node", "n", F.posexplode("mins").alias("slot", "key"))
-    pivots = (keys.groupBy("slot", "key").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("c"))
+    # tokens that stand among the first of two nodes or more; nodes with too few of them are linked with nothing
+    heads = cut(_prefixes(texts, width, percent, _levels(profiles, bits), bits, nodes))
+    met = cut(heads.groupBy("token").count().filter("count > 1").select("token"))
+    heads = cut(near(heads, "token", met).join(met, "token").distinct())
+    needed = F.ceil(F.col("n") * percent / 100).cast("long")
+    length = F.least("n", F.col("n") - needed + SHARED)
+    nodes = cut(nodes.join(heads.groupBy("node").agg(F.count("*").alias("met")), "node")
+                .filter(F.col("met") >= F.least(F.lit(SHARED), needed))
+                .select("node", "id", "n", "mins", ((length - F.col("met")) / F.col("n")).alias("own")))
+    release(spark)
+
+    # nodes that share a min-hash, each with the pivot of its bucket: the one with the least of its own
+    keys = nodes.select("node", "n", "own", F.posexplode("mins").alias("slot", "key"))
+    pivots = (keys.groupBy("slot", "key").agg(F.min(F.struct("own", "node", "n")).alias("p"), F.count("*").alias("c"))
               .filter("c > 1").select("slot", "key", F.col("p.node").alias("b"), F.col("p.n").alias("nb")))
     stars = cut(keys.join(pivots, ["slot", "key"]).filter((F.col("node") != F.col("b")) & _may_link("n", "nb", percent))
                 .select(F.col("node").alias("a"), "b").distinct())
@@ -213,25 +250,14 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     release(spark)
     first = components(links)
 
-    # tokens that stand among the first of two nodes or more
-    heads = cut(_prefixes(texts, width, percent, _levels(profiles, bits), bits, nodes))
-    met = cut(heads.groupBy("token").count().filter("count > 1").select("token"))
-    heads = cut(near(heads, "token", met).join(met, "token").distinct())
-    release(spark)
     classed = nodes.select("node", "id", "n").join(first, "node", "left").withColumn("cls", F.coalesce("label", "node"))
     members = classed.groupBy("cls").agg(F.count("*").alias("members"))
     grouped = cut(classed.join(members, "cls").select(
         "node", "id", "n", "cls", "members",
         F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / GROUP).cast("long")).alias("part")))
-    heads = cut(heads.join(grouped.drop("id"), "node"))
-    groups = (heads.groupBy("token", "cls", "part").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"),
-                                                         F.first("members").alias("g_members"))
-              .withColumnsRenamed({"cls": "g_cls", "part": "g_part"}))
-    smaller = F.struct("members", "cls") < F.struct(F.col("g_members").alias("members"), F.col("g_cls").alias("cls"))
-    asked = cut(heads.join(groups, "token").filter(
-        smaller & (100 * F.col("n_max") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("n_min")))
-        .groupBy("node", "n", "g_cls", "g_part").agg(F.count("*").alias("c"))
-        .filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))).drop("c"))
+    before = F.row_number().over(Window.partitionBy("node").orderBy("at")) - 1
+    heads = heads.withColumn("lone", F.col("at") - before).join(grouped.drop("id"), "node")
+    asked = cut(_candidates(cut(heads.withColumn("most", F.col("n") - F.col("lone")).drop("at", "lone")), percent))
 
     opened = grouped.select(F.col("node").alias("b"), F.col("id").alias("b_id"), F.col("n").alias("nb"),
                             F.col("cls").alias("g_cls"), F.col("part").alias("g_part"), "members")
