@@ -80,8 +80,12 @@ def test_context_mixing_base_and_model(docs, empty):
 
 def test_prefix_code_and_probabilities_add_up():
     rng = np.random.default_rng(1)
-    length, node, bit = mixing_lm.prefix_code(rng.integers(0, 1000, 256))
+    length, step = mixing_lm.prefix_code(rng.integers(0, 1000, 256))
     assert abs(sum(2.0 ** -length.astype(float)) - 1) < 1e-12
+    # no two symbols share a path, and every inner node has a place of its own in the tables
+    paths = [tuple(s[:n]) for s, n in zip(step.tolist(), length.tolist())]
+    assert len(set(paths)) == 256 and len({s >> 1 for path in paths for s in path}) == 255
+    assert max(s >> 1 for path in paths for s in path) < 1 << min(mixing_lm.TABLE_BITS)
     # one decision's two outcomes have probabilities that add up to one
     x = rng.normal(size=(len(mixing_lm.ORDERS), 1)).astype(np.float32)
     p = [2 ** mixing_lm.Mixer(*mixing_lm.start_weights()).log2(x, np.array([b]), [1]) for b in (0, 1)]
