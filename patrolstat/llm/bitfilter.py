@@ -23,12 +23,14 @@ def slot_of(bits: int, first: np.ndarray, second: np.ndarray | None = None) -> n
     return mixed(h) >> np.uint64(64 - bits)
 
 
-def filter_of(wanted: DataFrame) -> tuple[np.ndarray, int]:
+def filter_of(wanted: DataFrame, at_most: int | None = None) -> tuple[np.ndarray, int]:
     """A one-hash bit filter of the rows (one or two longs); at most ``2 ** MAX_FILTER_BITS`` bits.
 
     Past that size it lets more through, which costs time: what it is used on is joined exactly later.
+    ``at_most``: a known bound of the rows, which saves counting them.
     """
-    bits = min(MAX_FILTER_BITS, max(16, math.ceil(math.log2(16 * max(1, wanted.count())))))
+    n = wanted.count() if at_most is None else at_most
+    bits = min(MAX_FILTER_BITS, max(16, math.ceil(math.log2(16 * max(1, n)))))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -47,10 +49,10 @@ def passes(table: np.ndarray, slot: np.ndarray) -> np.ndarray:
     return (table[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
 
 
-def near(df: DataFrame, column: str, wanted: DataFrame, without: bool = False) -> DataFrame:
+def near(df: DataFrame, column: str, wanted: DataFrame, without: bool = False, at_most: int | None = None) -> DataFrame:
     """The rows of ``df`` whose ``column`` is in ``wanted`` (a column of longs), and a few others:
     what an exact join would drop, dropped before its shuffle.  ``without``: the remaining rows."""
-    table, bits = filter_of(wanted)
+    table, bits = filter_of(wanted, at_most)
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

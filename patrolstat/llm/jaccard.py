@@ -124,9 +124,10 @@ def prefix_length(n: int, percent: int, shared: int = SHARED) -> int:
     return min(n, n - -(-percent * n // 100) + shared)
 
 
-def _prefixes(texts: DataFrame, width: int, percent: int, levels: np.ndarray, bits: int, nodes: DataFrame) -> DataFrame:
+def _prefixes(texts: DataFrame, width: int, percent: int, levels: np.ndarray, bits: int, nodes: DataFrame,
+              at_most: int) -> DataFrame:
     """``node, token, at``: each node's first tokens in the order (level, token), from the document named for it."""
-    table, filter_bits = filter_of(nodes.select("node", "id"))
+    table, filter_bits = filter_of(nodes.select("node", "id"), at_most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -152,13 +153,13 @@ def _prefixes(texts: DataFrame, width: int, percent: int, levels: np.ndarray, bi
     return texts.mapInArrow(run, "node long, token long, at long")
 
 
-def _token_sets(texts: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
+def _token_sets(texts: DataFrame, width: int, wanted: DataFrame, at_most: int) -> DataFrame:
     """``node, tokens`` of the wanted nodes, each from the document ``id`` that ``wanted`` names for it.
 
     The texts stay where they are: a bit filter of bounded size goes to them.
     What it lets through by chance is a few more sets, which no join asks for.
     """
-    table, bits = filter_of(wanted.select("node", "id"))
+    table, bits = filter_of(wanted.select("node", "id"), at_most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -219,7 +220,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     """``doc_id, n_shingles, component_id``: per row its set size and its class, named by the smallest id."""
     texts = _texts(docs, doc_id, text)
     spark = docs.sparkSession
-    bits = min(MAX_SKETCH_BITS, max(16, math.ceil(math.log2(16 * max(1, docs.count())))))
+    n_docs = docs.count()  # bounds the nodes too
+    bits = min(MAX_SKETCH_BITS, max(16, math.ceil(math.log2(16 * max(1, n_docs)))))
     profiles = cut(_profiles(texts, width, bits))
     rows = profiles.filter("chunk is null").select("id", "node", "n", "mins")
     nodes = (rows.filter("n > 0 and id is not null").groupBy("node")
@@ -227,7 +229,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     nodes = cut(nodes)
 
     # tokens that stand among the first of two nodes or more; nodes with too few of them are linked with nothing
-    heads = cut(_prefixes(texts, width, percent, _levels(profiles, bits), bits, nodes))
+    heads = cut(_prefixes(texts, width, percent, _levels(profiles, bits), bits, nodes, n_docs))
     met = cut(heads.groupBy("token").count().filter("count > 1").select("token"))
     heads = cut(near(heads, "token", met).join(met, "token").distinct())
     needed = F.ceil(F.col("n") * percent / 100).cast("long")
@@ -245,7 +247,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
                 .select(F.col("node").alias("a"), "b").distinct())
     ends = stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node"))).distinct()
     starred = cut(nodes.join(ends, "node").select("node", "id"))
-    sets = cut(_token_sets(texts, width, starred))
+    sets = cut(_token_sets(texts, width, starred, n_docs))
     links = cut(_linked(stars, sets, percent))
     release(spark)
     first = components(links)
@@ -264,28 +266,31 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     opened = cut(opened.join(asked.select("g_cls", "g_part").distinct(), ["g_cls", "g_part"], "left_semi"))
     wanted = (grouped.join(asked.select("node").distinct(), "node", "left_semi").select("node", "id")
               .union(opened.select("b", "b_id")).distinct().join(starred.select("node"), "node", "left_anti"))
-    sets = sets.unionByName(cut(_token_sets(texts, width, cut(wanted))))
+    sets = sets.unionByName(cut(_token_sets(texts, width, cut(wanted), n_docs)))
     # the matrix: token unions of the groups asked for (a group of one is its own union: compared at once)
     many = opened.filter("members > 1")
     asked_many = cut(asked.join(many.select("g_cls", "g_part").distinct(), ["g_cls", "g_part"], "left_semi"))
-    matrix = (many.join(near(sets, "node", many.select("b")).withColumnRenamed("node", "b"), "b").groupBy("g_cls", "g_part")
+    matrix = (many.join(near(sets, "node", many.select("b"), at_most=n_docs).withColumnRenamed("node", "b"), "b").groupBy("g_cls", "g_part")
               .agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"), F.min("nb").alias("least")))
     bound = F.size(F.array_intersect("tokens", "union"))
-    qualified = (asked_many.join(near(sets, "node", asked_many.select("node")), "node").join(matrix, ["g_cls", "g_part"])
+    qualified = (asked_many.join(near(sets, "node", asked_many.select("node"), at_most=n_docs), "node").join(matrix, ["g_cls", "g_part"])
                  .filter(100 * bound >= percent * F.greatest("n", "least")).select("node", "n", "g_cls", "g_part"))
     alone = asked.join(opened.filter("members = 1").select("g_cls", "g_part"), ["g_cls", "g_part"], "left_semi")
     pairs = cut(qualified.unionByName(alone.select("node", "n", "g_cls", "g_part")).join(opened, ["g_cls", "g_part"])
                 .filter(_may_link("n", "nb", percent)).select(F.col("node").alias("a"), "b").distinct())
     paired = pairs.select("a").union(pairs.select("b")).distinct()
-    links = cut(links.unionByName(_linked(pairs, near(sets, "node", paired), percent)))
+    links = _linked(pairs, near(sets, "node", paired, at_most=n_docs), percent)
+    # the first classes are the nodes of what is left: only links between them are followed
+    class_of = grouped.select("node", "cls")
+    between = (links.join(class_of.withColumnsRenamed({"node": "a", "cls": "u"}), "a")
+               .join(class_of.withColumnsRenamed({"node": "b", "cls": "v"}), "b"))
+    second = components(between, "u", "v").withColumnRenamed("node", "cls")
     release(spark)
 
-    last = components(links)
     named = rows.filter("n > 0 and id is not null").select("id", "node").distinct()
     # ids are nodes of the graph too: an id with several sets ties them together
-    several = named.groupBy("node").agg(F.min("id").alias("m")).join(last, "node", "left") \
-        .select("node", F.coalesce("label", "node").alias("label"))
-    labelled = cut(named.join(several, "node"))
+    labelled = cut(named.join(class_of, "node", "left").join(second, "cls", "left")
+                   .select("id", "node", F.coalesce("label", "cls", "node").alias("label")))
     repeated = labelled.groupBy("id").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b")
     if repeated.limit(1).count():
         ties = labelled.join(repeated.select("id", "a"), "id").select("a", F.col("label").alias("b"))

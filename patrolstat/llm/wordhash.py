@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 
@@ -26,6 +27,13 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse; a worker keeps them for its next tasks."""
+    return tuple(np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n - 1, x, np.uint64))))
+                 for x in (_P, pow(_P, -1, 1 << 64)))
+
+
 class WordHasher:
     """Hashes texts; holds the tables of powers, which grow to the longest piece met."""
 
@@ -36,18 +44,13 @@ class WordHasher:
         self.space[[32, *range(9, 14)]] = True
         value[self.space] = 0
         self.value = value
-        self._grow(2 * PIECE)
-
-    def _grow(self, n: int) -> None:
-        inverse = pow(_P, -1, 1 << 64)
-        self.powers = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n, _P, np.uint64))))
-        self.inverses = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n, inverse, np.uint64))))
+        self.powers, self.inverses = _powers(2 * PIECE)
 
     def of_buffer(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the words of ``data`` and the offsets they start at."""
         a = np.frombuffer(data, np.uint8)
         if len(a) >= len(self.powers):
-            self._grow(len(a))
+            self.powers, self.inverses = _powers(1 << len(a).bit_length())
         edges = np.flatnonzero(np.diff(np.concatenate(([True], self.space[a], [True]))))
         starts, ends = edges[::2], edges[1::2]
         sums = np.zeros(len(a) + 1, np.uint64)
