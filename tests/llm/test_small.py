@@ -99,6 +99,43 @@ def test_counts_survive_packing():
         assert (mixing_lm._unpack(mixing_lm._pack(c)) == c).all()
 
 
+def test_context_counts_are_exact(spark):
+    rng = np.random.default_rng(3)
+    groups = [["".join(map(chr, rng.integers(33, 120, n))) + " the same end" for n in (0, 40_000, 20_000)] + [None] for _ in range(2)]
+    groups = [[mixing_lm._symbols(t) for t in g] for g in groups]
+    code = mixing_lm.prefix_code(np.bincount(np.concatenate(sum(groups, [])), minlength=256))
+    coder, buckets, requests = mixing_lm.Coder(code), 5, []
+    want = Counter()
+    for gid, g in enumerate(groups):
+        keys, counts = mixing_lm._pairs(g)
+        order, ends = mixing_lm._dealt(keys, buckets)
+        for b, part in enumerate(np.split(order, ends[:-1])):
+            requests.append((gid, b, mixing_lm._pack_pairs(keys[part], counts[part].astype(np.int32))))
+        for s in g:
+            whole = bytes(6) + s.tobytes()
+            for i, x in enumerate(s.tolist()):
+                for o in mixing_lm.ORDERS:
+                    want.update((o, whole[6 + i - o: 6 + i], int(step)) for step in code[1][x, : code[0][x]])
+    got = mixing_lm._answers(spark.createDataFrame(requests, "gid long, chunk int, blob binary"), code, buckets).toArrow()
+    for gid, g in enumerate(groups):
+        mine = got.filter(np.array(got.column("gid")) == gid)
+        at = Counter()
+        for i, ends, bit, codes in mixing_lm._decided(coder, g, mine, buckets, np.ones(len(g), bool)):
+            part = g[i][at[i]: at[i] + len(ends)]
+            whole, steps = bytes(6) + g[i].tobytes(), [code[1][x, : code[0][x]].tolist() for x in part.tolist()]
+            for k, o in enumerate(mixing_lm.ORDERS):
+                n = [(want[o, c, step & ~1], want[o, c, step | 1]) for j, path in enumerate(steps)
+                     for c in [whole[6 + at[i] + j - o: 6 + at[i] + j]] for step in path]
+                assert (mixing_lm._codes(np.array(n)) == codes[k]).all()
+            at[i] += len(ends)
+        assert [at[i] for i in range(len(g))] == [len(s) for s in g]
+
+
+def test_context_mixing_follows_no_partitioning(docs):
+    a, b = (sorted((str(r.doc_id), r.n_bytes, round(r.score, 4)) for r in mixing_lm.score(docs.repartition(n)).collect()) for n in (1, 5))
+    assert a == b
+
+
 # 2 ---------------------------------------------------------------------------------------------------
 def test_quality_features_and_verdict(docs, empty):
     found = quality.cascade(docs, features=quality.BASE_COLUMNS)
