@@ -131,6 +131,16 @@ def test_context_counts_are_exact(spark):
         assert [at[i] for i in range(len(g))] == [len(s) for s in g]
 
 
+def test_starting_weights_come_from_all_training_texts(spark, monkeypatch):
+    rows = [(i, f"text {i} of many") for i in range(700)]
+    seen, fitted = [], mixing_lm.fitted
+    monkeypatch.setattr(mixing_lm, "fitted", lambda cells, n0, n1: seen.append(int((n0 + n1).sum())) or fitted(cells, n0, n1))
+    mixing_lm.score(spark.createDataFrame(rows, "doc_id long, text string"))
+    train = np.concatenate([mixing_lm._symbols(t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2])
+    hist = np.bincount(train, minlength=256)
+    assert seen == [int((hist * mixing_lm.prefix_code(hist)[0]).sum())]
+
+
 def test_context_mixing_follows_no_partitioning(docs):
     a, b = (sorted((str(r.doc_id), r.n_bytes, round(r.score, 4)) for r in mixing_lm.score(docs.repartition(n)).collect()) for n in (1, 5))
     assert a == b
