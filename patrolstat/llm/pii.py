@@ -80,6 +80,18 @@ def iban_valid(s: Column) -> Column:
     return F.length(c).between(15, 34) & (rest == 1)
 
 
+def iban_cut(s: Column) -> Column:
+    """The longest leading part of whole groups, with or without the tail, that is a valid account number; else null.
+
+    The pattern may take a word of upper-case letters or digits that follows the number.
+    """
+    groups = F.regexp_extract_all(s, F.lit(r"[A-Z]{2}[0-9]{2}|\x20?[A-Z0-9]{4}|\x20?[A-Z0-9]{1,3}"), F.lit(0))
+    starts = F.transform(F.sequence(F.size(groups), F.lit(3), F.lit(-1)), lambda n: F.array_join(F.slice(groups, F.lit(1), n), ""))
+    # a part ends where a word ends
+    ends = F.filter(starts, lambda p: iban_valid(p) & ~F.substr(s, F.length(p) + 1, F.lit(1)).rlike("[A-Z0-9]"))
+    return F.when(s.isNotNull(), F.get(ends, F.lit(0)))
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -88,6 +100,7 @@ class Kind:
     valid: Callable[[Column], Column] | None = None
     checked: bool = False           # the validator is evidence enough for VALID_BONUS
     context: str = ""               # alternatives of context words, lower case
+    cut: Callable[[Column], Column] | None = None  # the pattern matches a start with the rest as a group ahead: what of both is meant
     hint: str = ""                  # a literal every match contains: texts without it are not scanned
 
 
@@ -98,8 +111,8 @@ KINDS = (
     Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", 0.5, ip_parts_valid, True, context="ip|host|server|address"),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", 0.5, luhn_valid, True, context="card|visa|credit|payment"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.5, phone_valid, context="tel|phone|call|mobile|fax", hint="+"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", 0.3,
-         iban_valid, True, context="iban|account|konto|compte|cuenta"),
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Za-z0-9]))", 0.3,
+         iban_valid, True, context="iban|account|konto|compte|cuenta", cut=iban_cut),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", 0.3,
          lambda s: ~s.rlike("^(000|666|9)|-00-|-0000$"), context="ssn|social security|social-security"),
 )
@@ -125,9 +138,19 @@ def kind_spans(text: Column, kind: Kind) -> Column:
         keep = m["hit"].isNotNull() & (kind.valid(m["hit"]) if kind.valid is not None else F.lit(True))
         if kind.name not in BASE:
             keep = keep & (score >= THRESHOLD)
-        return F.struct(end.alias("at"), F.when(keep, F.concat(acc["out"], F.array(span).cast(SPAN))).otherwise(acc["out"]).alias("out"))
+        if kind.cut is not None:  # every start is tried; those inside a span found are its own text
+            last = F.get(acc["out"], F.size(acc["out"]) - 1)["end"]
+            keep = keep & (F.coalesce(last, F.lit(0).cast("long")) <= start)
+            after = start + F.coalesce(F.length(m["head"]), F.lit(0))
+        else:
+            after = end
+        return F.struct(after.alias("at"), F.when(keep, F.concat(acc["out"], F.array(span).cast(SPAN))).otherwise(acc["out"]).alias("out"))
 
     pairs = F.zip_with(gaps, found, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
+    if kind.cut is not None:
+        rests = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1))
+        cut = F.zip_with(found, rests, lambda h, r: F.struct(h.alias("head"), kind.cut(F.concat(h, r)).alias("hit")))
+        pairs = F.zip_with(gaps, cut, lambda g, h: F.struct(g.alias("gap"), h["head"].alias("head"), h["hit"].alias("hit")))
     spans = F.aggregate(pairs, F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")).cast(state), step)["out"]
     hit = F.contains(text, F.lit(kind.hint)) if kind.hint else F.regexp_like(text, F.lit(kind.pattern))
     return F.when(hit, spans).otherwise(none)

@@ -298,6 +298,22 @@ def test_personal_data(spark):
     assert pii.digest(pii.detect(df.limit(0))).count() == 0
 
 
+def test_account_numbers_before_words(spark):
+    known = ["BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "BE68539007547034", "DE89 3704 0044 0532 0130 00", "FR14 2004 1010 0505 0001 3M02 606",
+             "PL61 1090 1014 0000 0712 1981 2874", "NO93 8601 1117 947"]
+    after = ["", " BIC", " EUR", " KONTO", " KONTONUMMER", " A", " bank", " DE89 3704 0044 0532 0130 01", ".", " 1234 5678"]
+    rows = [(i, f"AB12 pay to {k}{a}") for i, (k, a) in enumerate((k, a) for k in known for a in after)]
+    both = "to BE68 5390 0754 7034 DE89 3704 0044 0532 0130 00 EUR"
+    rows += [(1000, both), (1001, "BE68 5390 0754 7035 EUR"), (1002, "XBE68 5390 0754 7034"), (1003, "BE68539007547034BIC")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "iban"] for r in pii.detect(df).collect()}
+    for i, t in rows[:-4]:
+        k = known[i // len(after)]
+        assert got[i] == [(t.index(k), t.index(k) + len(k))], t
+    assert got[1000] == [(3, 22), (23, 50)] and got[1001] == got[1002] == got[1003] == []
+    assert {r.text for r in pii.mask(df.filter("doc_id = 1000")).collect()} == {"to [IBAN] [IBAN] EUR"}
+
+
 # 7 ---------------------------------------------------------------------------------------------------
 PAGE = """<html><head><title>T</title><style>p{}</style><script>var a="</p><p>x";</script></head><body><nav><ul><li><a href=/>Home</a></li></ul></nav>
 <div class="cookie-notice"><p>We use cookies on this page, please agree to all of them now</p></div><!-- <p>no</p> -->
