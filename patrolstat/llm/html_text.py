@@ -5,10 +5,11 @@ length is its text length; lines that markup already marks as something else
 (menus, page headers and footers, sidebars, forms, scripts, adverts, notices,
 reader comments, by element or by class, id and role words; lists made of
 links; and, on a page with an article or main element, everything outside it)
-count as empty.  Lengths are summed over windows of ``WINDOW`` lines: the text
+count as empty, and what is marked leaves no gap.  Lengths are summed over windows of ``WINDOW`` lines: the text
 surges where a window reaches ``SURGE`` characters and dives where a window
 holds none.  Of the runs between a surge and its dive the one with most text is
-the article; all of its lines are kept, whatever their length.
+the article; all of its lines are kept, whatever their length, also paragraphs
+that are mostly links where text of the run stands before and after them.
 
 Defined results: a null, empty or text-free page gives an empty string;
 unclosed elements end with the page, or with the article they would swallow;
@@ -43,6 +44,7 @@ _SPACES = frozenset("br td th wbr".split()) - {"wbr"}
 _SKIPPED = frozenset("nav footer aside form head menu dialog button select object".split())
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _CORE = frozenset(("article", "main"))
+_LISTS = frozenset("ul ol dl".split())
 _HINTS = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments
 consent cookie cookies copyright disqus footer masthead menu modal nav navbar navigation newsletter notice pagination
 popup promo promoted related respond share sharing sidebar social sponsor sponsored subscribe toolbar topbar widget
@@ -61,12 +63,12 @@ def _is_other(tag: str, attrs: str, in_core: bool) -> bool:
     return not words.isdisjoint(_HINTS)
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool]]:
-    """``(text, characters of it inside links, inside article or main)`` per block, with an
+def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
+    """``(text, characters of it inside links, inside article or main, inside a list)`` per block, with an
     empty line in the place of every skipped element."""
-    lines: list[tuple[str, int, bool]] = []
+    lines: list[tuple[str, int, bool, bool]] = []
     parts: list[str] = []
-    linked = in_link = core = 0
+    linked = in_link = core = listed = 0
     skip_tag, skip_depth = "", 0
 
     def end_line() -> None:
@@ -74,7 +76,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                lines.append((text, min(linked, len(text)), core > 0))
+                lines.append((text, min(linked, len(text)), core > 0, listed > 0))
             parts.clear()
         linked = 0
 
@@ -101,11 +103,13 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
             parts.append(" ")
         if tag in _CORE:
             core = max(0, core + (-1 if closing else 1))
+        elif tag in _LISTS:
+            listed = max(0, listed + (-1 if closing else 1))
         elif tag == "a":
             in_link = 0 if closing else 1
         if not closing and tag not in _VOID and not attrs.endswith("/") and _is_other(tag, attrs, core > 0):
             end_line()
-            lines.append(("", 0, core > 0))
+            lines.append(("", 0, core > 0, listed > 0))
             skip_tag, skip_depth = tag, 1
     if at < len(page) and not skip_depth:
         parts.append(re.sub(r"<[^>]*\Z", "", page[at:]))
@@ -117,13 +121,14 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     lines = page_lines(page)
-    if any(core for _, _, core in lines):
-        # an article's own lines stand together; what is marked inside it leaves no gap
-        lines = [x for x in lines if x[0] or not x[2]]
-        size = [len(text) if core else 0 for text, _, core in lines]
+    has_core = any(core for _, _, core, _ in lines)
+    # an article's own lines stand together; what is marked inside it leaves no gap
+    lines = [x for x in lines if x[0] or (has_core and not x[2])]
+    if has_core:
+        size = [len(text) if core else 0 for text, _, core, _ in lines]
         surge = 1
     else:
-        size = [0 if 2 * linked > len(text) else len(text) for text, linked, _ in lines]
+        size = [0 if 2 * linked > len(text) else len(text) for text, linked, _, _ in lines]
         surge = SURGE
     n = len(lines)
     total = [0]
@@ -143,7 +148,10 @@ def main_text(page: str | None) -> str:
             if total[i] - total[start] > best_size:
                 best, best_size = (start, i), total[i] - total[start]
             start = None
-    return "\n".join(lines[i][0] for i in range(*best) if size[i])
+    own = [i for i in range(*best) if size[i]]
+    # between two lines of the text, a paragraph of links is its own; a list of links is not
+    return "\n".join(lines[i][0] for i in (range(own[0], own[-1] + 1) if own else ())
+                     if size[i] or not (has_core or lines[i][3]))
 
 
 def extract(pages: DataFrame, html_column: str = "html", out: str = "text") -> DataFrame:

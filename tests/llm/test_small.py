@@ -335,6 +335,16 @@ def test_main_text(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_main_text_around_marked_blocks():
+    first, second = "first words " * 40, "second words " * 30
+    marked = '<div class="ad">Buy</div><aside>Side</aside><div class="share">Share</div>'
+    assert html_text.main_text(f"<p>{first}</p>{marked}<p>{second}</p>") == f"{first.strip()}\n{second.strip()}"
+    links = '<p>See <a href="/x">a long description of the source</a></p>'
+    menu = '<ul><li><a href="/a">One</a><li><a href="/b">Two</a></ul>'
+    assert (html_text.main_text(f"{menu}<p>{first}</p>{links}<p>{second}</p>{menu}")
+            == f"{first.strip()}\nSee a long description of the source\n{second.strip()}")
+
+
 # 8 ---------------------------------------------------------------------------------------------------
 def brute_classes(rows, width, percent):
     sets, own = [], {}
