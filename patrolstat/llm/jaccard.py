@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bitfilter import filter_of, near, passes, slot_of
-from .common import cut, release
+from .common import cut, fresh_name, release
 from .components import components
 from .wordhash import WordHasher, ngrams
 
@@ -306,7 +306,23 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
 
 def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
                          percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each class: the one with the smallest id (null ids stay)."""
-    found = classes(docs, doc_id, text, width, percent)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[doc_id].cast("long") == gone["__gone"], "left_anti")
+    """``docs`` with one row of each class: one with the smallest id (null ids last).
+
+    Rows with equal id and text are one document of the graph, all others are documents
+    of their own, also those without an id.  Rows without words stay.
+    """
+    key = fresh_name(docs, "__key")
+    keyed = docs.withColumn(key, F.xxhash64(docs[doc_id].cast("long"), F.lit("|"), docs[text].cast("string")))
+    found = (classes(keyed.select(key, text), key, text, width, percent).filter("n_shingles > 0")
+             .groupBy(F.col("doc_id").alias("k")).agg(F.first("component_id").alias("cls"), F.count("*").alias("times")))
+    ids = keyed.select(F.col(key).alias("k"), keyed[doc_id].cast("long").alias("id")).groupBy("k").agg(F.min("id").alias("id"))
+    members = cut(found.join(ids, "k"))
+    best = (members.groupBy("cls").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k")).alias("best"))
+            .select(F.col("best.k").alias("k")))
+    lost = members.join(best, "k", "left_anti").select("k")
+    repeated = members.filter("times > 1").join(best, "k", "left_semi").select("k")
+    out = cut(lost.withColumn("again", F.lit(False)).unionByName(repeated.withColumn("again", F.lit(True))))
+    gone, again = out.select(F.col("k").alias(key)), out.filter("again").select(F.col("k").alias(key))
+    once = keyed.join(gone, key, "left_anti")
+    one = keyed.join(again, key, "left_semi").dropDuplicates([key])
+    return once.select(*keyed.columns).unionByName(one.select(*keyed.columns)).drop(key)

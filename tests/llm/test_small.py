@@ -387,6 +387,18 @@ def test_classes(spark, docs, empty, width, percent, group, monkeypatch):
         assert kept.columns == docs.columns and kept.filter("doc_id = 7").count() == 0
 
 
+def test_one_row_of_each_class_stays(spark):
+    a, b, c = (sentence(random.Random(i), 60) for i in range(3))
+    near = a.replace(a.split()[30], "changed", 1)
+    rows = [(1, a, 1), (1, a, 2), (2, a, 3), (None, near, 4), (None, b, 5), (None, b, 6), (3, c, 7), (3, b, 8), (None, "", 9), (4, None, 10), (None, "", 11)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a b` int").withColumn("m", jaccard.F.create_map(jaccard.F.lit("k"), "a b"))
+    kept = jaccard.keep_representatives(df)
+    assert kept.columns == df.columns
+    got = [tuple(r)[:3] for r in kept.collect()]
+    assert Counter((r[0], r[1]) for r in got) == Counter([(1, a), (3, b), (3, c), (None, ""), (4, None), (None, "")])
+    assert all(r in rows for r in got)
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3)] + [
