@@ -40,7 +40,7 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat.read_back(chat.expand(chat.render(turns)))
+    return chat.read_back_rendered(chat.render(turns))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -234,6 +234,23 @@ def test_chat_examples(spark):
     assert chat.read_back(chat.expand(chat.render(turns.limit(0)))).count() == 0
 
 
+def test_chat_is_read_back_without_prefixes(spark):
+    rows = [(1, 0, "user", "a<b~[x]|é 😀"), (1, 1, "assistant", "c<|end|>d"), (1, 2, "user", None), (2, 0, "user", "only"), (3, 0, "assistant", ""),
+            (None, 1, None, "x"), (None, 1, "assistant", "y"), (4, 0, "as|<sistant", "z\n"), (4, 1, "assistant", "<|turn:user|>")]
+    rendered = chat.render(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    want = chat.read_back(chat.expand(rendered))
+    got = chat.read_back_rendered(rendered)
+    assert got.dtypes == want.dtypes and Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    # a conversation whose examples hold 50 G characters
+    n, said = 10_000, "word " * 200
+    turns = spark.range(n).select(chat.F.lit(1).alias("conv_id"), chat.F.col("id").alias("turn"), chat.F.lit("assistant").alias("role"),
+                                  chat.F.lit(said).alias("text"))
+    each = len("<|turn:assistant|><|end|>") + len(said)
+    [r] = chat.read_back_rendered(chat.render(turns)).collect()
+    assert (r.n_turns, r.loss_chars, r.formatted_chars) == (n, n * len(said), each * n * (n + 1) // 2)
+    assert r.loss_sha256 == hashlib.sha256((said * n).encode()).hexdigest()
+
+
 # 5 ---------------------------------------------------------------------------------------------------
 def test_deep_shallow_sort():
     rng = random.Random(1)
