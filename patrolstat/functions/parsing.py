@@ -29,7 +29,7 @@ def fixed_slice(line: Column | str, start: int, end: int) -> Column:
 def tail_from(line: Column | str, start: int) -> Column:
     """``line[start:]``; NULL when the line is shorter than ``start``."""
     c = _col(line)
-    return F.when(F.length(c) >= start, F.substring(c, start + 1, 1 << 30))
+    return F.when(F.length(c) >= start, F.substr(c, F.lit(start + 1)))
 
 
 def strip_brackets(text: Column | str) -> Column:

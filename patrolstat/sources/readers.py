@@ -178,7 +178,7 @@ def parse_tagged_lines(lines: DataFrame, fields: list[str], line: str = "value")
     body = strip_brackets(line)
     cut = F.instr(body, ",")
     zip_col = F.when(cut > 0, F.substring(body, 1, cut - 1)).otherwise(body)
-    rest = F.when(cut > 0, F.substring(body, cut + 1, 1 << 30))
+    rest = F.when(cut > 0, F.substr(body, cut + 1))
     parsed = F.from_csv(rest, ", ".join(f"`{f}` string" for f in fields),
                         {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
     return lines.select(zip_col.alias("zip"), parsed.alias("_f")).select(

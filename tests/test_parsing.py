@@ -10,6 +10,14 @@ def test_fixed_slice_and_tail(spark):
     assert (r[1].a, r[1].b) == (None, None)
 
 
+def test_tail_has_no_largest_length(spark):
+    from patrolstat.sources import readers
+
+    df = spark.createDataFrame([("94102,a,b",)], "value string")
+    for out in (df.select(P.tail_from("value", 6)), readers.parse_tagged_lines(df, ["x", "y"])):
+        assert str(1 << 30) not in out._jdf.queryExecution().analyzed().toString()
+
+
 def test_strip_split_null_int(spark):
     df = spark.createDataFrame([("(94102,a b)",)], "v string")
     r = df.select(P.strip_brackets("v").alias("s")).first().s
