@@ -37,9 +37,32 @@ FULL_RF_GRID: dict[str, list] = {
     "minInstancesPerNode": [5, 10, 15, 20],
     "maxBins": [5, 10, 20, 30],
 }
+# --- FIXED VALUES: the notebook's random-forest search grid (432 cells, scikit-learn's names)
+NOTEBOOK_RF_GRID: dict[str, list] = {
+    "n_estimators": [5, 10, 20, 50],
+    "max_features": ["auto", "sqrt", "log2"],
+    "criterion": ["gini", "entropy"],
+    "max_depth": [5, 10],
+    "min_samples_split": [2, 5, 10],
+    "max_leaf_nodes": [50, 60, 70],
+}
 # --- end of fixed values
 
 
+def notebook_grid(grid: dict[str, list] = NOTEBOOK_RF_GRID) -> dict[str, list]:
+    """A scikit-learn forest grid as Spark parameters, for ``param_grid`` and ``cross_validate``.
+
+    ``max_features`` is ``featureSubsetStrategy`` (``auto`` is the square root in both).  A node that
+    may be split from ``n`` rows on has children of half of that, roughly: ``minInstancesPerNode`` is
+    ``n // 2``.  Spark grows no tree by its number of leaves: ``max_leaf_nodes`` has no counterpart and
+    its cells fall together (no tree of depth 5 reaches its smallest value).
+    """
+    names = {"n_estimators": "numTrees", "max_features": "featureSubsetStrategy", "criterion": "impurity",
+             "max_depth": "maxDepth", "min_samples_split": "minInstancesPerNode"}
+    return {spark: [v // 2 for v in grid[name]] if name == "min_samples_split" else list(grid[name])
+            for name, spark in names.items() if name in grid}
+
+
 def training_frame(incidents: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Typed incidents -> the classifier's rows (complete rows only, label = weight)."""
     keep = keep or []

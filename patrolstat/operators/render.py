@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 
 from patrolstat.functions.parsing import float_text
 from patrolstat.functions.tables import N_SLOTS, SLOT_HOURS
+from patrolstat.operators.aggregate import bucket_column
+
+#: The records' labels of the bucket counts, in their order.
+BUCKET_LABELS = (
+    ("vehicle", "Vehicle Incidents"), ("theft", "Theft Incidents"), ("drug", "Drug/Liquor Incidents"),
+    ("weapon", "Incidents Involving Weapons"), ("sexual", "Sexual Incidents"), ("violent", "Violent Incidents/Suicide"),
+    ("offense", "Incidents Involving Offenses"), ("report", "Reporting Incidents"), ("other", "Other Incidents"),
+)
 
 
 def _s(c: str) -> Column:
@@ -40,3 +48,10 @@ def render_profile(profile: DataFrame, key: str, census_fields: list[tuple[str,
     text = F.concat(F.lit("("), _s(key), F.lit(",(censusData: {"), census, F.lit("},"), incidents,
                     F.lit("))"))
     return profile.select(key, text.alias(out))
+
+
+def render_buckets(counts: DataFrame, key: str | None = None, out: str = "bucket_text") -> DataFrame:
+    """``bucket_counts`` rows -> ``Total Incidents: n; Vehicle Incidents: n; ...``; with ``key``, the rows' group beside it."""
+    parts = [F.concat(F.lit("Total Incidents: "), _s("total_incidents"))]
+    parts += [F.concat(F.lit(f"{label}: "), _s(bucket_column(name))) for name, label in BUCKET_LABELS]
+    return counts.select(*([key] if key else []), F.concat_ws("; ", *parts).alias(out))

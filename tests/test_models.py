@@ -68,3 +68,13 @@ def test_one_hot_all_columns_is_narrow(spark):
     # indexed first: one slot per value seen (+1 for unseen values), never as wide as a raw zip
     assert width == distinct + 7
     assert len(MO.param_grid(MO.random_forest(), MO.FULL_RF_GRID)) == 768
+
+
+def test_notebook_grid(spark):
+    cells = 1
+    for values in MO.NOTEBOOK_RF_GRID.values():
+        cells *= len(values)
+    maps = MO.param_grid(MO.random_forest(), MO.notebook_grid())
+    assert cells == 432 and len(maps) == cells // 3
+    assert {v for m in maps for p, v in m.items() if p.name == "minInstancesPerNode"} == {1, 2, 5}
+    assert {v for m in maps for p, v in m.items() if p.name == "featureSubsetStrategy"} == {"auto", "sqrt", "log2"}

@@ -67,6 +67,17 @@ def test_bucket_counts_invariants(spark):
     assert abs(sum(s.share for s in shares) - 1.0) < 1e-12
 
 
+def test_bucket_records(spark):
+    from patrolstat.operators.render import render_buckets
+
+    df = spark.createDataFrame([("Robbery", "D1"), ("Fire Report", "D1"), ("Traffic Collision", "D2")], "category string, d string")
+    rest = "; Drug/Liquor Incidents: 0; Incidents Involving Weapons: 0; Sexual Incidents: 0; Violent Incidents/Suicide: 0; Incidents Involving Offenses: 0"
+    assert render_buckets(A.bucket_counts(df)).first()[0] == (
+        f"Total Incidents: 3; Vehicle Incidents: 1; Theft Incidents: 1{rest}; Reporting Incidents: 1; Other Incidents: 0")
+    by = {r.d: r.bucket_text for r in render_buckets(A.bucket_counts(df, group_by="d"), "d").collect()}
+    assert by["D2"] == f"Total Incidents: 1; Vehicle Incidents: 1; Theft Incidents: 0{rest}; Reporting Incidents: 0; Other Incidents: 0"
+
+
 def test_distinct_first_seen_and_union(spark):
     df = spark.createDataFrame([(3, "b"), (1, "a"), (2, "b"), (5, "c"), (4, "a")], "ln int, v string")
     out = [tuple(r) for r in A.distinct_first_seen(df, "v", "ln").collect()]
