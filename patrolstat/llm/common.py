@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import uuid
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from patrolstat.session import ensure_checkpoint_dir
@@ -45,3 +47,17 @@ def fresh_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def sliced(batch, columns: list[int], most_bytes: int = 8 << 20):
+    """A record batch cut into runs of rows of about ``most_bytes`` in ``columns`` (strings or binaries); a longer row is a run of its own."""
+    n = batch.num_rows
+    if not n:
+        return
+    sizes = np.zeros(n, np.int64)
+    for c in columns:
+        sizes += np.asarray(pc.fill_null(pc.binary_length(batch.column(c)), 0).cast("int64"))
+    run = (np.cumsum(sizes) - sizes) // most_bytes
+    starts = np.concatenate(([0], np.flatnonzero(np.diff(run)) + 1, [n]))
+    for a, b in zip(starts[:-1], starts[1:]):
+        yield batch.slice(int(a), int(b - a))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, html_text, jaccard, mixing, mixing_lm, pieces, pii, quality, suffix_dedup
-from .common import read
+from . import (ann, chat, html_text, importance, jaccard, licenses, merkle, mixing, mixing_lm, pieces, pii, quality,
+               suffix_dedup)
+from .common import cut, read
+from .oracle import ORACLE  # noqa: F401
 
 
 def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +79,36 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), lambda i: i % 100 == 0)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's membership proof in the Merkle manifest of ``documents``, folded again from tampered rows."""
+    docs = read(spark, sf_dir, "documents")
+
+    def leaf(n_chars: Column) -> Column:
+        return merkle.leaf_digest([F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")])
+
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0,
+                      leaf(F.col("n_chars").cast("decimal(20,0)") + 1))
+    rows = cut(docs.select("doc_id", "lang", leaf(F.col("n_chars")).alias("leaf"), tampered.alias("tampered")))
+    made = merkle.manifest(rows, "lang", ["doc_id"], "leaf", keep=["doc_id", "tampered"])
+    proved = merkle.prove(made, made.leaves.select("grp", "rank", "row"))
+    folded = merkle.folded(F.coalesce("row.tampered", "digest"), F.col("proof"))
+    return proved.select("row.doc_id", F.col("digest").alias("leaf"), "subroot", F.lit(made.root).cast("string").alias("root"),
+                         merkle.proof_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root")) \
+        .withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents``, weighed towards ``benchmark``; the drawn ones ranked."""
+    found = importance.resample(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices, tags and their labels in every whole text of ``documents``."""
+    found = licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "licence.*")
+
+
 QUERIES = {
     "op1_context_mixing": op1_context_mixing,
     "op2_quality": op2_quality,
@@ -88,6 +120,7 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
     "op10_ann": op10_ann,
+    "op11_merkle": op11_merkle,
+    "op12_resample": op12_resample,
+    "op13_licenses": op13_licenses,
 }
-
-ORACLE: dict[str, str] = {}
