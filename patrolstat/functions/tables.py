@@ -23,8 +23,9 @@ SEVERITY_WEIGHTS: tuple[tuple[int, tuple[str, ...]], ...] = (
     (8, ("Disorderly Conduct", "Traffic Collision", "Fire Report",
          "Weapons Carrying Etc")),
     (10, ("Liquor Laws", "Drug Offense", "Drug Violation", "Embezzlement")),
-    (14, ("Motor Vehicle Theft", "Motor Vehicle Theft?", "Stolen Property",
-          "Robbery", "Larceny Theft", "Burglary", "Malicious Mischief")),
+    (14, ("Motor Vehicle Theft", "Stolen Property", "Robbery",
+          "Motor Vehicle Theft?", "Larceny Theft", "Burglary",
+          "Malicious Mischief")),
     (15, ("Prostitution", "Other Offenses")),
     (18, ("Arson", "Offences Against The Family And Children", "Family Offense",
           "Missing Person", "Weapons Offense", "Weapons Offence")),

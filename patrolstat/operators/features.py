@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patrolstat.functions.tables import WEEKDAYS
+from patrolstat.operators.ranking import ranked
 
 # Columns the models use, in assembly order after the weekday vector.
 NUMERIC_FEATURES = ("zipcode", "month", "date", "hour", "minute", "year")
@@ -28,6 +29,39 @@ def frequency_index(df: DataFrame, col: str, out: str, keep_invalid: bool = True
     return frequency_indexer(col, out, keep_invalid).fit(df).transform(df)
 
 
+def frequency_ranks(df: DataFrame, col: str) -> DataFrame:
+    """``value, index, count`` of every value of ``col``: index by descending count, ties by the value's text.
+
+    What :func:`frequency_indexer` gathers on the driver, as a table: values are counted with partial
+    sums, sorted by range over all partitions and numbered by the partitions' offsets, so the
+    column may have any number of values.  NULL is no value.
+    """
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("value")).agg(F.count("*").alias("count"))
+    return ranked(counts, [F.col("count").desc(), F.col("value")], rank="index") \
+        .select("value", F.col("index").cast("double").alias("index"), "count")
+
+
+def apply_ranks(df: DataFrame, ranks: DataFrame, col: str, out: str, keep_invalid: bool = True) -> DataFrame:
+    """``df`` plus the index of ``col`` in ``ranks``; NULL and unseen values get one extra index or fail the job.
+
+    A shuffled join unless the planner finds the ranks small; a hot value's rows are split by the skew
+    handling of adaptive execution.
+    """
+    index = ranks.select(F.col("value").alias("_value"), F.col("index").alias(out))
+    text = F.col(col).cast("string")
+    found = df.join(index, text.eqNullSafe(F.col("_value")), "left").drop("_value")
+    if keep_invalid:
+        extra = ranks.agg(F.count("*").cast("double")).scalar()
+        return found.withColumn(out, F.coalesce(F.col(out), extra))
+    return found.withColumn(out, F.coalesce(F.col(out), F.raise_error(
+        F.concat(F.lit(f"no index for the value of {col}: "), F.coalesce(text, F.lit("NULL")))).cast("double")))
+
+
+def frequency_index_distributed(df: DataFrame, col: str, out: str, keep_invalid: bool = True) -> DataFrame:
+    """What :func:`frequency_index` gives, for a column with any number of values; no value reaches the driver."""
+    return apply_ranks(df, frequency_ranks(df, col), col, out, keep_invalid)
+
+
 def one_hot(df: DataFrame, index_col: str, out: str, drop_last: bool = True,
             keep_invalid: bool = False) -> DataFrame:
     """One-hot vector of an index column (last category dropped by default)."""

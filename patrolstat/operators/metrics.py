@@ -10,7 +10,7 @@ predicted; F1 is 0 when precision + recall is 0.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,15 +21,23 @@ def confusion_counts(pred: DataFrame, label: str = "label", prediction: str = "p
 
 
 def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Wide matrix: a row per actual label and a column per label, labels being all that occur as
-    either, ascending; rows sum to the label's support.  (The long form needs no label list.)"""
+    """Wide matrix: a row per label that occurs as either, ascending, with ``counts``, a map from every
+    label (ascending) to how often it was predicted; rows sum to the label's support.
+
+    One plan and one pass over the rows: the label list is gathered from the k x k counts inside the
+    plan (a window over k rows), not on the driver.
+    """
     conf = confusion_counts(pred, label, prediction)
-    labels_df = conf.select("label").union(conf.select("prediction")).distinct()
-    labels = sorted(r.label for r in labels_df.collect() if r.label is not None)
-    wide = conf.groupBy("label").pivot("prediction", labels).agg(F.sum("count"))
-    wide = wide.select("label", *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(f"pred_{c}")
-                                  for c in wide.columns if c != "label"])
-    return labels_df.filter("label is not null").join(wide, "label", "left").fillna(0).orderBy("label")
+    # a label that is only predicted has a row of its own, with nothing in it
+    cells = conf.select(F.inline(F.array(
+        F.struct("label", F.col("prediction").alias("p"), F.col("count").alias("n")),
+        F.struct(F.col("prediction").alias("label"), F.lit(None).cast("double").alias("p"), F.lit(None).cast("long").alias("n")))))
+    found = cells.filter(F.col("label").isNotNull()).groupBy("label").agg(
+        F.collect_list(F.when(F.col("p").isNotNull(), F.struct("p", "n"))).alias("_cells"))
+    found = found.withColumn("_labels", F.array_sort(F.collect_list("label").over(Window.partitionBy())))
+    met = F.map_from_entries("_cells")
+    counts = F.map_from_entries(F.transform("_labels", lambda x: F.struct(x, F.coalesce(F.try_element_at("_met", x), F.lit(0)))))
+    return found.withColumn("_met", met).select("label", counts.alias("counts")).orderBy("label")
 
 
 def label_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -76,16 +84,21 @@ def summary_metrics(pred: DataFrame, label: str = "label", prediction: str = "pr
                     (F.col("majority_support").cast("double") / n).alias("majority_share"))
 
 
-def run_section(coverage: DataFrame, seconds: float, params: dict[str, object]) -> DataFrame:
+def run_section(coverage: DataFrame, seconds: float, params: dict[str, object],
+                malformed: DataFrame | None = None) -> DataFrame:
     """Report rows of a run: total, usable and usable percent, training seconds, the best parameters
-    (as text in ``label``, value NULL)."""
+    (as text in ``label``, value NULL); with ``malformed`` (one row, see
+    :func:`patrolstat.sources.readers.malformed_count`) also the lines read and the malformed ones."""
     def row(section: str, lab, value):
         return F.struct(F.lit(section).alias("section"), F.lit(lab).cast("string").alias("label"),
                         (value if not isinstance(value, (int, float, type(None))) else F.lit(value)).cast("double").alias("value"))
     rows = [row(c, None, F.col(c)) for c in ("total_records", "usable_records", "usable_percent")]
     rows.append(row("training_seconds", None, float(seconds)))
     rows += [row("best_parameter", f"{k}={v}", None) for k, v in sorted(params.items())]
-    return coverage.select(F.inline(F.array(*rows)))
+    out = coverage.select(F.inline(F.array(*rows)))
+    if malformed is not None:
+        out = out.unionByName(malformed.select(F.inline(F.array(*[row(c, None, F.col(c)) for c in malformed.columns]))))
+    return out
 
 
 def evaluation_report(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

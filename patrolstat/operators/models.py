@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -20,8 +21,9 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patrolstat.operators.clean import usable_condition
@@ -112,26 +114,40 @@ def classification_pipeline(classifier, one_hot_all: bool = False, include_code:
     return Pipeline(stages=[*feature_stages(), classifier])
 
 
-# Partitions a training set is dealt to: fixed, so that what depends on the
-# partitioning (bagging) is the same on any number of cores.  Raise it with the
-# size of the training set (``spread(train, partitions)``).
-TRAIN_PARTITIONS = 8
+# Partitions of a training set: by its counted bytes, at least so many, so that what depends on the
+# partitioning (bagging) follows from the rows and not from the cores.
+MIN_TRAIN_PARTITIONS = 8
+TRAIN_PARTITION_BYTES = 8 << 20
 FOLD = "_fold"
 
 
-def spread(train: DataFrame, partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+def training_bytes(train: DataFrame) -> int:
+    """Bytes of the training set's values: 8 per fixed-width field, the bytes of texts (one scan)."""
+    texts = [c for c, t in train.dtypes if t in ("string", "binary")]
+    width = 8 * (len(train.columns) - len(texts))
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in texts]
+    per_row = reduce(lambda a, b: a + b, sizes, F.lit(width).cast("long"))
+    return train.agg(F.sum(per_row)).first()[0] or 0
+
+
+def partition_plan(train: DataFrame, partition_bytes: int = TRAIN_PARTITION_BYTES, least: int = MIN_TRAIN_PARTITIONS) -> int:
+    """How many partitions a training set is dealt to: one per ``partition_bytes``, ``least`` at least."""
+    return max(least, -(-training_bytes(train) // partition_bytes))
+
+
+def spread(train: DataFrame, partitions: int | None = None) -> DataFrame:
     """The training set in a fixed partitioning and order, by a hash of its rows.
 
     Tree and gradient fits pass over it many times; one shuffle up front lets
-    every pass use all cores.
+    every pass use all cores.  Without ``partitions`` :func:`partition_plan` counts.
     """
     h = F.xxhash64(*[F.col(c) for c in train.columns])
-    return train.repartition(partitions, h).sortWithinPartitions(h)
+    return train.repartition(partitions or partition_plan(train), h).sortWithinPartitions(h)
 
 
-def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+def fit(pipeline: Pipeline, train: DataFrame, partitions: int | None = None) -> PipelineModel:
     """Fit on a persisted training set; the cache is released afterwards."""
-    cached = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = spread(train, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipeline.fit(cached)
     finally:
@@ -155,15 +171,19 @@ class CVResult:
 
 def cross_validate(pipeline: Pipeline, estimator, grid: dict[str, list], train: DataFrame,
                    folds: int = 3, parallelism: int = 2, metric: str = "weightedRecall",
-                   seed: int = 12345) -> CVResult:
-    """k-fold grid search on ``metric``; returns the refitted best model and timing."""
+                   seed: int = 12345, partitions: int | None = None, fold: Column | None = None) -> CVResult:
+    """k-fold grid search on ``metric``; returns the refitted best model and timing.
+
+    ``fold`` (an int column, 0 to ``folds`` - 1) names each row's fold; by default it follows from
+    a hash of the row's values.  Folds do not depend on ``partitions``.
+    """
     maps = param_grid(estimator, grid)
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps,
                         evaluator=MulticlassClassificationEvaluator(metricName=metric),
                         numFolds=folds, parallelism=parallelism, seed=seed, foldCol=FOLD)
-    # a row's fold follows from its values alone
-    train = train.withColumn(FOLD, F.pmod(F.xxhash64(*[F.col(c) for c in train.columns], F.lit(seed)), F.lit(folds)).cast("int"))
-    cached = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    by_value = F.pmod(F.xxhash64(*[F.col(c) for c in train.columns], F.lit(seed)), F.lit(folds))
+    train = train.withColumn(FOLD, (by_value if fold is None else fold).cast("int"))
+    cached = spread(train, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         t0 = time.perf_counter()
         model = cv.fit(cached)
@@ -187,6 +207,43 @@ def predictions(model, df: DataFrame, keep: list[str] | None = None) -> DataFram
                                       F.col("prediction").cast("double").alias("prediction"))
 
 
+# --- scoring raw rows: the preprocessing as stages of the saved pipeline ---------------------------------
+
+def raw_stages() -> list[SQLTransformer]:
+    """Stages from raw text rows (``zip incident_date incident_time incident_year day_of_week``, ``'null'``
+    markers) to the columns the feature stages read; rows that lack one of them, or a zip, are left out.
+    """
+    def cut(column: str, start: int) -> str:
+        return f"try_cast(substring({column}, {start}, 2) AS INT)"
+
+    derived = {
+        "zipcode": "try_cast(zip AS INT)", "month": cut("incident_date", 6), "date": cut("incident_date", 9),
+        "hour": cut("incident_time", 1), "minute": cut("incident_time", 4), "year": "try_cast(incident_year AS INT)",
+        "dayOfWeek": "CASE WHEN trim(day_of_week) NOT IN ('', 'null') THEN day_of_week END",
+    }
+    typed = ", ".join(f"{sql} AS {name}" for name, sql in derived.items())
+    complete = " AND ".join(["zipcode <> 0", *(f"{name} IS NOT NULL" for name in derived)])
+    return [SQLTransformer(statement=f"SELECT *, {typed} FROM __THIS__"),
+            SQLTransformer(statement=f"SELECT * FROM __THIS__ WHERE {complete}")]
+
+
+def raw_scorer(model) -> PipelineModel:
+    """A fitted pipeline (or the best one of a grid search) with :func:`raw_stages` in front.
+
+    Training runs on typed rows; what is saved takes raw text rows, so a loaded model needs no code of
+    the caller to score new ones.
+    """
+    fitted = getattr(model, "bestModel", model)
+    return PipelineModel([*raw_stages(), *fitted.stages])
+
+
+def score_raw(scorer: PipelineModel, raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Predictions of a :func:`raw_scorer` for raw text rows, labelled or not: ``keep`` columns and ``prediction``."""
+    names = {f.lower() for f in ("zipcode", "month", "date", "hour", "minute", "year", "dayOfWeek")}
+    clash = [c for c in raw.columns if c.lower() in names]
+    return scorer.transform(raw.drop(*clash)).select(*(keep or []), F.col("prediction").cast("double").alias("prediction"))
+
+
 def train_and_test_accuracy(model, train: DataFrame, test: DataFrame) -> DataFrame:
     """Accuracy of a fitted model on both parts: ``part, accuracy``."""
     def part(name: str, df: DataFrame) -> DataFrame:

@@ -12,13 +12,19 @@ Two exact plans:
   one array by a scalar subquery and every point takes ``array_min`` of
   (squared distance, order, zone) structs -- a narrow map over the points,
   no shuffle of the point side and no cross join.
-* **grid** (any size): centroids are keyed by square grid cells over their
-  extent, points by their 3x3 cell block.  The best match is provably the
-  nearest when it lies within one cell width.  Unresolved points move to a
-  grid 4x coarser.  When a cell is as wide as the centroids' extent (or as
-  ``max_distance``) no coarser grid can tell centroids apart: the points that
-  are left are compared with every centroid, in blocks of centroids.  So the
-  number of levels is bounded by the centroids, whatever the points.
+* **tiles** (any size): the centroids are cut into tiles of equal count, by
+  rank along x and, in each slice, by rank along y, so cells follow the data:
+  no tile holds more than ``TILE`` centroids, however far away an outlier lies.
+  Tiles are grouped the same way, level by level, up to one array of at
+  most ``TOP`` boxes.  A point descends this tree: of the boxes it meets it
+  keeps those that are not farther than the nearest far corner of any, which is
+  exact, since the box with that corner holds a centroid at most that far.
+  The point side is shuffled once per level below the top, as (point, box)
+  rows, and once for the smallest distance.
+
+A point far from all centroids meets few tiles, too: those whose near corner is
+closer than the best far corner.  Only centroids that lie equally far from a
+point (on a circle around it) cannot be told apart by boxes.
 
 Both plans treat coordinates alike: NULL, NaN and infinite ones are missing
 (for a centroid: it takes no part), and of centroids at one place only the
@@ -31,10 +37,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patrolstat.operators.ranking import ranked
+from patrolstat.session import written
+
 # Centroids we accept to pack into one array shipped with every task; the
 # packed plan costs one distance per (point, centroid), so it is kept for
-# city-sized centroid tables and the grid plan takes over beyond.
+# city-sized centroid tables and the tile plan takes over beyond.
 DEFAULT_PACKED_CENTROIDS = 1024
+# Centroids in a tile, boxes in a group, boxes in the array every point starts from.
+TILE, GROUP_SIDE, TOP = 32, 8, 256
 
 
 def _dist2(px: Column, py: Column, cx: Column, cy: Column) -> Column:
@@ -73,18 +84,18 @@ def nearest_centroid(points: DataFrame, centroids: DataFrame, x: str, y: str,
                      distance_col: str | None = "distance", missing_zone=None,
                      max_distance: float | None = None, point_id: str | None = None,
                      max_packed: int = DEFAULT_PACKED_CENTROIDS,
-                     grid_cell: float | None = None) -> DataFrame:
+                     tile: int = TILE, top: int = TOP) -> DataFrame:
     """Assign every point the zone of its nearest centroid (see module doc).
 
-    ``point_id`` is accepted for callers that name a key; no plan relies on it.
+    ``point_id`` is accepted for callers that name a key; no plan relies on it.  ``tile`` and ``top``
+    bound a tile's centroids and the boxes of the first array; they change no row.
     """
-    cents = _prepared(centroids, cx, cy, zone, order).checkpoint(eager=True)
+    cents = written(_prepared(centroids, cx, cy, zone, order))
     pts = points.withColumn("_px", _finite(F.col(x))).withColumn("_py", _finite(F.col(y)))
-    s = cents.agg(F.count(F.lit(1)).alias("n"), F.min("_cx").alias("x0"), F.max("_cx").alias("x1"),
-                  F.min("_cy").alias("y0"), F.max("_cy").alias("y1")).first()
-    if s.n == 0 or (grid_cell is None and s.n <= max_packed):
+    n = cents.count()
+    if n <= max_packed or n == 0:
         return _nearest_packed(pts, cents, out, distance_col, missing_zone, max_distance, list(points.columns))
-    return _nearest_grid(pts, cents, s, out, distance_col, missing_zone, max_distance, list(points.columns), grid_cell)
+    return _nearest_tiles(pts, cents, n, out, distance_col, missing_zone, max_distance, list(points.columns), tile, top)
 
 
 def _pack(cents: DataFrame) -> DataFrame:
@@ -106,48 +117,71 @@ def _nearest_packed(pts, cents, out, distance_col, missing_zone, max_distance, k
     return _finish(with_best, F.col("_best"), px, py, out, distance_col, missing_zone, max_distance, keep)
 
 
-def _cells(v: Column, origin: float, cell: float) -> Column:
-    return F.floor((v - F.lit(origin)) / F.lit(cell)).cast("long")
-
-
-def _nearest_grid(pts, cents, s, out, distance_col, missing_zone, max_distance, keep, grid_cell):
-    """Exact multi-level grid search (equi joins on cell keys)."""
-    pts = pts.withColumn("_k", F.monotonically_increasing_id()).checkpoint(eager=True)
-    pending = pts.filter(F.col("_px").isNotNull() & F.col("_py").isNotNull()).select("_k", "_px", "_py")
-    span = max(s.x1 - s.x0, s.y1 - s.y0)
-    cell = grid_cell or (span / max(1.0, s.n ** 0.5) if span > 0 else 1.0)
-    widest = span if max_distance is None else min(span, float(max_distance))
-    offsets = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    resolved: list[DataFrame] = []
-    while cell < widest:
-        c_cells = cents.select(_cells(F.col("_cx"), s.x0, cell).alias("_gx"),
-                               _cells(F.col("_cy"), s.y0, cell).alias("_gy"), "_cx", "_cy", "_ord", "_zone")
-        # a point outside the centroids' box by more than a cell cannot be resolved at this level
-        near = pending.filter(F.col("_px").between(s.x0 - cell, s.x1 + cell) & F.col("_py").between(s.y0 - cell, s.y1 + cell))
-        p_cells = (near.select("_k", "_px", "_py", F.explode(offsets).alias("_ox"))
-                   .select("*", F.explode(offsets).alias("_oy"))
-                   .select("_k", "_px", "_py",
-                           (_cells(F.col("_px"), s.x0, cell) + F.col("_ox")).alias("_gx"),
-                           (_cells(F.col("_py"), s.y0, cell) + F.col("_oy")).alias("_gy")))
-        cand = p_cells.join(c_cells, on=["_gx", "_gy"], how="inner").select(
-            "_k", F.struct(_dist2(F.col("_px"), F.col("_py"), F.col("_cx"), F.col("_cy")).alias("d2"),
-                           F.col("_ord").alias("ord"), F.col("_zone").alias("zone")).alias("_c"))
-        best = cand.groupBy("_k").agg(F.min("_c").alias("_best"))
-        # Any centroid outside the 3x3 block is farther than one cell width.
-        sure = best.filter(F.col("_best.d2") <= F.lit(cell * cell)).checkpoint(eager=True)
-        resolved.append(sure)
-        pending = pending.join(sure.select("_k"), on="_k", how="left_anti").checkpoint(eager=True)
-        if pending.isEmpty():
+_BOX = ("x0", "x1", "y0", "y1")
+
+
+def tiles(cents: DataFrame, n: int, tile: int = TILE) -> DataFrame:
+    """The centroids in tiles of at most ``tile``: ``gx, gy`` (slice and place in it), box, ``members``.
+
+    ``n`` is their number.  Slices have equal counts (to one), tiles are cut off each slice's order.
+    """
+    slices = max(1, round((n / tile) ** 0.5))
+    by_x = ranked(cents, [F.col("_cx"), F.col("_cy")], rank="_place")
+    # a string key: the ranking's groups are texts
+    sliced = by_x.withColumn("_slice", F.expr(f"string(_place * {slices} div {n})"))
+    by_y = ranked(sliced, [F.col("_cy"), F.col("_cx")], group="_slice", rank="_place_y")
+    return (by_y.groupBy(F.col("_slice").cast("long").alias("gx"), F.expr(f"_place_y div {tile}").alias("gy"))
+            .agg(F.min("_cx").alias("x0"), F.max("_cx").alias("x1"), F.min("_cy").alias("y0"), F.max("_cy").alias("y1"),
+                 F.collect_list(F.struct("_cx", "_cy", "_ord", "_zone")).alias("members")))
+
+
+def _grouped(level: DataFrame) -> DataFrame:
+    """The next level up: groups of ``GROUP_SIDE`` x ``GROUP_SIDE`` boxes as ``boxes``, with the box around them."""
+    return (level.groupBy(F.expr(f"gx div {GROUP_SIDE}").alias("ux"), F.expr(f"gy div {GROUP_SIDE}").alias("uy"))
+            .agg(*[(F.min if c.endswith("0") else F.max)(c).alias(c) for c in _BOX],
+                 F.collect_list(F.struct("gx", "gy", *_BOX)).alias("boxes"))
+            .withColumnsRenamed({"ux": "gx", "uy": "gy"}))
+
+
+def _kept(boxes: Column, limit: float | None) -> Column:
+    """Of ``boxes`` those that may hold the nearest centroid of ``_px, _py``: ``(near, far, gx, gy)``."""
+    px, py = F.col("_px"), F.col("_py")
+
+    def measured(b: Column) -> Column:
+        nx = F.greatest(b["x0"] - px, px - b["x1"], F.lit(0.0))
+        ny = F.greatest(b["y0"] - py, py - b["y1"], F.lit(0.0))
+        fx = F.greatest(F.abs(b["x0"] - px), F.abs(b["x1"] - px))
+        fy = F.greatest(F.abs(b["y0"] - py), F.abs(b["y1"] - py))
+        return F.struct((nx * nx + ny * ny).alias("near"), (fx * fx + fy * fy).alias("far"), b["gx"].alias("gx"), b["gy"].alias("gy"))
+
+    found = F.transform(boxes, measured)
+    return found if limit is None else F.filter(found, lambda m: m["near"] < F.lit(limit) ** 2)
+
+
+def _nearest_tiles(pts, cents, n, out, distance_col, missing_zone, max_distance, keep, tile, top):
+    """Exact search down the tree of boxes (equi joins on the boxes' places)."""
+    limit = None if max_distance is None else float(max_distance)
+    pts = written(pts.withColumn("_k", F.monotonically_increasing_id()))
+    level = written(tiles(cents, n, tile))
+    levels, boxes = [level], level.count()
+    while boxes > top:
+        levels.append(written(_grouped(levels[-1])))
+        boxes = levels[-1].count()
+    first = levels[-1].agg(F.collect_list(F.struct("gx", "gy", *_BOX)).alias("b"))
+    open_ = pts.filter(F.col("_px").isNotNull() & F.col("_py").isNotNull()).select("_k", "_px", "_py") \
+        .withColumn("_boxes", first.scalar()).withColumn("_kept", _kept(F.col("_boxes"), limit)).drop("_boxes")
+    for lower in range(len(levels) - 1, -1, -1):
+        # boxes nearer than the nearest far corner, one row each
+        bound = F.array_min(F.transform("_kept", lambda m: m["far"]))
+        rows = open_.withColumn("_far", bound).select("_k", "_px", "_py", F.explode(
+            F.filter("_kept", lambda m: m["near"] <= F.col("_far"))).alias("_m"))
+        rows = rows.select("_k", "_px", "_py", F.col("_m.gx").alias("gx"), F.col("_m.gy").alias("gy"))
+        if lower == 0:
             break
-        cell *= 4.0
-    # the rest: blocks of centroids, each row of a block read with every point left
-    blocks = cents.withColumn("_b", F.pmod(F.hash("_cx", "_cy"), F.lit(-(-s.n // DEFAULT_PACKED_CENTROIDS)))) \
-        .groupBy("_b").agg(F.collect_list(F.struct("_cx", "_cy", "_ord", "_zone")).alias("_cents"))
-    n_blocks = -(-s.n // DEFAULT_PACKED_CENTROIDS)
-    left = pending.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(blocks, "_b")
-    rest = left.select("_k", _best_of(F.col("_cents")).alias("_c")).groupBy("_k").agg(F.min("_c").alias("_best"))
-    found = rest
-    for r in resolved:
-        found = found.unionByName(r)
+        met = rows.join(levels[lower].select("gx", "gy", "boxes"), ["gx", "gy"]).withColumn("_kept", _kept(F.col("boxes"), limit))
+        # the bound holds over all groups of a point
+        open_ = met.groupBy("_k", "_px", "_py").agg(F.flatten(F.collect_list("_kept")).alias("_kept"))
+    found = rows.join(levels[0].select("gx", "gy", "members"), ["gx", "gy"]).select("_k", _best_of(F.col("members")).alias("_c")) \
+        .groupBy("_k").agg(F.min("_c").alias("_best"))
     joined = pts.join(found, on="_k", how="left")
     return _finish(joined, F.col("_best"), F.col("_px"), F.col("_py"), out, distance_col, missing_zone, max_distance, keep)

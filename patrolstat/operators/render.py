@@ -13,12 +13,13 @@ from patrolstat.functions.parsing import float_text
 from patrolstat.functions.tables import N_SLOTS, SLOT_HOURS
 from patrolstat.operators.aggregate import bucket_column
 
-#: The records' labels of the bucket counts, in their order.
+# --- FIXED VALUES: labels of the text records, in their order
 BUCKET_LABELS = (
     ("vehicle", "Vehicle Incidents"), ("theft", "Theft Incidents"), ("drug", "Drug/Liquor Incidents"),
     ("weapon", "Incidents Involving Weapons"), ("sexual", "Sexual Incidents"), ("violent", "Violent Incidents/Suicide"),
     ("offense", "Incidents Involving Offenses"), ("report", "Reporting Incidents"), ("other", "Other Incidents"),
 )
+# --- end of fixed values
 
 
 def _s(c: str) -> Column:

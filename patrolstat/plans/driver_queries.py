@@ -349,10 +349,27 @@ def q_nearest_centroid(spark, sf_dir):
 
 @register("nearest_centroid_grid", _NEAREST_SQL)
 def q_nearest_centroid_grid(spark, sf_dir):
-    """Same assignment through the exact grid plan (the plan used for large centroid tables)."""
+    """Same assignment through the tile plan (the plan used for large centroid tables)."""
     return _nearest(spark, sf_dir, max_packed=0)
 
 
+@register("nearest_centroid_tiles", """
+    WITH c AS (SELECT CAST(vec_id AS VARCHAR) AS zone, vec_id AS ord, CAST(embedding[3] AS DOUBLE) AS cx,
+                      CAST(embedding[4] AS DOUBLE) AS cy FROM embeddings),
+    p AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS px, CAST(embedding[2] AS DOUBLE) AS py FROM embeddings),
+    d AS (SELECT p.vec_id, c.zone, c.ord, (c.cx - p.px) * (c.cx - p.px) + (c.cy - p.py) * (c.cy - p.py) AS d2 FROM p, c),
+    r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, ord) AS rn FROM d)
+    SELECT vec_id, zone, sqrt(d2) AS distance FROM r WHERE rn = 1""")
+def q_nearest_centroid_tiles(spark, sf_dir):
+    """As many centroids as points (dims 3 and 4 of every embedding), small tiles: several levels of boxes."""
+    e = S.table(spark, sf_dir, "embeddings")
+    pts = e.select("vec_id", F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y"))
+    cents = e.select(F.col("vec_id").cast("string").alias("zone"), F.col("vec_id").alias("ord"),
+                     F.col("embedding")[2].alias("cx"), F.col("embedding")[3].alias("cy"))
+    out = nearest_centroid(pts, cents, "x", "y", "cx", "cy", zone="zone", order="ord", max_packed=0, tile=4, top=16)
+    return out.select("vec_id", "zone", "distance")
+
+
 # --- dedup, first-seen, union ---------------------------------------------------------
 
 _LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -385,6 +402,8 @@ def q_union_all_sources(spark, sf_dir):
 
 # --- features ---------------------------------------------------------------------------
 
+from pyspark.ml import Pipeline  # noqa: E402
+from pyspark.ml.feature import VectorAssembler  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
 from patrolstat.operators import features as FE  # noqa: E402
@@ -410,6 +429,17 @@ def q_frequency_index(spark, sf_dir):
     return FE.frequency_index(e, "event_type", "type_index", keep_invalid=False)
 
 
+@register("frequency_index_distributed", f"""
+    SELECT o.o_orderkey, o.o_custkey, r.idx AS customer_index FROM orders o JOIN (
+      SELECT v, CAST(row_number() OVER (ORDER BY c DESC, v) - 1 AS DOUBLE) AS idx
+      FROM (SELECT CAST(o_custkey AS VARCHAR) AS v, count(*) AS c FROM orders GROUP BY o_custkey) f) r
+      ON r.v = CAST(o.o_custkey AS VARCHAR)""")
+def q_frequency_index_distributed(spark, sf_dir):
+    """Customers by number of orders: a column whose values grow with the table."""
+    o = S.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return FE.frequency_index_distributed(o, "o_custkey", "customer_index", keep_invalid=False)
+
+
 _DOW_SQL = "(SELECT event_id, dayname(ts) AS day_of_week FROM events)"
 
 
@@ -483,6 +513,17 @@ def q_confusion_matrix(spark, sf_dir):
     return ME.confusion_counts(_pred_pairs(spark, sf_dir))
 
 
+@register("confusion_matrix_wide", f"""
+    WITH p AS {_PRED_SQL}, u AS (SELECT label AS x FROM p UNION SELECT prediction FROM p),
+    c AS (SELECT a.x AS label, b.x AS prediction, count(p.label) AS n FROM u a CROSS JOIN u b
+          LEFT JOIN p ON p.label = a.x AND p.prediction = b.x GROUP BY ALL)
+    SELECT label, list(prediction ORDER BY prediction) AS predictions, list(n ORDER BY prediction) AS counts FROM c GROUP BY label""")
+def q_confusion_matrix_wide(spark, sf_dir):
+    """A row per label that occurs as either, with the counts of all labels in order."""
+    wide = ME.confusion_matrix(_pred_pairs(spark, sf_dir))
+    return wide.select("label", F.map_keys("counts").alias("predictions"), F.map_values("counts").alias("counts"))
+
+
 _SUMMARY_SQL = f"""
     WITH conf AS (SELECT label, prediction, count(*) AS count FROM {_PRED_SQL} p GROUP BY ALL),
     pl AS (SELECT label, CAST(sum(count) AS BIGINT) AS support,
@@ -573,16 +614,11 @@ def q_cv_scores(spark, sf_dir):
 
 @register("batch_score")
 def q_batch_score(spark, sf_dir):
-    """Fit on labelled train rows; score test-split rows with complete features, label or not."""
+    """Fit on labelled train rows; score the raw text rows of the test split, labelled or not."""
     train, _ = _split_training(spark, sf_dir)
     model = MO.fit(MO.classification_pipeline(MO.random_forest(num_trees=10, max_depth=5)), train)
-    inc = FE.key_split(incidents(spark, sf_dir), "incident_id", 70, method="hash")
-    unseen = inc.filter(F.col("split") == "test").select(
-        "incident_id", F.col("zip").try_cast("int").alias("zipcode"), F.col("month"), F.col("day").alias("date"),
-        "hour", "minute", "year", F.col("day_of_week").alias("dayOfWeek"), F.col("weight").alias("label")
-    ).dropna(subset=["zipcode", "month", "date", "hour", "minute", "year", "dayOfWeek"]) \
-        .filter(F.col("zipcode") != 0)
-    return model.transform(unseen).select("incident_id", F.col("prediction").cast("double").alias("prediction"))
+    raw = FE.key_split(S.raw_incidents(spark, sf_dir), "incident_id", 70, method="hash")
+    return MO.score_raw(MO.raw_scorer(model), raw.filter(F.col("split") == "test"), keep=["incident_id"])
 
 
 @register("model_roundtrip")
@@ -599,9 +635,204 @@ def q_model_roundtrip(spark, sf_dir):
     return MO.predictions(load_model(path), test, keep=["incident_id"])
 
 
+# --- models with a closed form: value checks ---------------------------------------------------
+#
+# A tree of depth 1 is a search for the threshold of least weighted gini impurity; a logistic
+# regression on one one-hot column gives each value's class shares.  Labels are derived from the rows,
+# so that there is something to learn.
+
+def _stump_sql(train: str, x: str) -> str:
+    """One row: the threshold ``q`` (left: ``x <= q``) and both sides' majority label, from ``train`` (``x``, 0/1 ``label``)."""
+    def gini(n: str, p: str) -> str:
+        return f"(1.0 - ({p} / {n}) * ({p} / {n}) - (({n} - {p}) / {n}) * (({n} - {p}) / {n}))"
+    return f"""(SELECT q, CAST(2 * pl > nl AS INTEGER)::DOUBLE AS low, CAST(2 * (pt - pl) > nt - nl AS INTEGER)::DOUBLE AS high FROM (
+        SELECT q, sum(n) OVER (ORDER BY q)::DOUBLE AS nl, sum(p) OVER (ORDER BY q)::DOUBLE AS pl,
+               sum(n) OVER ()::DOUBLE AS nt, sum(p) OVER ()::DOUBLE AS pt
+        FROM (SELECT {x} AS q, count(*) AS n, sum(label) AS p FROM {train} GROUP BY {x}) g) c
+      WHERE nl < nt ORDER BY nl / nt * {gini('nl', 'pl')} + (nt - nl) / nt * {gini('(nt - nl)', '(pt - pl)')}, q LIMIT 1)"""
+
+
+_MODULAR = "(({0} % 100) * 19 + 13) % 100 < 70"
+_LATE_SQL = """(SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS quantity,
+    CAST(l_quantity + 3 * l_linenumber > 40 AS INTEGER) AS label FROM lineitem)"""
+_LATE_STUMP = _stump_sql(f"(SELECT * FROM {_LATE_SQL} t WHERE {_MODULAR.format('l_orderkey')}) t", "quantity")
+_LATE_PREDICTED = f"""(SELECT l_orderkey, l_linenumber, quantity, label::DOUBLE AS label, CASE WHEN quantity <= q THEN low ELSE high END AS prediction
+    FROM {_LATE_SQL} t, {_LATE_STUMP} s WHERE NOT {_MODULAR.format('l_orderkey')})"""
+
+
+def _late(spark, sf_dir):
+    """Line items with a 0/1 label that follows from quantity and line number; train and test part."""
+    li = S.table(spark, sf_dir, "lineitem")
+    rows = li.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("quantity"),
+                     (F.col("l_quantity") + 3 * F.col("l_linenumber") > 40).cast("int").alias("label"))
+    t = FE.key_split(rows, "l_orderkey", 70, method="modular")
+    return t.filter("split = 'train'").drop("split"), t.filter("split = 'test'").drop("split")
+
+
+def _late_pipeline(classifier):
+    return Pipeline(stages=[VectorAssembler(inputCols=["quantity"], outputCol="features"), classifier])
+
+
+def _late_predictions(spark, sf_dir, classifier):
+    train, test = _late(spark, sf_dir)
+    model = MO.fit(_late_pipeline(classifier), train)
+    return MO.predictions(model, test, keep=["l_orderkey", "l_linenumber", "quantity"])
+
+
+@register("dt_stump", f"SELECT * FROM {_LATE_PREDICTED} p")
+def q_dt_stump(spark, sf_dir):
+    """A decision tree of depth 1 on the quantity."""
+    return _late_predictions(spark, sf_dir, MO.decision_tree(max_depth=1, max_bins=64))
+
+
+@register("forest_stump", f"SELECT * FROM {_LATE_PREDICTED} p")
+def q_forest_stump(spark, sf_dir):
+    """A forest of three such trees that see all rows and features: each is the tree."""
+    forest = MO.random_forest(num_trees=3, max_depth=1, max_bins=64).setBootstrap(False).setFeatureSubsetStrategy("all")
+    return _late_predictions(spark, sf_dir, forest)
+
+
+@register("stump_evaluation", f"""
+    WITH p AS {_LATE_PREDICTED}, n AS (SELECT count(*) AS n FROM p),
+    l AS (SELECT label, count(*) AS support, count(*) FILTER (WHERE prediction = label) AS tp FROM p GROUP BY label),
+    q AS (SELECT prediction AS label, count(*) AS predicted FROM p GROUP BY prediction),
+    m AS (SELECT l.*, coalesce(predicted, 0) AS predicted FROM l LEFT JOIN q USING (label)),
+    r AS (SELECT label, support, tp, predicted - tp AS fp, predicted,
+            CASE WHEN predicted = 0 THEN 0.0 ELSE tp::DOUBLE / predicted::DOUBLE END AS precision, tp::DOUBLE / support::DOUBLE AS recall,
+            coalesce((predicted - tp)::DOUBLE / NULLIF(n::DOUBLE - support::DOUBLE, 0), 0.0) AS fpr FROM m, n)
+    SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2.0 * precision * recall / (precision + recall) END AS f1 FROM r""")
+def q_stump_evaluation(spark, sf_dir):
+    """Per-label metrics of the fitted tree on its test rows."""
+    return ME.label_metrics(q_dt_stump(spark, sf_dir))
+
+
+@register("cv_stump_scores", f"""
+    WITH t AS (SELECT *, l_orderkey % 3 AS fold FROM {_LATE_SQL} x WHERE {_MODULAR.format('l_orderkey')}),
+    f AS (SELECT 0 AS fold, * FROM {_stump_sql('(SELECT * FROM t WHERE fold <> 0)', 'quantity')}
+          UNION ALL SELECT 1, * FROM {_stump_sql('(SELECT * FROM t WHERE fold <> 1)', 'quantity')}
+          UNION ALL SELECT 2, * FROM {_stump_sql('(SELECT * FROM t WHERE fold <> 2)', 'quantity')}),
+    m AS (SELECT b.fold, CAST(2 * sum(a.label) > count(*) AS INTEGER) AS most FROM (SELECT DISTINCT fold FROM t) b
+          JOIN t a ON a.fold <> b.fold GROUP BY b.fold),
+    s AS (SELECT fold, avg(CAST(label = CASE WHEN quantity <= q THEN low ELSE high END AS INTEGER)) AS deep,
+                 avg(CAST(label = most AS INTEGER)) AS flat FROM t JOIN f USING (fold) JOIN m USING (fold) GROUP BY fold)
+    SELECT 'maxDepth=0' AS params, round(avg(flat), 6) AS avg_metric FROM s
+    UNION ALL SELECT 'maxDepth=1', round(avg(deep), 6) FROM s""")
+def q_cv_stump_scores(spark, sf_dir):
+    """Cross-validated weighted recall of trees of depth 0 and 1, folds by order key."""
+    train, _ = _late(spark, sf_dir)
+    dt = MO.decision_tree(max_bins=64)
+    res = MO.cross_validate(_late_pipeline(dt), dt, {"maxDepth": [0, 1]}, train, folds=3, fold=F.pmod(F.col("l_orderkey"), F.lit(3)))
+    return MO.cv_scores_frame(spark, res).withColumn("avg_metric", F.round("avg_metric", 6))
+
+
+_TIER_SQL = """(SELECT l_orderkey, l_linenumber, CAST(least(2, floor((l_quantity + 6 * l_linenumber) / 30)) AS DOUBLE) AS label FROM lineitem)"""
+
+
+@register("lr_class_shares", f"""
+    WITH t AS {_TIER_SQL}, c AS (SELECT l_linenumber, label, count(*) AS n FROM t WHERE {_MODULAR.format('l_orderkey')} GROUP BY ALL),
+    best AS (SELECT l_linenumber, arg_max(label, n) AS prediction FROM c GROUP BY l_linenumber)
+    SELECT l_orderkey, l_linenumber, label, prediction FROM t JOIN best USING (l_linenumber) WHERE NOT {_MODULAR.format('l_orderkey')}""")
+def q_lr_class_shares(spark, sf_dir):
+    """Multinomial logistic regression on one one-hot column: the most frequent class of each value."""
+    li = S.table(spark, sf_dir, "lineitem")
+    rows = li.select("l_orderkey", "l_linenumber", F.least(F.lit(2), F.floor((F.col("l_quantity") + 6 * F.col("l_linenumber")) / 30))
+                     .cast("double").alias("label"))
+    t = FE.key_split(rows, "l_orderkey", 70, method="modular")
+    model = MO.fit(Pipeline(stages=[*FE.indexed_one_hot_stages(["l_linenumber"]), MO.logistic_regression()]), t.filter("split = 'train'").drop("split"))
+    return MO.predictions(model, t.filter("split = 'test'"), keep=["l_orderkey", "l_linenumber"])
+
+
+_SERIOUS = "CAST(hour >= 15 OR weight >= 14 AS INTEGER)"
+_RAW_TEST_SQL = f"""(SELECT incident_id, hour FROM {INC} i WHERE NOT {_MODULAR.format('incident_id')}
+    AND TRY_CAST(zip AS INTEGER) <> 0 AND month IS NOT NULL AND day IS NOT NULL AND hour IS NOT NULL AND minute IS NOT NULL
+    AND year IS NOT NULL AND day_of_week IS NOT NULL)"""
+_RAW_STUMP = _stump_sql(f"(SELECT hour, {_SERIOUS} AS label FROM {INC} i WHERE {_USABLE_SQL} AND {_MODULAR.format('incident_id')}) t", "hour")
+
+
+def _serious_tree(spark, sf_dir):
+    """A tree of depth 1 on all seven features, fitted to "late or serious", as a scorer of raw rows; the raw test rows."""
+    inc = FE.key_split(incidents(spark, sf_dir), "incident_id", 70, method="modular").filter("split = 'train'")
+    label = ((F.col("hour") >= 15) | (F.col("weight") >= 14)).cast("int")
+    train = MO.training_frame(inc.drop("split"), keep=["weight"]).withColumn("label", label).drop("weight")
+    model = MO.fit(MO.classification_pipeline(MO.decision_tree(max_depth=1)), train)
+    raw = FE.key_split(S.raw_incidents(spark, sf_dir), "incident_id", 70, method="modular")
+    return MO.raw_scorer(model), raw.filter("split = 'test'")
+
+
+@register("raw_batch_score", f"""
+    SELECT incident_id, CASE WHEN hour <= q THEN low ELSE high END AS prediction FROM {_RAW_TEST_SQL} t, {_RAW_STUMP} s""")
+def q_raw_batch_score(spark, sf_dir):
+    """Raw text rows scored by a pipeline that holds its own preprocessing."""
+    scorer, raw = _serious_tree(spark, sf_dir)
+    return MO.score_raw(scorer, raw, keep=["incident_id"])
+
+
+@register("model_roundtrip_counts", f"""
+    SELECT count(*) AS scored_rows, count(*) AS equal_rows, CAST(sum(CASE WHEN hour <= q THEN low ELSE high END) AS BIGINT) AS positives
+    FROM {_RAW_TEST_SQL} t, {_RAW_STUMP} s""")
+def q_model_roundtrip_counts(spark, sf_dir):
+    """The raw-row scorer saved, loaded and used: rows scored, rows scored alike by both, positive predictions."""
+    import uuid
+
+    from patrolstat.session import ensure_checkpoint_dir
+    from patrolstat.sources.sinks import load_model, save_model
+    scorer, raw = _serious_tree(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
+    save_model(scorer, path)
+    before = MO.score_raw(scorer, raw, keep=["incident_id"]).withColumnRenamed("prediction", "first")
+    after = MO.score_raw(load_model(path), raw, keep=["incident_id"])
+    return after.join(before, "incident_id", "left").agg(
+        F.count("*").alias("scored_rows"), F.count_if(F.col("first") == F.col("prediction")).alias("equal_rows"),
+        F.sum("prediction").cast("long").alias("positives"))
+
+
+# --- files ------------------------------------------------------------------------------------
+
+from patrolstat.sources.lines import with_line_numbers  # noqa: E402
+
+
+def _written_lines(lines: DataFrame) -> str:
+    import uuid
+
+    from patrolstat.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(lines.sparkSession).rstrip('/')}/lines-{uuid.uuid4().hex}"
+    lines.write.text(path)
+    return path
+
+
+@register("file_line_numbers", """
+    SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS line FROM orders""")
+def q_file_line_numbers(spark, sf_dir):
+    """Orders written in key order as ';' lines to several files, read back and numbered."""
+    o = S.table(spark, sf_dir, "orders")
+    path = _written_lines(o.orderBy("o_orderkey").select(F.concat_ws(";", "o_orderkey", "o_orderstatus").alias("value")))
+    rows = R.read_headerless(spark, path, ["key", "status"], sep=";")
+    return with_line_numbers(rows).select(F.col("key").cast("long").alias("o_orderkey"), "line")
+
+
+_LINES_SQL = """(SELECT CAST(o_orderkey AS VARCHAR) AS k, o_orderkey,
+    CASE o_orderkey % 10 WHEN 3 THEN k WHEN 7 THEN k || ',F,extra' WHEN 9 THEN '"' || k || ',F' ELSE k || ',"' || o_orderstatus || ', x"' END AS line
+    FROM orders)"""
+
+
+@register("quarantined_rows", f"""
+    SELECT line AS raw, CASE o_orderkey % 10 WHEN 9 THEN k || ',F' ELSE k END AS k FROM {_LINES_SQL} t WHERE o_orderkey % 10 IN (3, 7, 9)
+    UNION ALL SELECT NULL, k FROM {_LINES_SQL} t WHERE o_orderkey % 10 NOT IN (3, 7, 9)""")
+def q_quarantined_rows(spark, sf_dir):
+    """Order lines, some too short, too long or with a quote never closed: the good rows, and the raw text of the others."""
+    k = F.col("o_orderkey").cast("string")
+    kind = F.pmod("o_orderkey", F.lit(10))
+    line = (F.when(kind == 3, k).when(kind == 7, F.concat(k, F.lit(",F,extra"))).when(kind == 9, F.concat(F.lit('"'), k, F.lit(",F")))
+            .otherwise(F.concat(k, F.lit(',"'), "o_orderstatus", F.lit(', x"'))))
+    path = _written_lines(S.table(spark, sf_dir, "orders").select(line.alias("value")))
+    rows = R.read_delimited(spark, path, R.string_schema(["k", "status"]), header=False, corrupt_column=R.CORRUPT)
+    good, bad = R.split_malformed(rows)
+    return bad.select(F.col(R.CORRUPT).alias("raw"), "k").unionByName(good.select(F.lit(None).cast("string").alias("raw"), "k"))
+
+
 # --- rendering ----------------------------------------------------------------------------
 
-from patrolstat.operators.render import render_profile  # noqa: E402
+from patrolstat.operators.render import render_buckets, render_profile  # noqa: E402
 
 _CENSUS_LABELS = [("Name", "c_name"), ("Segment", "c_mktsegment")]
 
@@ -633,3 +864,18 @@ def q_profile_text(spark, sf_dir):
 def q_rf_evaluation(spark, sf_dir):
     """Per-label precision, recall, FPR and F1 of the random forest on the test split."""
     return ME.label_metrics(q_rf_predict(spark, sf_dir))
+
+
+# Record labels as the rendered text must have them, in their order (fixed values, stated here anew for the check).
+_BUCKET_TEXT = [("Total Incidents", "total_incidents"), ("Vehicle Incidents", "vehicle_incidents"), ("Theft Incidents", "theft_incidents"),
+                ("Drug/Liquor Incidents", "drug_incidents"), ("Incidents Involving Weapons", "weapon_incidents"),
+                ("Sexual Incidents", "sexual_incidents"), ("Violent Incidents/Suicide", "violent_incidents"),
+                ("Incidents Involving Offenses", "offense_incidents"), ("Reporting Incidents", "report_incidents"),
+                ("Other Incidents", "other_incidents")]
+
+
+@register("bucket_text", "SELECT district, " + " || '; ' || ".join(
+    f"'{label}: ' || {column}" for label, column in _BUCKET_TEXT) + f" AS bucket_text FROM ({_bucket_counts_sql('district')}) c")
+def q_bucket_text(spark, sf_dir):
+    """The bucket counts of each district as labelled text records."""
+    return render_buckets(q_bucket_counts_by_group(spark, sf_dir), "district")

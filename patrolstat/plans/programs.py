@@ -78,16 +78,16 @@ def census_profile(census_records: DataFrame, fields: dict[str, int] | None = No
 
 
 def assign_incident_zips(incidents: DataFrame, centroids: DataFrame,
-                         lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+                         lat: str = "latitude", lon: str = "longitude", order: str = "line") -> DataFrame:
     """Tag each incident with the zip of its nearest centroid (``00000`` without coordinates).
 
-    ``centroids`` carries ``zip latitude longitude`` in file order; the
-    order breaks distance ties towards the earlier row, as a first-wins scan
-    of the file does.  Text coordinates are parsed with ``try_cast``.
+    ``centroids`` carries ``zip latitude longitude`` and the place in the file in ``order``
+    (see :func:`readers.read_zip_centroids`); it breaks distance ties towards the earlier
+    row, as a first-wins scan of the file does.  Without that column ties go to the smallest zip.
+    Text coordinates are parsed with ``try_cast``.
     """
-    cents = centroids.select("zip", F.col("latitude").cast("double").alias("clat"),
-                             F.col("longitude").cast("double").alias("clon"),
-                             F.monotonically_increasing_id().alias("ord"))
+    cents = centroids.select("zip", F.col("latitude").cast("double").alias("clat"), F.col("longitude").cast("double").alias("clon"),
+                             F.col(order if order in centroids.columns else "zip").alias("ord"))
     pts = incidents.withColumn("_lat", F.col(lat).try_cast("double")) \
         .withColumn("_lon", F.col(lon).try_cast("double"))
     tagged = nearest_centroid(pts, cents, "_lat", "_lon", "clat", "clon", zone="zip", order="ord",
@@ -109,8 +109,14 @@ def zip_slot_profile(raw_incidents: DataFrame, census: DataFrame, key: str = "zi
 
 
 def category_breakdown(incidents: DataFrame, district: str = "district") -> tuple[DataFrame, DataFrame]:
-    """Keyword-bucket counts city-wide and per police district."""
-    return A.bucket_counts(incidents), A.bucket_counts(incidents, group_by=district)
+    """Keyword-bucket counts city-wide and per police district.
+
+    One scan of the incidents: the city's counts are the sums of the districts' (a row per district,
+    kept in the checkpoint folder by whichever result is computed first).
+    """
+    by = A.bucket_counts(incidents, group_by=district).checkpoint(eager=False)
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in by.columns if c != district]
+    return by.agg(*sums), by
 
 
 @dataclass
@@ -126,11 +132,13 @@ class TrainResult:
 def train_and_evaluate(spark: SparkSession, incidents: DataFrame, grid: dict[str, list],
                        folds: int = 3, parallelism: int = 2, train_percent: int = 70,
                        key: str = "incident_id", classifier: str = "random_forest",
-                       seed: int = 12345) -> TrainResult:
+                       seed: int = 12345, partitions: int | None = None,
+                       malformed: DataFrame | None = None) -> TrainResult:
     """Coverage, key-based split, grid search on weighted recall, evaluation on the test part.
 
     ``incidents`` are typed incidents (:func:`operators.clean.typed_incidents`).
-    The feature stages are fitted on the training part only.
+    The feature stages are fitted on the training part only.  ``partitions`` of the training set
+    follow from its bytes unless given; ``malformed`` (:func:`readers.malformed_count`) goes into the report.
     """
     coverage = C.coverage(incidents)
     rows = FE.key_split(MO.training_frame(incidents, keep=[key]), key, train_percent)
@@ -140,9 +148,9 @@ def train_and_evaluate(spark: SparkSession, incidents: DataFrame, grid: dict[str
            "decision_tree": lambda: MO.decision_tree(seed=seed),
            "logistic_regression": MO.logistic_regression}[classifier]()
     cv = MO.cross_validate(MO.classification_pipeline(est), est, grid, train, folds=folds,
-                           parallelism=parallelism, seed=seed)
+                           parallelism=parallelism, seed=seed, partitions=partitions)
     preds = MO.predictions(cv.model, test, keep=[key])
     return TrainResult(coverage=coverage, cv=cv, predictions=preds,
                        label_metrics=ME.label_metrics(preds), summary=ME.summary_metrics(preds),
                        report=ME.evaluation_report(preds).unionByName(
-                           ME.run_section(coverage, cv.seconds, max(cv.scores, key=lambda s: s[1])[0])))
+                           ME.run_section(coverage, cv.seconds, max(cv.scores, key=lambda s: s[1])[0], malformed)))

@@ -30,6 +30,7 @@ DISTRICT_POOL: tuple[str, ...] = (
 # Residues that mark a field missing in the raw incident stand-in.
 MISSING_ZIP_MOD, MISSING_DATE_MOD, MISSING_TIME_MOD = 23, 29, 31
 MISSING_DOW_MOD, MISSING_CODE_MOD = 37, 41
+MISSING_CATEGORY_MOD, NULL_CATEGORY_MOD = 43, 47
 CATEGORY_STRIDE = 7
 
 
@@ -77,7 +78,9 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type", idx.alias("_idx")))))
     return made.join(F.broadcast(pool), on="_idx", how="left").select(
         "incident_id", "zip", "incident_date", "incident_time", "incident_year", "day_of_week", "incident_code",
-        F.coalesce(F.col("_pool_category"), F.col("event_type")).alias("category"), "district")
+        F.when(F.pmod(F.col("incident_id"), F.lit(MISSING_CATEGORY_MOD)) == 0, F.lit("null"))
+        .when(F.pmod(F.col("incident_id"), F.lit(NULL_CATEGORY_MOD)) == 0, F.lit(None))
+        .otherwise(F.coalesce(F.col("_pool_category"), F.col("event_type"))).alias("category"), "district")
 
 
 def raw_incidents_sql() -> str:
@@ -91,7 +94,8 @@ def raw_incidents_sql() -> str:
       CASE WHEN event_id % {MISSING_DOW_MOD} = 0 THEN 'null' ELSE dayname(ts) END AS day_of_week,
       CASE WHEN event_id % {MISSING_CODE_MOD} = 0 THEN 'null'
            ELSE lpad(CAST(idx + 1000 AS VARCHAR), 5, '0') END AS incident_code,
-      {_sql_list(CATEGORY_POOL, 'event_type')}[idx + 1] AS category,
+      CASE WHEN event_id % {MISSING_CATEGORY_MOD} = 0 THEN 'null' WHEN event_id % {NULL_CATEGORY_MOD} = 0 THEN NULL
+           ELSE {_sql_list(CATEGORY_POOL, 'event_type')}[idx + 1] END AS category,
       {_sql_list(DISTRICT_POOL)}[user_id % {len(DISTRICT_POOL)} + 1] AS district
     FROM (SELECT *, (event_id * {CATEGORY_STRIDE} + user_id) % {n_pool} AS idx FROM events) e
     """

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session running these jobs should carry.  AQE re-plans
 # joins from runtime sizes (broadcast only when the measured side is small),
@@ -42,6 +43,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written below ``spark.checkpoint.dir`` and read back.
+
+    Ends the lineage in a table that every executor reaches and whose size the planner knows.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set our own only when unset.
 

@@ -20,6 +20,7 @@ from patrolstat.functions.tables import (
     CENSUS_SEGMENT_LOGRECNO,
     CENSUS_SEGMENT_PAYLOAD_START,
 )
+from patrolstat.sources.lines import with_line_numbers
 
 # --- FIXED VALUES: file formats of the inputs --------------------------------
 
@@ -79,6 +80,10 @@ ZIP_CENTROID_SCHEMA = T.StructType([
 ])
 
 
+#: The column of the raw text of malformed rows, where a reader is asked for it without a name.
+CORRUPT = "_corrupt_record"
+
+
 # --- generic readers --------------------------------------------------------
 
 def read_lines(spark: SparkSession, path: str | list[str], min_partitions: int | None = None) -> DataFrame:
@@ -96,8 +101,11 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: T.StructT
                    corrupt_column: str | None = None) -> DataFrame:
     """Delimited text with quotes honoured, an explicit schema and PERMISSIVE mode.
 
-    Malformed rows are kept: their fields are NULL and, when
-    ``corrupt_column`` is given, the raw line is kept in that column.
+    Malformed rows are kept: their missing fields are NULL and, when
+    ``corrupt_column`` is given, the raw line is kept in that column.  A row is
+    malformed by its whole line (too few or too many fields, a quote never
+    closed, a value of the wrong type), whatever columns a query selects: with
+    that column the reader parses all fields.
     """
     reader = (spark.read.schema(_with_corrupt(schema, corrupt_column))
               .option("header", header).option("sep", sep)
@@ -106,8 +114,25 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: T.StructT
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
     if corrupt_column:
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.csv(path)
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column).option("columnPruning", False)
+    rows = reader.csv(path)
+    if corrupt_column:
+        # Spark refuses to read that column alone: it now goes with the first field (nullif of a value with itself is NULL)
+        first = F.col(f"`{schema.fields[0].name}`").cast("string")
+        rows = rows.withColumn(corrupt_column, F.coalesce(F.col(corrupt_column), F.nullif(first, first)))
+    return rows
+
+
+def split_malformed(rows: DataFrame, corrupt_column: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
+    """``(good, quarantine)``: the well-formed rows without ``corrupt_column``, and the raw lines of the
+    others with the fields that could be read.  Both are lazy; each scans its source."""
+    bad = F.col(corrupt_column).isNotNull()
+    return rows.filter(~bad).drop(corrupt_column), rows.filter(bad)
+
+
+def malformed_count(rows: DataFrame, corrupt_column: str = CORRUPT) -> DataFrame:
+    """One row: ``total_lines, malformed_lines`` (one scan)."""
+    return rows.agg(F.count("*").alias("total_lines"), F.count(corrupt_column).alias("malformed_lines"))
 
 
 def _with_corrupt(schema: T.StructType, corrupt_column: str | None) -> T.StructType:
@@ -158,15 +183,24 @@ def _ddl(schema: T.StructType) -> str:
 
 # --- incident inputs -------------------------------------------------------------
 
-def read_incident_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw police incident CSV -> the analytic fields as text (snake_case names)."""
-    raw = read_delimited(spark, path, INCIDENT_CSV_SCHEMA, header=True)
-    return raw.select(*[F.col(f"`{src}`").alias(dst) for src, dst in INCIDENT_FIELDS.items()])
+def read_incident_csv(spark: SparkSession, path: str | list[str], corrupt_column: str | None = None) -> DataFrame:
+    """Raw police incident CSV -> the analytic fields as text (snake_case names).
+
+    With ``corrupt_column`` malformed rows are marked by their raw line (see :func:`split_malformed`).
+    """
+    raw = read_delimited(spark, path, INCIDENT_CSV_SCHEMA, header=True, corrupt_column=corrupt_column)
+    return raw.select(*[F.col(f"`{src}`").alias(dst) for src, dst in INCIDENT_FIELDS.items()],
+                      *([corrupt_column] if corrupt_column else []))
 
 
-def read_zip_centroids(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``;``-delimited zip centroid file with a header; zip stays text."""
-    return read_delimited(spark, path, ZIP_CENTROID_SCHEMA, header=True, sep=";")
+def read_zip_centroids(spark: SparkSession, path: str | list[str], corrupt_column: str | None = None,
+                       line: str | None = "line") -> DataFrame:
+    """``;``-delimited zip centroid file with a header; zip stays text.
+
+    ``line`` is the row's place in the file (from 0, at any split size): ties of distance go by it.
+    """
+    rows = read_delimited(spark, path, ZIP_CENTROID_SCHEMA, header=True, sep=";", corrupt_column=corrupt_column)
+    return with_line_numbers(rows, line) if line else rows
 
 
 def parse_tagged_lines(lines: DataFrame, fields: list[str], line: str = "value") -> DataFrame:

@@ -38,14 +38,22 @@ def test_against_spark_multiclass_metrics(spark, pairs):
 def test_confusion_matrix_shape(spark, pairs):
     wide = ME.confusion_matrix(pairs).collect()
     labels = [r.label for r in wide]
-    assert labels == sorted(labels)
-    assert all(len(r) == len(labels) + 1 for r in wide)
+    assert labels == sorted(labels) and 8.0 in labels           # a label that is only predicted has a row
+    assert all(r.k == labels for r in ME.confusion_matrix(pairs).selectExpr("map_keys(counts) as k").collect())
     support = {r.label: r.support for r in ME.label_metrics(pairs).collect()}
-    assert all(sum(r[1:]) == support.get(r.label, 0) for r in wide)
+    assert all(sum(r.counts.values()) == support.get(r.label, 0) for r in wide)
+    cells = {(r.label, p): n for r in wide for p, n in r.counts.items() if n}
+    assert cells == {(r.label, r.prediction): r["count"] for r in ME.confusion_counts(pairs).collect()}
     long = ME.confusion_counts(pairs).collect()
     assert sum(r["count"] for r in long) == 601
 
 
+def test_wide_matrix_of_awkward_rows(spark, pairs):
+    df = spark.createDataFrame([(None, 1.0), (2.0, None), (2.0, 2.0)], "prediction double, label double")
+    assert {r.label: r.counts for r in ME.confusion_matrix(df).collect()} == {1.0: {1.0: 0, 2.0: 0}, 2.0: {1.0: 0, 2.0: 1}}
+    assert ME.confusion_matrix(pairs.limit(0)).collect() == []
+
+
 def test_precision_zero_when_never_predicted(spark):
     df = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0)], "prediction double, label double")
     per = {r.label: r for r in ME.label_metrics(df).collect()}

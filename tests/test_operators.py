@@ -148,8 +148,8 @@ def _brute(points, cents):
     return out
 
 
-@pytest.mark.parametrize("grid,max_packed", [(None, 1024), (0.05, 1024), (0.5, 1024), (None, 10)])
-def test_nearest_centroid_matches_brute_force(spark, grid, max_packed):
+@pytest.mark.parametrize("tile,top,max_packed", [(32, 256, 1024), (32, 256, 10), (2, 3, 0), (1, 1, 0)])
+def test_nearest_centroid_matches_brute_force(spark, tile, top, max_packed):
     rnd = random.Random(7)
     cents = [(f"Z{i:03d}", i, rnd.uniform(37.6, 37.9), rnd.uniform(-122.6, -122.3)) for i in range(40)]
     cents.append(("DUP", 99, cents[3][2], cents[3][3]))        # same spot as Z003, later in file -> loses
@@ -158,12 +158,36 @@ def test_nearest_centroid_matches_brute_force(spark, grid, max_packed):
     pdf = spark.createDataFrame(points, "pid long, x double, y double")
     cdf = spark.createDataFrame(cents, "zone string, ord long, cx double, cy double")
     got = nearest_centroid(pdf, cdf, "x", "y", "cx", "cy", zone="zone", order="ord", missing_zone="00000",
-                           point_id="pid", grid_cell=grid, max_packed=max_packed)
+                           point_id="pid", tile=tile, top=top, max_packed=max_packed)
     got = {r.pid: r.zone for r in got.collect()}
     assert got == _brute(points, cents)
     assert got[1001] == "Z003"
 
 
+def test_tiles_follow_the_data(spark):
+    """One centroid far away does not widen the cells of the others; ties in x, in y; every tile is bounded."""
+    from patrolstat.operators.nearest import _prepared, tiles
+
+    rnd = random.Random(3)
+    cents = [(f"Z{i}", i, rnd.choice([0.5, rnd.random()]), rnd.choice([0.5, rnd.random()])) for i in range(9_999)] + [("FAR", 9_999, 1e9, -1e9)]
+    cdf = spark.createDataFrame(cents, "zone string, ord long, cx double, cy double").repartition(5)
+    prepared = _prepared(cdf, "cx", "cy", "zone", "ord")
+    n = prepared.count()
+    sizes = [len(r.members) for r in tiles(prepared, n, 32).collect()]
+    assert max(sizes) <= 32 and sum(sizes) == n and len(sizes) < 2 * n / 32
+    points = [(i, rnd.random(), rnd.random()) for i in range(150)] + [(1000, 1e9, -1e9 + 3), (1001, -1e7, 0.5), (1002, 0.5, 0.5)]
+    pdf = spark.createDataFrame(points, "pid long, x double, y double")
+    got = nearest_centroid(pdf, cdf, "x", "y", "cx", "cy", zone="zone", order="ord", max_packed=0, top=64)
+    assert {r.pid: r.zone for r in got.collect()} == _brute(points, cents)
+
+
+def test_points_at_one_place(spark):
+    cdf = spark.range(5000).selectExpr("string(id) as zone", "id as ord", "double(id % 100) as cx", "double(id div 100) as cy")
+    pdf = spark.range(3000).selectExpr("id as pid", "if(id % 3 = 0, 7.0D, double(id % 97)) as x", "if(id % 3 = 0, 7.0D, double(id % 43)) as y")
+    got = nearest_centroid(pdf, cdf, "x", "y", "cx", "cy", zone="zone", order="ord", max_packed=0, max_distance=1.0, top=16)
+    assert all(r.zone == str(int(r.x) + 100 * int(r.y)) and r.distance == 0 for r in got.collect()) and got.count() == 3000
+
+
 def test_nearest_centroid_max_distance(spark):
     pdf = spark.createDataFrame([(1, 0.0, 0.0)], "pid long, x double, y double")
     cdf = spark.createDataFrame([("A", 1, 3.0, 4.0)], "zone string, ord long, cx double, cy double")
@@ -179,6 +203,10 @@ def test_assign_incident_zips(spark):
     cents = spark.createDataFrame([("94175", 37.784827, -122.727802), ("94160", 37.784827, -122.727802),
                                    ("94121", 37.778, -122.49)], "zip string, latitude double, longitude double")
     out = {r.incident_id: r.zip for r in PR.assign_incident_zips(inc, cents.coalesce(1)).collect()}
+    ties = spark.createDataFrame([("94175", 37.0, -122.0, 7), ("94160", 37.0, -122.0, 9), ("94199", 37.0, -122.0, 2)],
+                                 "zip string, latitude double, longitude double, line long")
+    assert PR.assign_incident_zips(inc.limit(1), ties).first().zip == "94199"                # first in the file
+    assert PR.assign_incident_zips(inc.limit(1), ties.drop("line")).first().zip == "94160"   # no file: the smallest
     assert out == {"1": "94121", "2": "00000", "3": "00000"}
 
 
@@ -190,5 +218,5 @@ def test_nearest_centroid_plans_agree_on_awkward_rows(spark):
     pdf = spark.createDataFrame(points, "pid long, x double, y double")
     cdf = spark.createDataFrame(cents, "zone string, ord long, cx double, cy double")
     got = [sorted(map(str, nearest_centroid(pdf, cdf, "x", "y", "cx", "cy", "zone", "ord", missing_zone="00000",
-                                            point_id="pid", max_packed=n).collect())) for n in (1024, 0)]
-    assert got[0] == got[1] and sum("zone='00000'" in r for r in got[0]) == 3
+                                            point_id="pid", max_packed=n, tile=t, top=6).collect())) for n, t in ((1024, 1), (0, 32), (0, 3))]
+    assert got[0] == got[1] == got[2] and sum("zone='00000'" in r for r in got[0]) == 3

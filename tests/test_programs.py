@@ -24,9 +24,13 @@ def test_zip_slot_profile_dedups_census(spark):
 def test_category_breakdown(spark):
     from patrolstat.operators.clean import typed_incidents
 
-    total, by = PR.category_breakdown(typed_incidents(_raw(spark)))
+    from patrolstat.operators.aggregate import bucket_counts
+
+    inc = typed_incidents(_raw(spark))
+    total, by = PR.category_breakdown(inc)
     t = total.first()
-    assert t.total_incidents == 300
+    assert t.total_incidents == 300 and t == bucket_counts(inc).first()
+    assert PR.category_breakdown(inc.limit(0))[0].first() == bucket_counts(inc.limit(0)).first()
     assert sum(r.total_incidents for r in by.collect()) == 300
 
 
@@ -63,6 +67,11 @@ def test_report_has_the_run(spark):
 
     res = PR.train_and_evaluate(spark, typed_incidents(_raw(spark)), grid={"maxDepth": [2], "numTrees": [2]}, folds=2)
     got = {r.section: r for r in res.report.collect()}
+    assert "malformed_lines" not in got
+    counted = spark.createDataFrame([(305, 5)], "total_lines long, malformed_lines long")
+    more = PR.train_and_evaluate(spark, typed_incidents(_raw(spark)), grid={"maxDepth": [2], "numTrees": [2]}, folds=2, partitions=3,
+                                 malformed=counted)
+    assert {r.section: r.value for r in more.report.collect() if r.section.endswith("_lines")} == {"total_lines": 305, "malformed_lines": 5}
     assert got["total_records"].value == 300 and got["training_seconds"].value > 0
     assert got["best_parameter"].label in ("maxDepth=2", "numTrees=2")
 

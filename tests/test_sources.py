@@ -1,7 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from patrolstat.sources import readers as R
 from patrolstat.sources import sinks as K
+from patrolstat.sources.lines import in_file_order, with_line_numbers
 
 HEADER = ",".join(f'"{c}"' if "," in c else c for c in R.INCIDENT_CSV_COLUMNS)
 
@@ -48,6 +50,65 @@ def test_zip_centroids_semicolon(spark, scratch):
     assert rows[0].latitude == 37.784827
 
 
+def test_malformed_rows_are_kept_apart(spark, scratch):
+    good = _incident_line("2019/08/15", "11:41", 'Human Trafficking (A), Commercial Sex Acts', "Central", "37.7", "-122.4")
+    long_, short = good + ",extra,fields", ",".join(good.split(",")[:9])
+    unclosed = good.replace(",Central,", ',"Central,')
+    (scratch / "i.csv").write_text("\n".join([HEADER, good, short, long_, unclosed, good]) + "\n")
+    rows = R.read_incident_csv(spark, str(scratch / "i.csv"), corrupt_column="bad")
+    ok, quarantine = R.split_malformed(rows, "bad")
+    assert [r.district for r in ok.collect()] == ["Central", "Central"] and "bad" not in ok.columns
+    assert [r.bad for r in quarantine.select("bad").collect()] == [short, long_, unclosed]
+    assert quarantine.filter("incident_time = '11:41'").count() == 3      # what could be read is there
+    assert ok.select("district").count() == 2                             # whatever columns are read
+    assert R.malformed_count(rows, "bad").first() == (5, 3)
+
+    head = ";".join(R.ZIP_CENTROID_COLUMNS)
+    (scratch / "z.csv").write_text(f"{head}\n94175;SF;CA;37.7;-122.7;-8;1;x\n94176;SF;CA\n94177;SF;CA;north;-122.7;-8;1;x\n")
+    ok, quarantine = R.split_malformed(R.read_zip_centroids(spark, str(scratch / "z.csv"), R.CORRUPT))
+    assert [(r.zip, r.line) for r in ok.collect()] == [("94175", 0)]
+    assert [(r.zip, r.line) for r in quarantine.orderBy("line").collect()] == [("94176", 1), ("94177", 2)]
+
+
+@pytest.fixture()
+def tiny_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("materialize", [True, False])
+def test_line_numbers_at_any_split_size(spark, scratch, tiny_splits, materialize):
+    (scratch / "d").mkdir()
+    want = []
+    for name, n in (("a.txt", 400), ("b.txt", 0), ("c.txt", 7), ("d.txt", 1000)):
+        lines = [f"{name} line {i} " + "x" * (i % 50) for i in range(n)]
+        (scratch / "d" / name).write_text("".join(x + "\n" for x in lines))
+        want += [(x, i, name) for i, x in enumerate(lines)]
+    rows = spark.read.text(str(scratch / "d"))
+    assert rows.rdd.getNumPartitions() > 20
+    got = with_line_numbers(rows, materialize=materialize).orderBy("line").collect()
+    assert [(r.value, r.line) for r in got] == [(x, i) for i, (x, _, _) in enumerate(want)]
+    per_file = with_line_numbers(rows, "n", file="path", materialize=materialize).collect()
+    assert sorted((r.value, r.n, r.path.rsplit("/", 1)[1]) for r in per_file) == sorted(want)
+    assert [r.value for r in in_file_order(rows, materialize=materialize).collect()] == [x for x, _, _ in want]
+    assert with_line_numbers(spark.read.text(str(scratch / "d" / "b.txt"))).count() == 0
+
+
+def test_ties_go_to_the_first_centroid_of_the_file(spark, scratch, tiny_splits):
+    from patrolstat.plans import programs as PR
+
+    rows = [f"{zip_};SF;CA;{37 + zip_ % 10};-122.0;-8;1;geo" for zip_ in range(94999, 94100, -1)]
+    (scratch / "z.csv").write_text("\n".join([";".join(R.ZIP_CENTROID_COLUMNS), *rows]) + "\n")
+    cents = R.read_zip_centroids(spark, str(scratch / "z.csv"))
+    assert spark.read.text(str(scratch / "z.csv")).rdd.getNumPartitions() > 20
+    inc = spark.createDataFrame([(str(i), str(37 + i), "-122.0") for i in range(10)], "incident_id string, latitude string, longitude string")
+    got = {int(r.incident_id): r.zip for r in PR.assign_incident_zips(inc, cents).collect()}
+    assert got == {i: str(max(z for z in range(94101, 95000) if z % 10 == i)) for i in range(10)}
+
+
 def test_headerless_and_shared_header(spark, scratch):
     a, b = scratch / "a.csv", scratch / "b.csv"
     a.write_text("x,y\n1,2\n3,4\n")
