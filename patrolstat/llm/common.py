@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +15,8 @@ from patrolstat.session import ensure_checkpoint_dir
 
 #: A word: a maximal run of characters other than space and the ASCII controls 9..13.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of text that a task turns into Python objects at a time.
+MOST_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -49,15 +53,24 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def sliced(batch, columns: list[int], most_bytes: int = 8 << 20):
-    """A record batch cut into runs of rows of about ``most_bytes`` in ``columns`` (strings or binaries); a longer row is a run of its own."""
-    n = batch.num_rows
-    if not n:
-        return
-    sizes = np.zeros(n, np.int64)
-    for c in columns:
-        sizes += np.asarray(pc.fill_null(pc.binary_length(batch.column(c)), 0).cast("int64"))
-    run = (np.cumsum(sizes) - sizes) // most_bytes
-    starts = np.concatenate(([0], np.flatnonzero(np.diff(run)) + 1, [n]))
-    for a, b in zip(starts[:-1], starts[1:]):
-        yield batch.slice(int(a), int(b - a))
+def parts(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = MOST_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows of about ``most_bytes`` in a column of texts or bytes; a longer value is alone.
+
+    A batch has up to 10,000 rows whatever their length; what a task makes of one at a time is bounded by this.
+    """
+    for batch in batches:
+        n = batch.num_rows
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast("int64"))
+        run = (np.cumsum(sizes) - sizes) // most_bytes
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(run)) + 1, [n]))
+        for a, b in zip(starts[:-1], starts[1:]):
+            if b > a:
+                yield batch.slice(int(a), int(b - a))
+
+
+def discard(*written: DataFrame) -> None:
+    """Empty the folders of frames made by :func:`cut`, once all that was read from them is written elsewhere."""
+    for df in written:
+        files = df.inputFiles()
+        if files:
+            df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(files[0].rsplit("/", 1)[0])

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import fresh_name
+from .common import fresh_name, parts
 
 WINDOW = 3
 SURGE = 60
@@ -161,7 +161,7 @@ def extract(pages: DataFrame, html_column: str = "html", out: str = "text") -> D
     schema = T.StructType([*pages.schema.fields, T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, at):
             texts = [main_text(x) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out])
 

@@ -41,8 +41,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, fresh_name, sliced
-from .ranking import ranked
+from patrolstat.operators.ranking import ranked
+
+from .common import cut, fresh_name, parts
 
 BUCKETS = 10_000
 ORDERS = 3
@@ -201,11 +202,10 @@ def bucket_counts(texts: DataFrame, text: str = "text", buckets: int = BUCKETS)
     """``bucket, n``: how often each bucket's features occur in all texts (buckets that occur)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, total = RunHasher(buckets), np.zeros(buckets, np.int64)
-        for batch in batches:
-            for part in sliced(batch, [0]):
-                for _, place, runs in hasher.windows(part.column(0)):
-                    for order, run in enumerate(runs):
-                        total += np.bincount(run[place >= order], minlength=buckets)
+        for part in parts(batches, 0):
+            for _, place, runs in hasher.windows(part.column(0)):
+                for order, run in enumerate(runs):
+                    total += np.bincount(run[place >= order], minlength=buckets)
         met = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(total[met], pa.int64())], ["bucket", "n"])
 
@@ -232,24 +232,23 @@ def weigh(docs: DataFrame, gain: np.ndarray, text: str = "text", n_words: str =
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = RunHasher(buckets)
-        for batch in batches:
-            for part in sliced(batch, [at]):
-                n, feats, sums = (np.zeros(part.num_rows, np.int64) for _ in range(3))
-                for of_text, place, runs in hasher.windows(part.column(at)):
-                    fresh = place >= 0
-                    n += np.bincount(of_text[fresh], minlength=len(n))
-                    worth = np.zeros(len(place), np.int64)
-                    for order, run in enumerate(runs):
-                        ok = place >= order
-                        worth += np.where(ok, gain[run], 0)
-                        feats += np.bincount(of_text[ok], minlength=len(n))
-                    if len(of_text):
-                        ends = np.concatenate((np.flatnonzero(np.diff(of_text)), [len(of_text) - 1]))
-                        upto = np.cumsum(worth)[ends]
-                        sums[of_text[ends]] += np.diff(upto, prepend=0)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *(pa.array(x, pa.int64()) for x in (n, feats, sums))],
-                    [*part.schema.names, n_words, n_features, weight])
+        for part in parts(batches, at):
+            n, feats, sums = (np.zeros(part.num_rows, np.int64) for _ in range(3))
+            for of_text, place, runs in hasher.windows(part.column(at)):
+                fresh = place >= 0
+                n += np.bincount(of_text[fresh], minlength=len(n))
+                worth = np.zeros(len(place), np.int64)
+                for order, run in enumerate(runs):
+                    ok = place >= order
+                    worth += np.where(ok, gain[run], 0)
+                    feats += np.bincount(of_text[ok], minlength=len(n))
+                if len(of_text):
+                    ends = np.concatenate((np.flatnonzero(np.diff(of_text)), [len(of_text) - 1]))
+                    upto = np.cumsum(worth)[ends]
+                    sums[of_text[ends]] += np.diff(upto, prepend=0)
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, *(pa.array(x, pa.int64()) for x in (n, feats, sums))],
+                [*part.schema.names, n_words, n_features, weight])
 
     return docs.mapInArrow(add, schema)
 

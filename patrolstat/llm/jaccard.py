@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bitfilter import filter_of, near, passes, slot_of
-from .common import cut, fresh_name, release
+from .common import cut, fresh_name, parts, release
 from .components import components
 from .wordhash import WordHasher, ngrams
 
@@ -78,7 +78,7 @@ def _profiles(texts: DataFrame, width: int, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, counts = WordHasher(), np.zeros(1 << bits, np.uint32)
         names = ["id", "node", "n", "mins", "chunk", "blob"]
-        for b in batches:
+        for b in parts(batches, 1):
             nodes, sizes, mins = [], [], []
             for words in hasher.texts(b.column(1).to_pylist()):
                 t = ngrams(words, width)
@@ -91,10 +91,14 @@ def _profiles(texts: DataFrame, width: int, bits: int) -> DataFrame:
                 [b.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(mins, pa.list_(pa.int64())),
                  pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         if counts.any():
-            blobs = [c.tobytes() for c in np.split(np.minimum(counts, 255).astype(np.uint8), chunks)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(chunks, pa.int64()), pa.nulls(chunks, pa.int64()), pa.nulls(chunks, pa.int64()),
-                 pa.nulls(chunks, pa.list_(pa.int64())), pa.array(range(chunks), pa.int32()), pa.array(blobs, pa.binary())], names)
+            np.minimum(counts, 255, out=counts)
+            size, some = len(counts) // chunks, min(chunks, 128)
+            for first in range(0, chunks, some):  # a few chunks at a time: no second copy of the sketch
+                blobs = [counts[c * size:(c + 1) * size].astype(np.uint8).tobytes() for c in range(first, first + some)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(some, pa.int64()), pa.nulls(some, pa.int64()), pa.nulls(some, pa.int64()),
+                     pa.nulls(some, pa.list_(pa.int64())), pa.array(range(first, first + some), pa.int32()),
+                     pa.array(blobs, pa.binary())], names)
 
     return texts.mapInArrow(run, "id long, node long, n long, mins array<long>, chunk int, blob binary")
 
@@ -131,8 +135,8 @@ def _prefixes(texts: DataFrame, width: int, percent: int, levels: np.ndarray, bi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        for b in batches:
-            nodes, parts, places = [], [], []
+        for b in parts(batches, 1):
+            nodes, firsts, places = [], [], []
             for own, words in zip(b.column(0).to_pylist(), hasher.texts(b.column(1).to_pylist())):
                 t = ngrams(words, width)
                 if own is None or not len(t):
@@ -144,10 +148,10 @@ def _prefixes(texts: DataFrame, width: int, percent: int, levels: np.ndarray, bi
                 # t is sorted, so a stable sort by level breaks ties by token
                 part = t[np.argsort(level, kind="stable")[:prefix_length(len(t), percent)]]
                 nodes.append(np.full(len(part), node, np.int64))
-                parts.append(part.view(np.int64))
+                firsts.append(part.view(np.int64))
                 places.append(np.arange(len(part)))
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (nodes, parts, places)],
+            if firsts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (nodes, firsts, places)],
                                                  ["node", "token", "at"])
 
     return texts.mapInArrow(run, "node long, token long, at long")
@@ -163,7 +167,7 @@ def _token_sets(texts: DataFrame, width: int, wanted: DataFrame, at_most: int) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        for b in batches:
+        for b in parts(batches, 1):
             ids, sets, nodes = b.column(0).to_pylist(), [], []
             for own, words in zip(ids, hasher.texts(b.column(1).to_pylist())):
                 t = ngrams(words, width)

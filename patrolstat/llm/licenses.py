@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import fresh_name, sliced
+from .common import fresh_name, parts
 
 #: The base phrases: label -> words.
 BASE = {"mit": "mit license", "apache": "apache license", "gpl": "general public license"}
@@ -260,9 +260,8 @@ def scan(docs: DataFrame, text: str = "text", out: str = "licence") -> DataFrame
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner()
-        for batch in batches:
-            for part in sliced(batch, [at]):
-                found = pa.array([scanner.scan(x) for x in part.column(at).to_pylist()], arrow)
-                yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, out])
+        for part in parts(batches, at):
+            found = pa.array([scanner.scan(x) for x in part.column(at).to_pylist()], arrow)
+            yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, out])
 
     return docs.mapInArrow(read, schema)

@@ -37,8 +37,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from patrolstat.operators.ranking import ranked
+
 from .common import cut
-from .ranking import ranked
 
 ARITY = 2
 SPAN = 10
@@ -205,7 +206,7 @@ def prove(m: Manifest, requests: DataFrame) -> DataFrame:
     a request for a leaf that does not exist gives no row.
     """
     groups = _descend(m.upper, m.subroots.filter("rank = 0").limit(1).select(
-        F.lit("").alias("grp"), F.lit(m.root).alias("digest"), F.lit(len(m.upper)).alias("spans"),
+        F.concat("grp", F.lit("")).alias("grp"), F.lit(m.root).alias("digest"), F.lit(len(m.upper)).alias("spans"),
         F.array().cast(PROOF).alias("proof"), F.lit(m.root).alias("top")),
         m.subroots.select("grp", "rank", "name", F.col("spans").alias("below")), m.arity, m.span)
     tops = cut(groups.select(F.col("name").alias("grp"), "digest", F.col("below").alias("spans"), "proof",

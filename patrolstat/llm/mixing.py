@@ -179,10 +179,11 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     targets = cut(source_targets(sized, block_words=block_words))
     placed = cut(_placed(sized, targets, BUCKET_ROWS))
     times = draw_slots(targets, shard_slots, seed=seed).groupBy("sid", "block").agg(F.count("*").alias("times"))
-    taken = (_blocks(placed, block_words).join(times, ["sid", "block"])
+    # the planner sees only the few bytes of ``targets`` below the slots: hints keep what grows out of broadcasts
+    taken = (_blocks(placed, block_words).join(times.hint("merge"), ["sid", "block"])
              .groupBy("sid", "_at").agg(F.sum((F.col("hi") - F.col("lo")) * F.col("times")).alias("taken")))
     out = placed.withColumn("_key", F.when(F.col("_size") > 0, F.col("_at")))
-    return (out.join(taken.withColumnRenamed("_at", "_key"), ["sid", "_key"], "left")
+    return (out.join(taken.withColumnRenamed("_at", "_key").hint("merge"), ["sid", "_key"], "left")
             .select("doc_id", F.col("_size").alias("size"), "source_size", "target",
                     F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
@@ -205,11 +206,11 @@ def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     # equal rows are numbered apart by their offsets, so the join back is on (row key, ordinal among equals)
     ordinal = Window.partitionBy(*keys).orderBy("_at")
     placed = cut(_placed(full.select(*keys), targets, BUCKET_ROWS))
-    runs = (_blocks(placed, block_words).join(draw_slots(targets, shard_slots, seed=seed), ["sid", "block"])
+    runs = (_blocks(placed, block_words).join(draw_slots(targets, shard_slots, seed=seed).hint("merge"), ["sid", "block"])
             .groupBy("sid", "_at", "pass").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("runs"),
                                                F.sum(F.col("hi") - F.col("lo")).alias("n")))
     taken = (placed.filter("_size > 0").withColumn("_nth", F.row_number().over(ordinal))
-             .select(*keys, "_nth", "sid", "_at").join(runs, ["sid", "_at"])
+             .select(*keys, "_nth", "sid", "_at").join(runs.hint("merge"), ["sid", "_at"])
              .select(*[F.col(k).alias(f"t{k}") for k in keys], "_nth", "pass", "runs", "n"))
     mine = full.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))))
     match = (F.col("_nth") == F.col("t_nth")) & F.col("_mark").eqNullSafe(F.col("t_mark"))
@@ -217,7 +218,7 @@ def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
         match = match & F.col(k).eqNullSafe(F.col(f"t{k}"))
     t = F.col(col[text.lower()])
     words = F.regexp_extract_all(t, F.lit(r"(?:^[\x20\x09-\x0D]+)?" + WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    out = (mine.join(taken.withColumnRenamed("_nth", "t_nth"), match)
+    out = (mine.join(taken.withColumnRenamed("_nth", "t_nth").hint("merge"), match)
            .withColumn("_words", words)
            .withColumn("_new", F.when(F.col("n") == F.col("_size"), t).otherwise(F.array_join(F.flatten(F.transform(
                "runs", lambda r: F.slice("_words", (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int")))), ""))))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import fresh_name
+from .common import fresh_name, parts
 from .wordhash import mixed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -44,7 +44,8 @@ N_BEST = 3
 MARK, LITERAL = "▁", "\ud800"  # a lone surrogate cannot occur in a text
 CACHE = 200_000
 ZIPF_SHIFT = 2.7
-PREPARE = 1 << 22       # characters whose chunks are searched at once
+PREPARE = 1 << 20       # characters whose chunks are searched at once
+ABREAST = 4_096         # chunks of a length searched at once
 TOGETHER = 18           # chunks up to this length are searched side by side
 _NONE = -(1 << 50)
 _LOWEST = -(1 << 60)
@@ -266,12 +267,12 @@ class Encoder:
             if len(c) <= TOGETHER and c not in self.cache:
                 by_length.setdefault(len(c), []).append(c)
         for same in by_length.values():
-            for at in range(0, len(same), 16_384):
-                part = same[at: at + 16_384]
+            for at in range(0, len(same), ABREAST):
+                part = same[at: at + ABREAST]
                 self.cache.update((c, got) for c, got in zip(part, self.side.solve(part)) if got is not None)
 
     def _chunk(self, c: str) -> tuple[int, tuple[int, ...], int | None]:
-        if len(self.cache) >= 2 * CACHE:
+        if len(self.cache) >= CACHE:
             self.cache.clear()
         got = self.cache[c] = Lattice(c, self.v).best_two()
         return got
@@ -306,13 +307,17 @@ EDITS = "array<struct<score:double,edits:array<struct<start:int,stop:int,ids:arr
 
 
 def encode(docs: DataFrame, text: str = "text", model: str | Vocabulary = MODEL, n_best: int = N_BEST,
-           ids: str = "ids", best: str = "n_best") -> DataFrame:
-    """``docs`` plus ``ids`` (the best segmentation) and ``n_best`` (score and edits of the best, in order)."""
+           ids: str = "ids", best: str = "n_best", decoded: str | None = None) -> DataFrame:
+    """``docs`` plus ``ids`` (the best segmentation) and ``n_best`` (score and edits of the best, in order).
+
+    ``decoded`` adds the text that :func:`decode` makes of the ids, in the same pass.
+    """
     v = load(model) if isinstance(model, str) else model
     ids, best = fresh_name(docs, ids), fresh_name(docs, best)
+    more = [fresh_name(docs, decoded)] if decoded else []
     at = [c.lower() for c in docs.columns].index(text.lower())
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType())),
-                           T.StructField(best, T._parse_datatype_string(EDITS))])
+                           T.StructField(best, T._parse_datatype_string(EDITS)), *(T.StructField(c, T.StringType()) for c in more)])
     edit = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("ids", pa.list_(pa.int32()))])
     kind = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(edit))]))
 
@@ -330,40 +335,48 @@ def encode(docs: DataFrame, text: str = "text", model: str | Vocabulary = MODEL,
                     yield from held
                     held, size = [], 0
 
-        for b in batches:
-            out_ids, out_best = [], []
+        table = _byte_table(v) if more else []
+        for b in parts(batches, at):
+            out_ids, out_best, out_text = [], [], []
             for x in prepared(b.column(at).to_pylist()):
                 if x is None:
                     out_ids.append(None)
                     out_best.append(None)
+                    out_text.append(None)
                     continue
                 own, ranked = encoder.encode(x)
+                if more:
+                    out_text.append(_text_of(own, table))
                 out_ids.append(pa.array(own, pa.int32()).to_numpy())
                 out_best.append([{"score": s / 1e6, "edits": [{"start": i, "stop": j, "ids": o} for i, j, o in edits]}
                                  for s, edits in ranked])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out_ids, pa.list_(pa.int32())), pa.array(out_best, kind)],
-                                             [*b.schema.names, ids, best])
+            texts = [pa.array(out_text, pa.string())] if more else []
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out_ids, pa.list_(pa.int32())), pa.array(out_best, kind), *texts],
+                                             [*b.schema.names, ids, best, *more])
 
     return docs.mapInArrow(run, schema)
 
 
+def _byte_table(v: Vocabulary) -> list[bytes]:
+    return [v.raw.get(i, b"") for i in range(max(v.raw, default=-1) + 1)]
+
+
+def _text_of(ids: list[int | None], table: list[bytes]) -> str:
+    data = b"".join([table[i] if i is not None and 0 <= i < len(table) else b"" for i in ids])
+    return data[data.startswith(b" "):].decode("utf-8", "replace")
+
+
 def decode(encoded: DataFrame, ids: str = "ids", model: str | Vocabulary = MODEL, out: str = "decoded") -> DataFrame:
     """``encoded`` plus ``out``, the text of the ids (null ids: null)."""
     v = load(model) if isinstance(model, str) else model
-    raw, out = v.raw, fresh_name(encoded, out)
+    out = fresh_name(encoded, out)
     at = [c.lower() for c in encoded.columns].index(ids.lower())
     schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = [raw.get(i, b"") for i in range(max(raw, default=-1) + 1)]
+        table = _byte_table(v)
         for b in batches:
-            texts = []
-            for x in b.column(at):
-                if not x.is_valid:
-                    texts.append(None)
-                    continue
-                data = b"".join([table[i] if i is not None and 0 <= i < len(table) else b"" for i in x.values.to_pylist()])
-                texts.append(data[data.startswith(b" "):].decode("utf-8", "replace"))
+            texts = [_text_of(x.values.to_pylist(), table) if x.is_valid else None for x in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, out])
 
     return encoded.mapInArrow(run, schema)

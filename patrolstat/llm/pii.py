@@ -28,10 +28,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh_name
+
 THRESHOLD = 0.5
 VALID_BONUS = 0.4
 CONTEXT_BONUS = 0.3
 WINDOW = 40
+#: What is kept of a gap behind a match, and how many of the next pieces make its context.
+AHEAD, NEXT = 80, 5
 
 SPAN = "array<struct<start:bigint,kind_no:int,end:bigint,kind:string,score:double>>"
 
@@ -121,45 +125,70 @@ RANK = {k.name: i for i, k in enumerate(KINDS)}
 
 
 def kind_spans(text: Column, kind: Kind) -> Column:
-    """All reported spans of one kind, in order, as ``array<struct>``."""
+    """All reported spans of one kind, in order, as ``array<struct>``.
+
+    The context of a match is put together from the pieces next to it (the end of what was passed, the next
+    gaps and matches), so a text costs its length and its matches, not their product.  An aggregate copies
+    its state at every step: spans are gathered in runs of about the root of their number.
+    """
     none = F.array().cast(SPAN)
-    gaps, found = F.split(text, kind.pattern, -1), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    heads = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    rests = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1)) if kind.cut is not None else heads
     bonus = VALID_BONUS if kind.checked else 0.0
-    state = f"struct<at:bigint,out:{SPAN}>"
+    state, runs = f"struct<at:bigint,tail:string,last:bigint,out:{SPAN}>", f"struct<at:bigint,tail:string,last:bigint,out:array<{SPAN}>>"
 
     def step(acc: Column, m: Column) -> Column:
         start = acc["at"] + F.length(m["gap"])
-        end = start + F.coalesce(F.length(m["hit"]), F.lit(0))
-        near = F.lower(F.substr(text, F.greatest(F.lit(1).cast("long"), start + 1 - WINDOW).cast("int"),
-                                (end - start + WINDOW + WINDOW // 2).cast("int")))
+        size = F.coalesce(F.length(m["hit"]), F.lit(0))
+        tail = F.right(F.concat(acc["tail"], F.right(m["gap"], F.lit(WINDOW))), F.lit(WINDOW))
+        near = F.lower(F.concat(tail, F.left(F.concat(m["head"], m["ahead"]), size + WINDOW // 2)))
         score = F.lit(kind.prior + bonus) + F.when(near.rlike(rf"\b(?:{kind.context})"), CONTEXT_BONUS).otherwise(0.0)
-        span = F.struct(start.alias("start"), F.lit(RANK[kind.name]).alias("kind_no"), end.alias("end"),
+        span = F.struct(start.alias("start"), F.lit(RANK[kind.name]).alias("kind_no"), (start + size).alias("end"),
                         F.lit(kind.name).alias("kind"), F.least(score, F.lit(1.0)).alias("score"))
         keep = m["hit"].isNotNull() & (kind.valid(m["hit"]) if kind.valid is not None else F.lit(True))
         if kind.name not in BASE:
             keep = keep & (score >= THRESHOLD)
         if kind.cut is not None:  # every start is tried; those inside a span found are its own text
-            last = F.get(acc["out"], F.size(acc["out"]) - 1)["end"]
-            keep = keep & (F.coalesce(last, F.lit(0).cast("long")) <= start)
-            after = start + F.coalesce(F.length(m["head"]), F.lit(0))
-        else:
-            after = end
-        return F.struct(after.alias("at"), F.when(keep, F.concat(acc["out"], F.array(span).cast(SPAN))).otherwise(acc["out"]).alias("out"))
-
-    pairs = F.zip_with(gaps, found, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    if kind.cut is not None:
-        rests = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1))
-        cut = F.zip_with(found, rests, lambda h, r: F.struct(h.alias("head"), kind.cut(F.concat(h, r)).alias("hit")))
-        pairs = F.zip_with(gaps, cut, lambda g, h: F.struct(g.alias("gap"), h["head"].alias("head"), h["hit"].alias("hit")))
-    spans = F.aggregate(pairs, F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")).cast(state), step)["out"]
+            keep = keep & (acc["last"] <= start)
+        return F.struct((start + F.length(m["head"])).alias("at"),
+                        F.right(F.concat(tail, F.right(m["head"], F.lit(WINDOW))), F.lit(WINDOW)).alias("tail"),
+                        F.when(keep, start + size).otherwise(acc["last"]).alias("last"),
+                        F.when(keep, F.concat(acc["out"], F.array(span).cast(SPAN))).otherwise(acc["out"]).alias("out"))
+
+    def scanned(p: Column) -> Column:
+        def piece(head: Column, i: Column) -> Column:
+            ahead = [F.left(F.coalesce(F.get(p["gaps"], i + 1), F.lit("")), F.lit(AHEAD))]
+            for k in range(1, NEXT):  # matches are short and may stand close together
+                ahead += [F.coalesce(F.get(p["heads"], i + k), F.lit("")), F.left(F.coalesce(F.get(p["gaps"], i + k + 1), F.lit("")), F.lit(AHEAD))]
+            hit = kind.cut(F.concat(head, F.get(p["rests"], i))) if kind.cut is not None else head
+            return F.struct(F.get(p["gaps"], i).alias("gap"), head.alias("head"), hit.alias("hit"), F.concat(*ahead).alias("ahead"))
+
+        found = F.transform(p["heads"], piece)
+        return F.get(F.transform(F.array(F.struct(found.alias("m"), F.ceil(F.sqrt(F.size(found))).cast("int").alias("run"))), gathered), F.lit(0))
+
+    def gathered(q: Column) -> Column:
+        def run(acc: Column, i: Column) -> Column:
+            begin = F.struct(acc["at"].alias("at"), acc["tail"].alias("tail"), acc["last"].alias("last"), none.alias("out")).cast(state)
+            done = F.aggregate(F.slice(q["m"], i * q["run"] + 1, q["run"]), begin, step)
+            return F.get(F.transform(F.array(done), lambda d: F.struct(
+                d["at"].alias("at"), d["tail"].alias("tail"), d["last"].alias("last"),
+                F.concat(acc["out"], F.array(d["out"])).alias("out"))), F.lit(0))
+
+        zero = F.lit(0).cast("long")
+        start = F.struct(zero.alias("at"), F.lit("").alias("tail"), zero.alias("last"), F.array().cast(f"array<{SPAN}>").alias("out")).cast(runs)
+        return F.flatten(F.aggregate(F.filter(F.sequence(F.lit(0), q["run"]), lambda i: i * q["run"] < F.size(q["m"])), start, run)["out"])
+
+    # one element, so that the pieces are cut once and then used by name
+    cut = F.struct(F.split(text, kind.pattern, -1).alias("gaps"), heads.alias("heads"), rests.alias("rests"))
+    spans = F.get(F.transform(F.array(cut), scanned), F.lit(0))
     hit = F.contains(text, F.lit(kind.hint)) if kind.hint else F.regexp_like(text, F.lit(kind.pattern))
     return F.when(hit, spans).otherwise(none)
 
 
 def detect(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
-    """``docs`` plus ``out``: all spans by start, then kind, as structs
-    ``(start, kind_no, end, kind, score)``; ends are exclusive, in code points."""
-    t = F.coalesce(docs[text], F.lit(""))
+    """``docs`` plus ``out`` (with underscores added where the name is taken): all spans by start, then kind,
+    as structs ``(start, kind_no, end, kind, score)``; ends are exclusive, in code points."""
+    t, out = F.coalesce(docs[text], F.lit("")), fresh_name(docs, out)
     return docs.withColumn(out, F.sort_array(F.flatten(F.array(*[kind_spans(t, k) for k in KINDS]))))
 
 
@@ -168,9 +197,7 @@ def mask(docs: DataFrame, text: str = "text", chars: str | None = None) -> DataF
 
     ``chars`` names a column that holds the text's length and follows it.
     """
-    spans = "__pii_spans__"
-    while spans in docs.columns:
-        spans += "_"
+    spans = fresh_name(docs, "__pii_spans__")
     found = detect(docs, text, spans)
     t, kind = F.col(f"`{text}`"), "struct<at:bigint,out:string>"
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh_name
+from .common import fresh_name, parts
 
 SAMPLE_DOCS = 2_000
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -109,7 +109,7 @@ def estimate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clock = time.perf_counter
-        for batch in batches:
+        for batch in parts(batches, 0):
             texts = batch.column(0).to_pylist()
             names, cost, hits = [], [], []
             for name, rule in RULES.items():
@@ -139,16 +139,16 @@ def cascade(docs: DataFrame, order: list[str] | None = None, doc_id: str = "doc_
     """``docs`` plus ``verdict``: the first failing rule in ``order`` (null: kept).
 
     ``features`` adds those columns for every document; without them a document
-    costs only the rules up to its first failure.
+    costs only the rules up to its first failure.  A name that ``docs`` has already gets underscores.
     """
     order = order or order_rules(estimate(docs, doc_id, text))
-    verdict = fresh_name(docs, verdict)
-    extra = [T.StructField(verdict, T.StringType()), *(T.StructField(f, T.LongType()) for f in features)]
+    verdict, columns = fresh_name(docs, verdict), [fresh_name(docs, f) for f in features]
+    extra = [T.StructField(verdict, T.StringType()), *(T.StructField(c, T.LongType()) for c in columns)]
     schema = T.StructType([*docs.schema.fields, *extra])
     at = [c.lower() for c in docs.columns].index(text.lower())
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, at):
             failed: list[str | None] = []
             values: list[list[int]] = [[] for _ in features]
             for x in batch.column(at).to_pylist():
@@ -158,7 +158,7 @@ def cascade(docs: DataFrame, order: list[str] | None = None, doc_id: str = "doc_
                     out.append(getattr(t, f))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(failed, pa.string()), *(pa.array(v, pa.int64()) for v in values)],
-                [*batch.schema.names, verdict, *features])
+                [*batch.schema.names, verdict, *columns])
 
     return docs.mapInArrow(judge, schema)
 

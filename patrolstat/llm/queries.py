@@ -26,8 +26,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of ``documents`` as pieces, its N best scores, and the text decoded again."""
-    encoded = pieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    found = pieces.decode(encoded)
+    found = pieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), decoded="decoded")
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_pieces"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
@@ -42,7 +41,8 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat.read_back_rendered(chat.render(turns))
+    rendered = cut(chat.render(turns))
+    return chat.read_back_examples(rendered, chat.examples(rendered))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bitfilter import filter_of, near, passes, slot_of
-from .common import cut, fresh_name, release
+from .common import cut, discard, fresh_name, parts, release
 from .deep_shallow import deep_shallow_sort
 from .wordhash import mixed
 
@@ -125,7 +125,7 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """``rid, at, key, ctx`` of all anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length, gram)
-        for b in batches:
+        for b in parts(batches, 1):
             rid, at, key, ctx = [], [], [], []
             for r, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 places, hashes = anchors.of(data)
@@ -149,7 +149,7 @@ def _contexts(texts: DataFrame, wanted: DataFrame, length: int, gram: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length, gram)
-        for b in batches:
+        for b in parts(batches, 1):
             rows = []
             for r, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 places, hashes = anchors.of(data)
@@ -242,9 +242,9 @@ def _hot_intervals(contexts: DataFrame, length: int, gram: int) -> DataFrame:
             cols = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["key", "ctx", "s", "window"])
 
-    parts = cut(contexts.select("key", "ctx", "before", "after").mapInArrow(run, "key long, ctx long, s long, window long"))
-    twice = parts.groupBy("key", "s", "window").count().filter("count > 1").drop("count")
-    found = (parts.join(twice, ["key", "s", "window"], "left_semi").groupBy("key", "ctx")
+    windows = cut(contexts.select("key", "ctx", "before", "after").mapInArrow(run, "key long, ctx long, s long, window long"))
+    twice = windows.groupBy("key", "s", "window").count().filter("count > 1").drop("count")
+    found = (windows.join(twice, ["key", "s", "window"], "left_semi").groupBy("key", "ctx")
              .agg(F.min("s").alias("first"), F.max("s").alias("last")))
     more = contexts.select("key", "ctx", "n").join(found, ["key", "ctx"], "left")
     return more.filter("n > 1 or first is not null").select(
@@ -259,17 +259,20 @@ def intervals(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int
     keys = cut(anchors.groupBy("key").agg(F.count("*").alias("n"), F.min("ctx").alias("c1"), F.max("ctx").alias("c2"))
                .filter("n > 1").select("key", (F.col("c1") != F.col("c2")).alias("several")))
     met = cut(near(anchors, "key", keys.select("key")).join(keys, "key"))
+    discard(anchors, keys)
     release(spark)
     wanted = cut(met.filter("several").groupBy("key", "ctx")
                  .agg(F.min(F.struct("rid", "at")).alias("one"), F.count("*").alias("n"))
                  .select("key", "ctx", "n", "one.rid", "one.at"))
     sizes = wanted.groupBy("key").count().filter(F.col("count") > hot).select("key")
     contexts = cut(_contexts(texts, wanted, length, gram))
-    release(spark)
+    release(spark)  # ``wanted`` is read again for the hot keys
     found = _sorted_intervals(contexts.join(sizes, "key", "left_anti"), length, gram)
     if sizes.limit(1).count():
         found = found.unionByName(_hot_intervals(contexts.join(sizes, "key", "left_semi"), length, gram))
     found = cut(found)
+    discard(contexts, wanted)
+    release(spark)
     whole = met.filter("not several").select("rid", "at", F.lit(gram - length).cast("long").alias("lo"),
                                              F.lit(length).cast("long").alias("hi"))
     return whole.unionByName(met.filter("several").join(found, ["key", "ctx"]).select("rid", "at", "lo", "hi"))
@@ -296,7 +299,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     schema = T.StructType([*plain.select(*names).schema.fields, *extra])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches, len(names)):
             sizes, gone, rest = [], [], []
             for x, cuts in zip(b.column(len(names)).to_pylist(), b.column(len(names) + 1).to_pylist()):
                 runs: list[list[int]] = []

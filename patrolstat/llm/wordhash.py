@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 
@@ -27,11 +26,19 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base and of its inverse; a worker keeps them for its next tasks."""
-    return tuple(np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n - 1, x, np.uint64))))
-                 for x in (_P, pow(_P, -1, 1 << 64)))
+    """The first ``n`` powers of the base and of its inverse; a worker keeps them for its next tasks.
+
+    They are kept on the numpy module: a cache of this module's own would either be sent along or, as a
+    decorated function, be looked up in a package that executors need not have.
+    """
+    kept = np.__dict__.setdefault("_powers_of_word_hashes", {})
+    if n not in kept:
+        while len(kept) > 1:
+            kept.pop(min(kept))
+        kept[n] = tuple(np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n - 1, x, np.uint64))))
+                        for x in (_P, pow(_P, -1, 1 << 64)))
+    return kept[n]
 
 
 class WordHasher:

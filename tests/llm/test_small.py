@@ -239,14 +239,18 @@ def test_chat_is_read_back_without_prefixes(spark):
             (None, 1, None, "x"), (None, 1, "assistant", "y"), (4, 0, "as|<sistant", "z\n"), (4, 1, "assistant", "<|turn:user|>")]
     rendered = chat.render(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
     want = chat.read_back(chat.expand(rendered))
-    got = chat.read_back_rendered(rendered)
+    got = chat.read_back_examples(rendered, chat.examples(rendered))
+    assert chat.examples(rendered).count() == chat.expand(rendered).count()
+    spans = {(e.conv_id, e.example): (e.end, e.loss_start, e.loss_end) for e in chat.examples(rendered).collect()}
+    assert spans == {(e.conv_id, e.example): (len(e.text), e.loss_start, e.loss_end) for e in chat.expand(rendered).collect()}
     assert got.dtypes == want.dtypes and Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
     # a conversation whose examples hold 50 G characters
     n, said = 10_000, "word " * 200
     turns = spark.range(n).select(chat.F.lit(1).alias("conv_id"), chat.F.col("id").alias("turn"), chat.F.lit("assistant").alias("role"),
                                   chat.F.lit(said).alias("text"))
     each = len("<|turn:assistant|><|end|>") + len(said)
-    [r] = chat.read_back_rendered(chat.render(turns)).collect()
+    rendered = chat.render(turns)
+    [r] = chat.read_back_examples(rendered, chat.examples(rendered)).collect()
     assert (r.n_turns, r.loss_chars, r.formatted_chars) == (n, n * len(said), each * n * (n + 1) // 2)
     assert r.loss_sha256 == hashlib.sha256((said * n).encode()).hexdigest()
 
@@ -315,6 +319,86 @@ def test_personal_data(spark):
     assert pii.digest(pii.detect(df.limit(0))).count() == 0
 
 
+def test_context_window_is_the_same_everywhere(spark):
+    """A context word 21 characters behind a span is out of reach, wherever the span stands."""
+    span, far = "123-45-6789", " " * 20 + "ssn"
+    texts = [pre + span + gap + "ssn" for pre in ("", "z " * 10, "z " * 61) for gap in (" " * 17, " " * 20)]
+    texts += ["ssn" + " " * 37 + span, "ssn" + " " * 38 + span, "a@b.c 1.2.3.4 " + span + " 1.2.3.4 a@b.c ssn"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.spans.count("ssn:") for r in pii.digest(pii.detect(df)).orderBy("doc_id").collect()]
+    assert got == [1, 0] * 3 + [1, 0, 1], far
+
+
+def test_many_matches_and_a_clashing_name(spark):
+    n = 8_000
+    df = spark.createDataFrame([(1, "user.name@mail.example " * n, "kept")], "doc_id long, text string, Spans string")
+    found = pii.detect(df)
+    assert found.columns == ["doc_id", "text", "Spans", "spans_"] and found.first().Spans == "kept"
+    got = pii.digest(found, spans="spans_").first()
+    assert got.n_email == n and got.spans.endswith(f"email:{23 * (n - 1)}:{23 * n - 1}")
+
+
+def test_clashing_feature_names(spark):
+    df = spark.createDataFrame([(1, "a b", 7)], "doc_id long, text string, N_Words long")
+    assert quality.cascade(df, features=("n_words",)).columns == ["doc_id", "text", "N_Words", "failed_rule", "n_words_"]
+
+
+def test_mix_broadcasts_nothing_that_grows(docs, capsys):
+    for made in (mixing.mix(docs), mixing.mix_documents(docs.drop("TEXT_LEN", "a b"))):
+        capsys.readouterr()
+        made.explain()
+        plan = capsys.readouterr().out
+        assert "BroadcastExchange" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_pieces_decoded_in_the_same_pass(docs):
+    both = pieces.decode(pieces.encode(docs.select("doc_id", "text"), decoded="DOC_ID"), out="again")
+    assert both.columns[-2:] == ["DOC_ID_", "again"]
+    assert both.filter("not (text <=> DOC_ID_) or not (again <=> DOC_ID_)").count() == 0
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from patrolstat.llm.common import parts
+    texts = [None, "a" * 10, "b" * 100, "", None, "c" * 5, "d" * 30, "é" * 20]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], ["i", "t"])
+    cut = list(parts([batch, batch.slice(0, 0), batch.slice(3)], 1, 40))
+    assert [x for b in cut for x in b.column(1).to_pylist()] == texts + texts[3:]
+    assert len(cut) == 4 and all(b.num_rows == 1 or b.slice(0, b.num_rows - 1).column(1).nbytes < 40 + 200 for b in cut)
+
+
+ALONE = """
+import sys
+sys.path.insert(0, {repo!r})
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+         .config("spark.checkpoint.dir", {scratch!r}).getOrCreate())
+for name in {names!r}:
+    assert e.queries()[name](spark, {data!r}).count() > 0, name
+print("all ran")
+"""
+
+
+def test_executors_need_no_copy_of_the_package(spark, scratch):
+    """Workers started where the repository is on no path: what they run travels with the job."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    repo = str(Path(__file__).resolve().parents[2])
+    (scratch / "data").mkdir()
+    for t in ("documents", "benchmark"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").limit(30).write.parquet(str(scratch / "data" / f"{t}.parquet"))
+    names = ["op1_context_mixing", "op2_quality", "op3_pieces", "op5_suffix_dedup", "op8_jaccard", "op11_merkle", "op12_resample", "op13_licenses"]
+    code = ALONE.format(repo=repo, scratch=str(scratch / "ckpt"), names=names, data=str(scratch / "data"))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYTHONPATH": ""}
+    done = subprocess.run([sys.executable, "-c", code], cwd=scratch, env=env, capture_output=True, text=True, timeout=900)
+    assert "all ran" in done.stdout, done.stderr[-3000:]
+
+
 def test_account_numbers_before_words(spark):
     known = ["BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "BE68539007547034", "DE89 3704 0044 0532 0130 00", "FR14 2004 1010 0505 0001 3M02 606",
              "PL61 1090 1014 0000 0712 1981 2874", "NO93 8601 1117 947"]
@@ -528,7 +612,7 @@ def test_registered():
     import __spark_entry__ as e
     import corpus_pipeline
     names = [n for n in e.queries() if n.startswith("op")]
-    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11)) and "pipeline" in e.queries()
+    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14)) and "pipeline" in e.queries()
     assert len(corpus_pipeline.STAGES) == 5
 
 
