@@ -29,7 +29,8 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +43,16 @@ from .wordhash import mixed
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 3
 MARK, LITERAL = "▁", "\ud800"  # a lone surrogate cannot occur in a text
-CACHE = 200_000
+CACHE = 300_000
 ZIPF_SHIFT = 2.7
 PREPARE = 1 << 20       # characters whose chunks are searched at once
 ABREAST = 4_096         # chunks of a length searched at once
 TOGETHER = 18           # chunks up to this length are searched side by side
-_NONE = -(1 << 50)
+_MOST_IDS = (1 << 18) - 1
+_CODE = 23              # bits of a packed piece below its score: 18 of its id, 5 of its length
+_NONE = -(1 << 35)
+_FAR = 1 << 60          # the loss where there is no second best
+_SCORE, _IDS, _LOSS = map(itemgetter, range(3))
 _LOWEST = -(1 << 60)
 _P = 0x9E3779B97F4A7C15
 
@@ -162,7 +167,10 @@ class SideBySide:
         self.inverses = np.array([pow(pow(_P, -1, 1 << 64), i, 1 << 64) for i in range(n)], np.uint64)[:, None]
         pieces = sorted(v.score, key=len)
         self.ids = np.array([v.score[p][1] for p in pieces], np.int64)
-        self.scores = np.array([v.score[p][0] for p in pieces], np.int64)
+        self.scores = np.array([v.score[p][0] for p in pieces] + [_NONE], np.int64)
+        if self.ids.max(initial=0) > _MOST_IDS or TOGETHER > 31:
+            raise ValueError(f"more than {_MOST_IDS + 1} piece ids")
+        self.packed = (self.scores << _CODE) + (np.append(_MOST_IDS - self.ids, 0) << 5)
         same_length = [list(g) for _, g in groupby(pieces, key=len)]
         self.keys = np.concatenate([self._prefixes(self._codes(g))[-1] for g in same_length])
         # slots by some bits of the hash; what finds its slot taken goes to the next table
@@ -191,12 +199,20 @@ class SideBySide:
         return (h * np.uint64(2 * table + 1)) >> np.uint64(45)
 
     def _find(self, h: np.ndarray) -> np.ndarray:
-        found = np.full(h.shape, -1, np.int64)
-        for k, table in enumerate(self.tables):
-            at = table[self._slot(h, k)]
-            hit = (at >= 0) & (self.keys[at] == h)
-            found[hit] = at[hit]
-        return found
+        """The piece of each hash, -1 for none.  A piece is in a later table only where its slot was taken before."""
+        flat = h.ravel()
+        found = self.tables[0][self._slot(flat, 0)]
+        left = np.flatnonzero(found >= 0)
+        left = left[self.keys[found[left]] != flat[left]]
+        for k in range(1, len(self.tables)):
+            if not len(left):
+                break
+            at = self.tables[k][self._slot(flat[left], k)]
+            found[left] = at
+            left, at = left[at >= 0], at[at >= 0]
+            left = left[self.keys[at] != flat[left]]
+        found[left] = -1
+        return found.reshape(h.shape)
 
     def solve(self, chunks: list[str]) -> list[tuple[int, tuple[int, ...], int | None] | None]:
         """Per chunk (all of one length): score, ids and loss; None where a character has no piece."""
@@ -207,18 +223,20 @@ class SideBySide:
         for length in range(1, longest + 1):
             starts = n - length + 1
             piece[length] = self._find((sums[length:] - sums[:starts]) * self.inverses[:starts])
-        score = {k: np.where(x >= 0, self.scores[x], _NONE) for k, x in piece.items()}
-        ids = {k: self.ids[x] for k, x in piece.items()}
+        score = {k: self.scores[x] for k, x in piece.items()}  # -1, no piece, is the last entry
+        # one number per piece, so that the best is a maximum: score, then the smaller id, then its length
+        packed = {k: self.packed[x] + k for k, x in piece.items()}
         best, after = np.zeros((n + 1, m), np.int64), np.full((n + 1, m), _NONE, np.int64)
         last_len, last_id = np.zeros((n + 1, m), np.int64), np.zeros((n + 1, m), np.int64)
+        shifted = np.zeros((n + 1, m), np.int64)
         for j in range(1, n + 1):
-            best[j] = _LOWEST
-            for k in range(1, min(j, longest) + 1):
-                s = best[j - k] + score[k][j - k]
-                better = (s > best[j]) | ((s == best[j]) & (ids[k][j - k] < last_id[j]))
-                best[j] = np.where(better, s, best[j])
-                last_len[j] = np.where(better, k, last_len[j])
-                last_id[j] = np.where(better, ids[k][j - k], last_id[j])
+            top = shifted[j - 1] + packed[1][j - 1]
+            for k in range(2, min(j, longest) + 1):
+                np.maximum(top, shifted[j - k] + packed[k][j - k], out=top)
+            best[j] = top >> _CODE
+            shifted[j] = best[j] << _CODE
+            last_len[j] = top & 31
+            last_id[j] = _MOST_IDS - ((top >> 5) & _MOST_IDS)
         after[n] = 0
         for i in range(n - 1, -1, -1):
             for k in range(1, min(n - i, longest) + 1):
@@ -234,10 +252,10 @@ class SideBySide:
             on_path[at, columns] = last_len[at, columns]
             at = np.maximum(0, at - last_len[at, columns])
         second = np.full(m, _LOWEST, np.int64)
-        for j in range(1, n + 1):
-            for k in range(1, min(j, longest) + 1):
-                s = best[j - k] + score[k][j - k] + after[j]
-                np.maximum(second, np.where(on_path[j] == k, _LOWEST, s), out=second)
+        for k in range(1, longest + 1):
+            s = best[: n - k + 1] + score[k] + after[k:]
+            s[on_path[k:] == k] = _LOWEST
+            np.maximum(second, s.max(axis=0), out=second)
         whole = (piece[1] >= 0).all(axis=0).tolist()
         paths = np.array(steps[::-1]).T.tolist()
         return [(t, tuple([x for x in p if x >= 0]), t - s if s > _NONE // 2 else None) if ok else None
@@ -247,54 +265,57 @@ class SideBySide:
 class Encoder:
     def __init__(self, v: Vocabulary, n_best: int):
         self.v, self.n = v, n_best
-        self.cache: dict[str, tuple[int, tuple[int, ...], int | None]] = {}
+        self.cache: dict[str, tuple[int, tuple[int, ...], int]] = {}
         self.chunks = re.compile(v.chunk).findall
         self.side = SideBySide(v)
 
     def _marked(self, text: str) -> list[str]:
         return self.chunks(MARK + text.replace(MARK, LITERAL).replace(" ", MARK))
 
-    def prepare(self, texts: list[str | None]) -> None:
-        """Search the chunks of the texts that are not cached yet, those of a length together."""
-        new: set[str] = set()
-        for t in texts:
-            if t:
-                new.update(self._marked(t))
+    def prepare(self, texts: list[str | None]) -> list[list[str]]:
+        """The chunks of the texts; those that are not cached yet are searched, those of a length together."""
+        cut = [self._marked(t) if t else [] for t in texts]
+        met = set(chain.from_iterable(cut))
+        new = met.difference(self.cache)
         if len(self.cache) + len(new) > CACHE:
             self.cache.clear()
+            new = met
         by_length: dict[int, list[str]] = {}
         for c in new:
-            if len(c) <= TOGETHER and c not in self.cache:
+            if len(c) <= TOGETHER:
                 by_length.setdefault(len(c), []).append(c)
         for same in by_length.values():
             for at in range(0, len(same), ABREAST):
                 part = same[at: at + ABREAST]
-                self.cache.update((c, got) for c, got in zip(part, self.side.solve(part)) if got is not None)
+                self.cache.update((c, (got[0], got[1], _FAR if got[2] is None else got[2]))
+                                  for c, got in zip(part, self.side.solve(part)) if got is not None)
+        return cut
 
-    def _chunk(self, c: str) -> tuple[int, tuple[int, ...], int | None]:
-        if len(self.cache) >= CACHE:
+    def _chunk(self, c: str) -> tuple[int, tuple[int, ...], int]:
+        if len(self.cache) >= 2 * CACHE:
             self.cache.clear()
-        got = self.cache[c] = Lattice(c, self.v).best_two()
+        score, ids, loss = Lattice(c, self.v).best_two()
+        got = self.cache[c] = score, ids, _FAR if loss is None else loss
         return got
 
-    def encode(self, text: str) -> tuple[list[int], list[tuple[int, list[tuple[int, int, tuple[int, ...]]]]]]:
+    def encode(self, text: str, chunks: list[str] | None = None) -> tuple[list[int], list[tuple[int, list[tuple[int, int, tuple[int, ...]]]]]]:
         """Ids of the best segmentation, and the ``n`` best as ``(score, edits)``: an edit replaces
-        ``ids[start:stop]`` of the best by other ids."""
+        ``ids[start:stop]`` of the best by other ids.  ``chunks``: the text's, where :meth:`prepare` has cut it."""
         if not text:
             return [], [(0, [])]
-        chunks = self._marked(text)
-        get, ids, total = self.cache.get, [], 0
-        close: list[tuple[int, int, int]] = []  # the n - 1 chunks whose second best loses least
-        for k, c in enumerate(chunks):
-            score, own, loss = get(c) or self._chunk(c)
-            total += score
-            if loss is not None and (len(close) < self.n - 1 or (close and loss < close[-1][0])):
-                close.append((loss, k, len(ids)))
-                close.sort()
-                del close[self.n - 1:]
-            ids += own
+        chunks = chunks or self._marked(text)
+        found = list(map(self.cache.get, chunks))
+        if None in found:
+            found = [got or self.cache.get(c) or self._chunk(c) for c, got in zip(chunks, found)]
+        total, ids = sum(map(_SCORE, found)), list(chain.from_iterable(map(_IDS, found)))
+        losses = list(map(_LOSS, found))
+        close: list[int] = []  # the n - 1 chunks whose second best loses least
+        while len(close) < self.n - 1 and (least := min(losses)) < _FAR:
+            close.append(losses.index(least))
+            losses[close[-1]] = _FAR
         ranked: list[tuple[int, tuple]] = [(0, ())]
-        for _, k, start in sorted(close, key=lambda x: x[1]):
+        for k in sorted(close):
+            start = sum(map(len, map(_IDS, found[:k])))
             options = Lattice(chunks[k], self.v).n_best(self.n)
             top, own = options[0]
             stop = start + len(own)
@@ -324,27 +345,26 @@ def encode(docs: DataFrame, text: str = "text", model: str | Vocabulary = MODEL,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(v, n_best)
 
-        def prepared(texts: list[str | None]) -> Iterator[str | None]:
+        def prepared(texts: list[str | None]) -> Iterator[tuple[str | None, list[str]]]:
             held: list[str | None] = []
             size = 0
             for i, x in enumerate(texts):
                 held.append(x)
                 size += len(x or "")
                 if size > PREPARE or i == len(texts) - 1:
-                    encoder.prepare(held)
-                    yield from held
+                    yield from zip(held, encoder.prepare(held))
                     held, size = [], 0
 
         table = _byte_table(v) if more else []
         for b in parts(batches, at):
             out_ids, out_best, out_text = [], [], []
-            for x in prepared(b.column(at).to_pylist()):
+            for x, chunks in prepared(b.column(at).to_pylist()):
                 if x is None:
                     out_ids.append(None)
                     out_best.append(None)
                     out_text.append(None)
                     continue
-                own, ranked = encoder.encode(x)
+                own, ranked = encoder.encode(x, chunks)
                 if more:
                     out_text.append(_text_of(own, table))
                 out_ids.append(pa.array(own, pa.int32()).to_numpy())
@@ -362,7 +382,12 @@ def _byte_table(v: Vocabulary) -> list[bytes]:
 
 
 def _text_of(ids: list[int | None], table: list[bytes]) -> str:
-    data = b"".join([table[i] if i is not None and 0 <= i < len(table) else b"" for i in ids])
+    try:
+        data = b"".join(map(table.__getitem__, ids)) if not ids or min(ids) >= 0 else None
+    except (IndexError, TypeError):
+        data = None
+    if data is None:  # ids that are null or of no piece
+        data = b"".join([table[i] if i is not None and 0 <= i < len(table) else b"" for i in ids])
     return data[data.startswith(b" "):].decode("utf-8", "replace")
 
 
