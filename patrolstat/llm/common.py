@@ -17,6 +17,9 @@ from patrolstat.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a task turns into Python objects at a time.
 MOST_BYTES = 4 << 20
+#: Rows of an Arrow batch in jobs that end in :func:`cut`.
+BATCH_ROWS = 4_000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -27,11 +30,18 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
     The folder is shared by all executors, so a lost executor costs the tasks
-    that ran on it and nothing else; the long lineage above ends here.
+    that ran on it and nothing else; the long lineage above ends here.  While the
+    job runs, Arrow batches have at most ``BATCH_ROWS`` rows: each Python worker
+    and its task hold a few batches of texts at a time.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_ROWS)
+    spark.conf.set(_ROWS, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
