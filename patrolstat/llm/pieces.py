@@ -24,13 +24,13 @@ whatever their names.  Unknown ids decode to nothing.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain, groupby
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +52,6 @@ _MOST_IDS = (1 << 18) - 1
 _CODE = 23              # bits of a packed piece below its score: 18 of its id, 5 of its length
 _NONE = -(1 << 35)
 _FAR = 1 << 60          # the loss where there is no second best
-_SCORE, _IDS, _LOSS = map(itemgetter, range(3))
 _LOWEST = -(1 << 60)
 _P = 0x9E3779B97F4A7C15
 
@@ -307,15 +306,15 @@ class Encoder:
         found = list(map(self.cache.get, chunks))
         if None in found:
             found = [got or self.cache.get(c) or self._chunk(c) for c, got in zip(chunks, found)]
-        total, ids = sum(map(_SCORE, found)), list(chain.from_iterable(map(_IDS, found)))
-        losses = list(map(_LOSS, found))
+        scores, pieces, losses = map(list, zip(*found))
+        total, ids = sum(scores), list(chain.from_iterable(pieces))
         close: list[int] = []  # the n - 1 chunks whose second best loses least
         while len(close) < self.n - 1 and (least := min(losses)) < _FAR:
             close.append(losses.index(least))
             losses[close[-1]] = _FAR
         ranked: list[tuple[int, tuple]] = [(0, ())]
         for k in sorted(close):
-            start = sum(map(len, map(_IDS, found[:k])))
+            start = sum(map(len, pieces[:k]))
             options = Lattice(chunks[k], self.v).n_best(self.n)
             top, own = options[0]
             stop = start + len(own)
@@ -343,6 +342,16 @@ def encode(docs: DataFrame, text: str = "text", model: str | Vocabulary = MODEL,
     kind = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(edit))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # many tuples and no cycles: the collector would only walk through the cache
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            yield from encoded(batches)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(v, n_best)
 
         def prepared(texts: list[str | None]) -> Iterator[tuple[str | None, list[str]]]:
