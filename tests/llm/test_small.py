@@ -624,5 +624,8 @@ def test_pipeline_stages(spark, docs):
         assert i == 4 or d.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         if i == 0:
             kept = {r.doc_id for r in d.collect()}
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        none = stage(spark, docs.drop("TEXT_LEN", "a b").limit(0), "")
+        assert none.count() == 0 and (i == 4 or none.columns == ["doc_id", "text", "lang", "source", "n_chars"])
     rows = d.collect()
     assert rows and {r.doc_id for r in rows} <= kept and all(r.n_pieces == len(r.ids) for r in rows)
