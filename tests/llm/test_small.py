@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from patrolstat.llm import (ann, chat, components, deep_shallow, html_text, jaccard, mixing, mixing_lm, pieces, pii, quality,
@@ -87,7 +88,7 @@ def test_prefix_code_and_probabilities_add_up():
     assert len(set(paths)) == 256 and len({s >> 1 for path in paths for s in path}) == 255
     assert max(s >> 1 for path in paths for s in path) < 1 << min(mixing_lm.TABLE_BITS)
     # one decision's two outcomes have probabilities that add up to one
-    x = rng.normal(size=(len(mixing_lm.ORDERS), 1)).astype(np.float32)
+    x = rng.normal(size=(mixing_lm.CONTEXTS, 1)).astype(np.float32)
     p = [2 ** mixing_lm.Mixer(*mixing_lm.start_weights()).log2(x, np.array([b]), [1]) for b in (0, 1)]
     assert abs(sum(p) - 1) < 1e-5
 
@@ -101,22 +102,49 @@ def test_counts_survive_packing():
 
 def test_context_counts_are_exact(spark):
     rng = np.random.default_rng(3)
-    groups = [["".join(map(chr, rng.integers(33, 120, n))) + " the same end" for n in (0, 40_000, 20_000)] + [None] for _ in range(2)]
+    shared = "".join(map(chr, rng.integers(33, 120, 900)))
+    groups = [["".join(map(chr, rng.integers(33, 120, n))) + shared[: 300 * n] + " the same end"
+               for n in (0, 17_000, 2, 16_300 + g)] + [None] for g in range(2)]
     groups = [[mixing_lm._symbols(t) for t in g] for g in groups]
     code = mixing_lm.prefix_code(np.bincount(np.concatenate(sum(groups, [])), minlength=256))
     coder, buckets, requests = mixing_lm.Coder(code), 5, []
+    wide = mixing_lm.PASSAGE
+
+    def passages(s):
+        """Of each symbol: the bytes of its anchor, the distance since, and the last six bytes; None in front of a chunk's first."""
+        whole, now, found = bytes(wide) + s.tobytes(), None, []
+        for i in range(len(s)):
+            if i % mixing_lm.CHUNK == 0:
+                now = None
+            front = whole[i: i + wide]
+            if mixing_lm.passage_keys(s[i: i + 1], np.frombuffer(front, np.uint8), np.array([0]))[1][0] == 0:
+                now = (front, i)
+            found.append(now and (now[0], i - now[1], whole[i + wide - 6: i + wide]))
+        return found
+
+    behind = [[passages(s) for s in g] for g in groups]
+    times = Counter(x[0] for g in behind for p in g for x in p if x and x[1] == 0)
+    asked = [(gid, 0, mixing_lm._pack_pairs(k, n.astype(np.int32))) for gid, g in enumerate(groups) for k, n in [mixing_lm._anchors(g)]]
+    schema = "gid long, chunk int, blob binary"
+    again = mixing_lm._recurring(spark.createDataFrame(asked, schema), 1).toArrow()
     want = Counter()
     for gid, g in enumerate(groups):
-        keys, counts = mixing_lm._pairs(g)
+        mine = again.filter(np.array(again.column("gid")) == gid)
+        assert len(mixing_lm._names(mine)) == len({x[0] for p in behind[gid] for x in p if x and times[x[0]] > 1})
+        keys, counts = mixing_lm._pairs(g, mixing_lm._names(mine))
         order, ends = mixing_lm._dealt(keys, buckets)
         for b, part in enumerate(np.split(order, ends[:-1])):
             requests.append((gid, b, mixing_lm._pack_pairs(keys[part], counts[part].astype(np.int32))))
-        for s in g:
+        for s, passage in zip(g, behind[gid]):
             whole = bytes(6) + s.tobytes()
             for i, x in enumerate(s.tolist()):
+                steps = code[1][x, : code[0][x]].tolist()
                 for o in mixing_lm.ORDERS:
-                    want.update((o, whole[6 + i - o: 6 + i], int(step)) for step in code[1][x, : code[0][x]])
-    got = mixing_lm._answers(spark.createDataFrame(requests, "gid long, chunk int, blob binary"), code, buckets).toArrow()
+                    want.update((o, whole[6 + i - o: 6 + i], step) for step in steps)
+                want.update((0, passage[i], step) for step in steps)
+    got = mixing_lm._answers(spark.createDataFrame(requests, schema), code, buckets).toArrow()
+    got = pa.concat_tables([got, again.cast(got.schema)])
+    known = 0
     for gid, g in enumerate(groups):
         mine = got.filter(np.array(got.column("gid")) == gid)
         at = Counter()
@@ -127,8 +155,30 @@ def test_context_counts_are_exact(spark):
                 n = [(want[o, c, step & ~1], want[o, c, step | 1]) for j, path in enumerate(steps)
                      for c in [whole[6 + at[i] + j - o: 6 + at[i] + j]] for step in path]
                 assert (mixing_lm._codes(np.array(n)) == codes[k]).all()
+            n = [(want[0, c, step & ~1], want[0, c, step | 1]) if c and times[c[0]] > 1 else (0, 0)
+                 for j, path in enumerate(steps) for c in [behind[gid][i][at[i] + j]] for step in path]
+            assert (mixing_lm._codes(np.array(n)) == codes[-1]).all()
+            known += int((codes[-1] > 0).sum())
             at[i] += len(ends)
         assert [at[i] for i in range(len(g))] == [len(s) for s in g]
+    assert known > 2_000
+
+
+def test_blocks_start_short():
+    ends = np.arange(1, 5001) * 3
+    edges = mixing_lm._edges(ends)
+    assert edges[:4] == [3 * 128, 3 * 384, 3 * 896, 3 * 1920] and edges[-1] == 15_000 and edges == sorted(set(edges))
+    assert mixing_lm._edges(ends[:128]) == [384] and mixing_lm._edges(ends[:1]) == [3]
+
+
+def test_model_beats_its_base_on_held_out_texts(spark):
+    """Passages that training texts share, inside texts that are new, cost few bits."""
+    rng = np.random.default_rng(8)
+    words = ["".join(map(chr, rng.integers(97, 123, rng.integers(2, 9)))) for _ in range(3_000)]
+    passages = [" ".join(rng.choice(words, 40)) for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(words, 30)) + " " + passages[rng.integers(60)] + ".") for i in range(900)]
+    got = [r for r in mixing_lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.held_out]
+    assert len(got) > 90 and sum(r.score for r in got) > 0.9 * sum(r.base_score for r in got)
 
 
 def test_starting_weights_come_from_all_training_texts(spark, monkeypatch):
