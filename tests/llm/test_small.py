@@ -119,7 +119,8 @@ def test_context_counts_are_exact(spark):
             front = whole[i: i + wide]
             if mixing_lm.passage_keys(s[i: i + 1], np.frombuffer(front, np.uint8), np.array([0]))[1][0] == 0:
                 now = (front, i)
-            found.append(now and (now[0], i - now[1], whole[i + wide - 6: i + wide]))
+            reached = now is not None and i - now[1] < mixing_lm.REACH
+            found.append((now[0], i - now[1], whole[i + wide - 6: i + wide]) if reached else None)
         return found
 
     behind = [[passages(s) for s in g] for g in groups]
