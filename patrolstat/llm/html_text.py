@@ -5,7 +5,10 @@ length is its text length; lines that markup already marks as something else
 (menus, page headers and footers, sidebars, forms, scripts, adverts, notices,
 reader comments, by element or by class, id and role words; lists made of
 links; and, on a page with an article or main element, everything outside it)
-count as empty, and what is marked leaves no gap.  Lengths are summed over windows of ``WINDOW`` lines: the text
+count as empty, and what is marked leaves no gap.  A word that only tells a state
+(``has-sidebar``, ``comments-open``, ``alert-free``) marks nothing, and a word that is part of
+a longer name (``layout-sidebar``) does not mark an element that holds more running text than all
+that is left of a page without an article element (nested ones: ``NESTED`` deep).  Lengths are summed over windows of ``WINDOW`` lines: the text
 surges where a window reaches ``SURGE`` characters and dives where a window
 holds none.  Of the runs between a surge and its dive the one with most text is
 the article; all of its lines are kept, whatever their length, also paragraphs
@@ -31,6 +34,7 @@ from .common import fresh_name, parts
 
 WINDOW = 3
 SURGE = 60
+NESTED = 8
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -49,23 +53,44 @@ _HINTS = frozenset("""ad ads advert adverts advertisement advertising banner bre
 consent cookie cookies copyright disqus footer masthead menu modal nav navbar navigation newsletter notice pagination
 popup promo promoted related respond share sharing sidebar social sponsor sponsored subscribe toolbar topbar widget
 complementary contentinfo search alert""".split())
+#: Beside a hint in one name, these tell a state of the page or article and not what an element is.
+_STATES = frozenset("has no not with without free open opened closed off enabled disabled".split())
 
 
-def _is_other(tag: str, attrs: str, in_core: bool) -> bool:
-    """Whether an element is marked as something other than the article's text."""
+def _marks(tag: str, attrs: str, in_core: bool) -> int:
+    """How an element is marked as something other than the article's text: 2 by its element or a name of its
+    own, 1 by part of a name, 0 not at all."""
     if tag in _SKIPPED or (tag == "header" and not in_core):
-        return True
+        return 2
     if not attrs or tag in ("html", "body") or tag in _CORE:
-        return False
-    words: set[str] = set()
+        return 0
+    found = 0
     for m in _NAMED.finditer(attrs):
-        words.update(re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()))
-    return not words.isdisjoint(_HINTS)
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            words = {w for w in re.split(r"[^a-z0-9]+", name) if w}
+            if not words.isdisjoint(_HINTS) and words.isdisjoint(_STATES):
+                found = max(found, 1 if len(words - _HINTS) else 2)
+    return found
+
+
+def _running(markup: str) -> int:
+    """Characters of text outside links."""
+    size = at = in_link = 0
+    for m in _TOKEN.finditer(markup):
+        if not in_link:
+            size += len(html.unescape(markup[at:m.start()]).strip())
+        at = m.end()
+        if (m[3] or "").lower() == "a":
+            in_link = m[2] != "/"
+    return size + (0 if in_link else len(html.unescape(markup[at:]).strip()))
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
+def page_lines(page: str, kept: frozenset[int] = frozenset()) -> tuple[list[tuple[str, int, bool, bool]], list[tuple[int, int]]]:
     """``(text, characters of it inside links, inside article or main, inside a list)`` per block, with an
-    empty line in the place of every skipped element."""
+    empty line in the place of every skipped element; and where the elements start and end that were skipped for
+    part of a name.  ``kept``: starts of elements that are not skipped for that."""
+    doubtful: list[tuple[int, int]] = []
+    doubt = -1
     lines: list[tuple[str, int, bool, bool]] = []
     parts: list[str] = []
     linked = in_link = core = listed = 0
@@ -95,6 +120,8 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
         if skip_depth and not (tag in _CORE and not closing and not core):
             if tag == skip_tag and not attrs.endswith("/"):
                 skip_depth += -1 if closing else 1
+                if not skip_depth and doubt >= 0:
+                    doubtful.append((doubt, m.start()))
             continue
         skip_depth = 0
         if tag in _BLOCKS or tag in _SKIPPED:
@@ -107,20 +134,32 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
             listed = max(0, listed + (-1 if closing else 1))
         elif tag == "a":
             in_link = 0 if closing else 1
-        if not closing and tag not in _VOID and not attrs.endswith("/") and _is_other(tag, attrs, core > 0):
+        mark = 0 if closing or tag in _VOID or attrs.endswith("/") else _marks(tag, attrs, core > 0)
+        if mark == 2 or (mark and m.start() not in kept):
             end_line()
             lines.append(("", 0, core > 0, listed > 0))
             skip_tag, skip_depth = tag, 1
+            doubt = m.start() if mark == 1 else -1
     if at < len(page) and not skip_depth:
         parts.append(re.sub(r"<[^>]*\Z", "", page[at:]))
+    elif skip_depth and doubt >= 0:
+        doubtful.append((doubt, len(page)))
     end_line()
-    return lines
+    return lines, doubtful
 
 
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    lines = page_lines(page)
+    lines, doubtful = page_lines(page)
+    kept: set[int] = set()
+    while doubtful and len(kept) < NESTED and not any(core for _, _, core, _ in lines):
+        left = sum(len(text) - linked for text, linked, _, _ in lines)
+        size, start = max((_running(page[a:b]), a) for a, b in doubtful)
+        if size <= left:
+            break
+        kept.add(start)
+        lines, doubtful = page_lines(page, frozenset(kept))
     has_core = any(core for _, _, core, _ in lines)
     # an article's own lines stand together; what is marked inside it leaves no gap
     lines = [x for x in lines if x[0] or (has_core and not x[2])]

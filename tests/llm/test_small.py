@@ -487,6 +487,27 @@ def test_main_text(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_main_text_in_elements_with_marking_names():
+    """Class words that tell a state, or name part of an element that holds the text, lose nothing."""
+    text = [f"Paragraph {i} of the story goes on for a while, so that it is long enough." for i in range(4)]
+    story = "".join(f"<p>{x}</p>" for x in text)
+    menu, notes = '<div class="menu"><p>Home and all of the other places to go</p></div>', '<div class="comments"><p>I say so.</p></div>'
+    for name in ("has-sidebar", "post no-comments", "widget-area-free", "alert-free story", "layout-sidebar", "page two-column_sidebar"):
+        assert html_text.main_text(f'<body>{menu}<div class="{name}">{story}</div>{notes}</body>') == "\n".join(text), name
+        nested = f'<body>{menu}<div class="{name}"><div class="wide-widget">{story}{notes}</div></div></body>'
+        assert html_text.main_text(nested) == "\n".join(text), name
+    article = f'<article><h1>Head</h1><div class="post comments-open">{story}</div>{notes}</article>'
+    assert html_text.main_text(f"<body>{menu}{article}</body>") == "\n".join(["Head", *text])
+    # what such a name marks beside the story is left out, as is a longer block whose own name says what it is
+    aside = '<div class="layout-sidebar"><p>Elsewhere on these pages, in short.</p></div>'
+    assert html_text.main_text(f"<body><div>{story}</div>{aside}</body>") == "\n".join(text)
+    long = '<div id="comments">' + "<p>A reader says a good deal about it, and then some more of it.</p>" * 20 + "</div>"
+    assert html_text.main_text(f"<body><div>{story}</div>{long}</body>") == "\n".join(text)
+    deep = '<div class="x-ad">' * 3_000 + story
+    assert html_text.main_text(deep) == ""
+    assert html_text.main_text(deep[-8 * len('<div class="x-ad">') - len(story):]) == "\n".join(text)
+
+
 def test_main_text_around_marked_blocks():
     first, second = "first words " * 40, "second words " * 30
     marked = '<div class="ad">Buy</div><aside>Side</aside><div class="share">Share</div>'
