@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import importance, merkle
+from . import chat, importance, merkle
 
 # --- CRC-32 of a list of bytes; the table follows from its polynomial ---------------------------------
 _CRC_TABLE = """(SELECT list(list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]),
@@ -98,4 +98,50 @@ RESAMPLE = f"""
     SELECT doc_id, n_features, weight, score,
            CASE WHEN n_words >= {importance.MIN_WORDS} AND place <= 5 * of // 100 THEN place END AS rank FROM o"""
 
-ORACLE = {"op11_merkle": MERKLE, "op12_resample": RESAMPLE}
+_WORD = r"[^\x20\x09-\x0D]+"
+QUALITY = rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT r, unnest(x) AS w, generate_subscripts(x, 1) AS i
+          FROM (SELECT r, regexp_extract_all(t, '{_WORD}') AS x FROM d)),
+    three AS (SELECT r, i, w || ' ' || lead(w, 1) OVER p || ' ' || lead(w, 2) OVER p AS g FROM w
+              WINDOW p AS (PARTITION BY r ORDER BY i)),
+    met AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM three WHERE g IS NOT NULL),
+    rep AS (SELECT r, count(DISTINCT i + k) AS n FROM met, range(3) q(k) WHERE met.n > 1 GROUP BY r),
+    f AS (SELECT r, count(*) AS n, sum(length(w)) AS chars, count_if(regexp_matches(w, '[\p{{L}}\p{{Nl}}\p{{No}}]')) AS lettered,
+                 count_if(length(w) > 1 AND w = upper(w) AND w <> lower(w)) AS shouted FROM w GROUP BY r),
+    l AS (SELECT r, count(*) AS n, count(*) - count(DISTINCT x) AS dup
+          FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '{_WORD}') GROUP BY r),
+    c AS (SELECT doc_id, coalesce(f.n, 0) AS n_words, CAST(coalesce(f.chars, 0) AS BIGINT) AS word_chars,
+                 length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.dup, 0) AS n_dup_lines,
+                 coalesce(rep.n, 0) AS n_repeat_words, coalesce(lettered, 0) AS lettered, coalesce(shouted, 0) AS shouted,
+                 coalesce(l.n, 0) AS n_lines
+          FROM d LEFT JOIN f USING (r) LEFT JOIN l USING (r) LEFT JOIN rep USING (r)),
+    b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND 4 * n_symbols <= n_words AND word_chars BETWEEN 2 * n_words AND 20 * n_words
+           AND 10 * lettered >= 6 * n_words AND 2 * shouted <= n_words AND 2 * n_dup_lines <= n_lines AS kept
+    FROM b"""
+
+
+def _escaped_length(value: str) -> str:
+    """Characters of an escaped text: each of the escaped ones becomes two."""
+    return f"2 * length({value}) - length(regexp_replace({value}, '[{_ESCAPED}]', '', 'g'))"
+
+
+_ESCAPED = "".join("\\" + raw for raw, _ in chat.ESCAPES)
+_FIXED = len(chat.TURN_OPEN + chat.TURN_CLOSE + chat.TURN_END)
+CHAT = f"""
+    WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+    s AS (SELECT *, row_number() OVER p AS n, role = '{chat.TRAINABLE}' AS trained,
+                 {_FIXED} + {_escaped_length('role')} + {_escaped_length('text')} AS chars,
+                 count(*) OVER (PARTITION BY conv_id) AS turns
+          FROM t WINDOW p AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+    e AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY n) AS upto FROM s)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (trained), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (trained), '')) AS loss_sha256,
+           CAST(sum(upto) FILTER (trained OR n = turns) AS BIGINT) AS formatted_chars
+    FROM e GROUP BY conv_id"""
+
+ORACLE = {"op2_quality": QUALITY, "op4_chat": CHAT, "op11_merkle": MERKLE, "op12_resample": RESAMPLE}

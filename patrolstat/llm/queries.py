@@ -21,7 +21,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.cascade(read(spark, sf_dir, "documents").select("doc_id", "text"), features=quality.BASE_COLUMNS)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return judged.select("doc_id", *quality.BASE_COLUMNS, failed.alias("base_failed"),
-                         F.col("failed_rule").isNull().alias("kept"), "failed_rule")
+                         F.col("failed_rule").isNull().alias("kept"))
 
 
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
