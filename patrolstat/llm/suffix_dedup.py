@@ -19,9 +19,12 @@ too, in the same document or another.  Matches never cross documents.
    and the last repeated one bound what goes.
 4. The intervals meet the texts in one join, and the rest is put together.
 
-Hot anchors: equal contexts are one row before any shuffle; an anchor hash with
-more than ``HOT`` different contexts is not gathered but takes its windows apart,
-counted by hash in a plain aggregation (exact too).
+Hot anchors: equal contexts are one row before any shuffle.  A group of more than
+``HOT`` different contexts is split by the next bytes: windows that start ``low``
+to ``high`` bytes before the anchor can be equal only where the last ``low`` bytes
+before it and the first ``LENGTH - high`` from it on are, so each half of the
+distances gets groups of its own by those bytes.  Halves are split again until a
+group is small, or has one distance left: then its members have one equal window.
 
 Defined results: a null text is empty; documents shorter than ``LENGTH`` keep
 everything; repeated rows are documents that repeat each other; null ids are
@@ -46,7 +49,7 @@ from .wordhash import mixed
 
 LENGTH = 200
 GRAM = 32
-HOT = 50_000
+HOT = 2_000
 BATCH = 20_000
 _PIECE = 1 << 20
 _P = 0x9E3779B97F4A7C15
@@ -167,25 +170,31 @@ def _contexts(texts: DataFrame, wanted: DataFrame, length: int, gram: int) -> Da
     return found.join(wanted.select("rid", "at", "n"), ["rid", "at"]).dropDuplicates(["key", "ctx"]).drop("rid", "at")
 
 
-def repeated_windows(keys: np.ndarray, before: list[bytes], after: list[bytes], length: int,
-                     gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """For contexts sorted by key: the smallest and largest distance of a window's start before its
-    anchor for which another context of the key has an equal window (-1 where there is none)."""
-    n = len(keys)
-    reach = length - gram
-    bounds = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
+def repeated_windows(groups: np.ndarray, before: list[bytes], after: list[bytes], length: int,
+                     low: list[int], high: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """For contexts sorted by group: the smallest and largest distance of a window's start before its
+    anchor, from ``low`` to ``high``, for which another context of the group has an equal window (-1: none)."""
+    n = len(groups)
+    bounds = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1], [True])))
     back = [x[::-1] for x in before]
     ranks = np.zeros((2, n), np.int64)
     lcps = np.full((2, n), -1, np.int64)
     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        group = list(range(lo, hi))
-        for side, strings in enumerate((after, back)):
-            order, lcp = deep_shallow_sort(strings, start=0, group=group)
-            ranks[side, lo:hi] = order
-            lcps[side, lo:hi] = lcp
+        # groups are hashes: what the members must share is looked at before sorting starts behind it
+        shared: dict[tuple[bytes, bytes], list[int]] = {}
+        for i in range(lo, hi):
+            shared.setdefault((back[i][: low[i]], after[i][: length - high[i]]), []).append(i)
+        at = lo
+        for (head_back, head_after), members in shared.items():
+            for side, strings, head in ((0, after, head_after), (1, back, head_back)):
+                order, lcp = deep_shallow_sort(strings, start=len(head), group=members)
+                ranks[side, at: at + len(members)] = order
+                lcps[side, at: at + len(members)] = lcp
+            at += len(members)
     first, last = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
     by_after, by_before = np.empty(n, np.int64), np.empty(n, np.int64)
-    for s in range(reach + 1):
+    least, most = np.array(low, np.int64), np.array(high, np.int64)
+    for s in range(min(low, default=0), max(high, default=-1) + 1):
         by_after[ranks[0]] = np.cumsum(lcps[0] < length - s)
         by_before[ranks[1]] = np.cumsum(lcps[1] < s)
         window = by_after * (n + 1) + by_before
@@ -194,23 +203,30 @@ def repeated_windows(keys: np.ndarray, before: list[bytes], after: list[bytes],
         twin = np.zeros(n, bool)
         twin[order[1:][same]] = True
         twin[order[:-1][same]] = True
+        twin &= (least <= s) & (s <= most)
         first[twin & (first < 0)] = s
         last[twin] = s
     return first, last
 
 
-def _sorted_intervals(contexts: DataFrame, length: int, gram: int) -> DataFrame:
-    """``key, ctx, lo, hi`` (relative to the anchor) of contexts, keys gathered in one place each."""
+def _grouped(contexts: DataFrame, length: int) -> DataFrame:
+    """``contexts`` (with ``low, high``) plus ``part``: equal for contexts that may share a window at those distances."""
+    return contexts.withColumn("part", F.expr(
+        f"xxhash64(key, low, substring(before, length(before) - low + 1, low), substring(after, 1, {length} - high))"))
+
+
+def _sorted_intervals(grouped: DataFrame, length: int, gram: int) -> DataFrame:
+    """``key, ctx, lo, hi`` (relative to the anchor) of contexts, groups gathered in one place each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(rows: list[tuple]) -> pa.RecordBatch:
-            keys = np.array([r[0] for r in rows], np.int64)
-            first, last = repeated_windows(keys, [r[3] for r in rows], [r[4] for r in rows], length, gram)
-            full = np.array([r[2] > 1 for r in rows], bool)
+            group, keys, ctx, n, low, high, before, after = zip(*rows)
+            first, last = repeated_windows(np.array(group, np.int64), list(before), list(after), length, list(low), list(high))
+            full = np.array(n, np.int64) > 1
             lo = np.where(full, gram - length, -last)
             hi = np.where(full, length, length - first)
             keep = full | (first >= 0)
             return pa.RecordBatch.from_arrays(
-                [pa.array(keys[keep]), pa.array(np.array([r[1] for r in rows], np.int64)[keep]),
+                [pa.array(np.array(keys, np.int64)[keep]), pa.array(np.array(ctx, np.int64)[keep]),
                  pa.array(lo[keep]), pa.array(hi[keep])], ["key", "ctx", "lo", "hi"])
 
         held: list[tuple] = []
@@ -218,7 +234,7 @@ def _sorted_intervals(contexts: DataFrame, length: int, gram: int) -> DataFrame:
             held += zip(*[c.to_pylist() for c in b.columns])
             if len(held) >= BATCH:
                 end = len(held)
-                while end and held[end - 1][0] == held[-1][0]:  # the last key may go on
+                while end and held[end - 1][0] == held[-1][0]:  # the last group may go on
                     end -= 1
                 if end:
                     yield done(held[:end])
@@ -226,30 +242,47 @@ def _sorted_intervals(contexts: DataFrame, length: int, gram: int) -> DataFrame:
         if held:
             yield done(held)
 
-    return (contexts.select("key", "ctx", "n", "before", "after").repartition("key").sortWithinPartitions("key")
-            .mapInArrow(run, "key long, ctx long, lo long, hi long"))
-
-
-def _hot_intervals(contexts: DataFrame, length: int, gram: int) -> DataFrame:
-    """The same for hot keys, without gathering them: windows counted by hash."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for key, ctx, before, after in zip(*[c.to_pylist() for c in b.columns]):
-                data, at = before + after, len(before)
-                rows += [(key, ctx, s, xxhash.xxh3_64_intdigest(data[at - s: at - s + length]) - (1 << 63))
-                         for s in range(max(0, length - len(after)), min(length - gram, at) + 1)]
-            cols = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["key", "ctx", "s", "window"])
-
-    windows = cut(contexts.select("key", "ctx", "before", "after").mapInArrow(run, "key long, ctx long, s long, window long"))
-    twice = windows.groupBy("key", "s", "window").count().filter("count > 1").drop("count")
-    found = (windows.join(twice, ["key", "s", "window"], "left_semi").groupBy("key", "ctx")
-             .agg(F.min("s").alias("first"), F.max("s").alias("last")))
-    more = contexts.select("key", "ctx", "n").join(found, ["key", "ctx"], "left")
-    return more.filter("n > 1 or first is not null").select(
-        "key", "ctx", F.when(F.col("n") > 1, gram - length).otherwise(-F.col("last")).cast("long").alias("lo"),
-        F.when(F.col("n") > 1, length).otherwise(length - F.col("first")).cast("long").alias("hi"))
+    return (grouped.select("part", "key", "ctx", "n", "low", "high", "before", "after").repartition("part")
+            .sortWithinPartitions("part").mapInArrow(run, "key long, ctx long, lo long, hi long"))
+
+
+def _halves(grouped: DataFrame, length: int) -> DataFrame:
+    """Each context once for either half of its distances, if it has windows there, in the groups of that half."""
+    halves = grouped.withColumn("half", F.explode(F.expr(
+        "array(struct(low as low, int(div(low + high, 2)) as high), struct(int(div(low + high, 2) + 1) as low, high as high))")))
+    halves = halves.select("key", "ctx", "n", "half.low", "half.high", "before", "after")
+    return _grouped(halves.filter(f"length(before) >= low and length(after) >= {length} - high"), length)
+
+
+def context_intervals(contexts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+    """``key, ctx, lo, hi``: the bytes round an anchor that windows equal to another context's cover.
+
+    Groups of more than ``hot`` contexts are split until they are smaller; that takes as many rounds as
+    halving ``length - gram`` distances, and only the contexts of such groups go on.
+    """
+    spark = contexts.sparkSession
+    todo = cut(_grouped(contexts.select("key", "ctx", "n", F.lit(0).alias("low"), F.lit(length - gram).alias("high"),
+                                        "before", "after"), length))
+    found: DataFrame | None = None
+    while True:
+        large = cut(todo.groupBy("part").count().filter(F.col("count") > max(hot, 1)).select("part"))
+        any_large = bool(large.limit(1).count())
+        now = _sorted_intervals(todo.join(large, "part", "left_anti") if any_large else todo, length, gram)
+        if any_large:
+            single = todo.join(large, "part", "left_semi").filter("low = high")
+            now = now.unionByName(single.select(
+                "key", "ctx", F.expr(f"if(n > 1, {gram - length}, -low)").cast("long").alias("lo"),
+                F.expr(f"if(n > 1, {length}, {length} - low)").cast("long").alias("hi")))
+        now = cut(now)
+        found = now if found is None else found.unionByName(now)
+        if not any_large:
+            discard(todo, large)
+            release(spark)
+            return found.groupBy("key", "ctx").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        split = cut(_halves(todo.join(large, "part", "left_semi").filter("low < high"), length))
+        discard(todo, large)
+        release(spark)
+        todo = split
 
 
 def intervals(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -264,14 +297,8 @@ def intervals(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int
     wanted = cut(met.filter("several").groupBy("key", "ctx")
                  .agg(F.min(F.struct("rid", "at")).alias("one"), F.count("*").alias("n"))
                  .select("key", "ctx", "n", "one.rid", "one.at"))
-    sizes = wanted.groupBy("key").count().filter(F.col("count") > hot).select("key")
-    contexts = cut(_contexts(texts, wanted, length, gram))
-    release(spark)  # ``wanted`` is read again for the hot keys
-    found = _sorted_intervals(contexts.join(sizes, "key", "left_anti"), length, gram)
-    if sizes.limit(1).count():
-        found = found.unionByName(_hot_intervals(contexts.join(sizes, "key", "left_semi"), length, gram))
-    found = cut(found)
-    discard(contexts, wanted)
+    found = cut(context_intervals(_contexts(texts, wanted, length, gram), length, gram, hot))
+    discard(wanted)
     release(spark)
     whole = met.filter("not several").select("rid", "at", F.lit(gram - length).cast("long").alias("lo"),
                                              F.lit(length).cast("long").alias("hi"))

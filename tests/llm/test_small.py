@@ -328,7 +328,7 @@ def removed(docs, length):
     return Counter(out)
 
 
-@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 1])
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 4, 1])
 def test_repeats_are_removed_exactly(docs, empty, hot):
     got = suffix_dedup.remove_repeats(docs, length=40, gram=12, hot=hot)
     assert got.columns[: len(docs.columns)] == docs.columns
@@ -337,6 +337,18 @@ def test_repeats_are_removed_exactly(docs, empty, hot):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_a_gram_in_many_contexts_is_split_not_gathered(spark):
+    rng = random.Random(5)
+    gram = "0123456789ab"
+    texts = ["".join(rng.choice("xy") for _ in range(rng.randint(0, 30))) + gram * rng.randint(1, 2)
+             + "".join(rng.choice("xy") for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = removed([t.encode() for t in texts], 24)
+    for hot in (1_000, 20, 1):
+        got = suffix_dedup.remove_repeats(docs, length=24, gram=12, hot=hot)
+        assert Counter((r.n_bytes, sum(x.end - x.start for x in r.removed), bytes(r.kept)) for r in got.collect()) == want
+
+
 # 6 ---------------------------------------------------------------------------------------------------
 def test_personal_data(spark):
     texts = [None, "", "mail a.b@c-d.example.org, x@y or b.c_d@e.f@g.h", "ip 10.0.0.255 10.0.0.256 1.2.3.4.5.6.7.8 001.02.3.4",
