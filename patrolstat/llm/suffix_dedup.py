@@ -23,8 +23,9 @@ Hot anchors: equal contexts are one row before any shuffle.  A group of more tha
 ``HOT`` different contexts is split by the next bytes: windows that start ``low``
 to ``high`` bytes before the anchor can be equal only where the last ``low`` bytes
 before it and the first ``LENGTH - high`` from it on are, so each half of the
-distances gets groups of its own by those bytes.  Halves are split again until a
-group is small, or has one distance left: then its members have one equal window.
+distances gets groups of its own by those bytes.  Contexts that agree in all
+bytes these distances can reach are repeated there as a whole and go on as one
+row, so what is split again are different contexts only, until a group is small.
 
 Defined results: a null text is empty; documents shorter than ``LENGTH`` keep
 everything; repeated rows are documents that repeat each other; null ids are
@@ -49,8 +50,8 @@ from .wordhash import mixed
 
 LENGTH = 200
 GRAM = 32
-HOT = 2_000
 BATCH = 20_000
+HOT = BATCH
 _PIECE = 1 << 20
 _P = 0x9E3779B97F4A7C15
 
@@ -247,11 +248,16 @@ def _sorted_intervals(grouped: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _halves(grouped: DataFrame, length: int) -> DataFrame:
-    """Each context once for either half of its distances, if it has windows there, in the groups of that half."""
+    """Each context once for either half of its distances, if it has windows there, in the groups of that half;
+    ``whole`` is equal for contexts with the same windows at all of these distances."""
     halves = grouped.withColumn("half", F.explode(F.expr(
         "array(struct(low as low, int(div(low + high, 2)) as high), struct(int(div(low + high, 2) + 1) as low, high as high))")))
     halves = halves.select("key", "ctx", "n", "half.low", "half.high", "before", "after")
-    return _grouped(halves.filter(f"length(before) >= low and length(after) >= {length} - high"), length)
+    halves = _grouped(halves.filter(f"low <= high and length(before) >= low and length(after) >= {length} - high"), length)
+    reach = "least(high, length(before))"
+    return halves.withColumn("whole", F.expr(
+        f"xxhash64(key, low, high, {reach}, substring(before, length(before) - {reach} + 1, {reach}), "
+        f"substring(after, 1, {length} - low))"))
 
 
 def context_intervals(contexts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -264,25 +270,26 @@ def context_intervals(contexts: DataFrame, length: int = LENGTH, gram: int = GRA
     todo = cut(_grouped(contexts.select("key", "ctx", "n", F.lit(0).alias("low"), F.lit(length - gram).alias("high"),
                                         "before", "after"), length))
     found: DataFrame | None = None
-    while True:
+    for more in range(length.bit_length(), -1, -1):
         large = cut(todo.groupBy("part").count().filter(F.col("count") > max(hot, 1)).select("part"))
-        any_large = bool(large.limit(1).count())
-        now = _sorted_intervals(todo.join(large, "part", "left_anti") if any_large else todo, length, gram)
-        if any_large:
-            single = todo.join(large, "part", "left_semi").filter("low = high")
-            now = now.unionByName(single.select(
-                "key", "ctx", F.expr(f"if(n > 1, {gram - length}, -low)").cast("long").alias("lo"),
-                F.expr(f"if(n > 1, {length}, {length} - low)").cast("long").alias("hi")))
-        now = cut(now)
+        split_on = more > 0 and bool(large.limit(1).count())
+        now = cut(_sorted_intervals(todo.join(large, "part", "left_anti") if split_on else todo, length, gram))
         found = now if found is None else found.unionByName(now)
-        if not any_large:
-            discard(todo, large)
-            release(spark)
-            return found.groupBy("key", "ctx").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        split = cut(_halves(todo.join(large, "part", "left_semi").filter("low < high"), length))
-        discard(todo, large)
+        if not split_on:
+            break
+        split = cut(_halves(todo.join(large, "part", "left_semi"), length))
+        classes = cut(split.groupBy("part", "whole").agg(
+            F.min_by(F.struct("key", "ctx", "n", "low", "high", "before", "after"), "ctx").alias("one"), F.count("*").alias("members")))
+        alike = split.join(classes.filter("members > 1").select("part", "whole"), ["part", "whole"], "left_semi")
+        found = found.unionByName(cut(alike.select(
+            "key", "ctx", F.expr(f"if(n > 1, {gram - length}, -least(high, length(before)))").cast("long").alias("lo"),
+            F.expr(f"if(n > 1, {length}, {length} - greatest(low, {length} - length(after)))").cast("long").alias("hi"))))
+        discard(todo, large, split)
         release(spark)
-        todo = split
+        todo = classes.select("part", "one.*")
+    discard(todo, large)
+    release(spark)
+    return found.groupBy("key", "ctx").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
 def intervals(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
