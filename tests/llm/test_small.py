@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 
 from patrolstat.llm import (ann, chat, components, deep_shallow, html_text, jaccard, mixing, mixing_lm, pieces, pii, quality,
-                            suffix_dedup)
+                            queries, suffix_dedup)
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, TEXT_LEN int, `a b` string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -306,6 +306,40 @@ def test_chat_is_read_back_without_prefixes(spark):
     assert r.loss_sha256 == hashlib.sha256((said * n).encode()).hexdigest()
 
 
+def test_chat_examples_are_written_whole(spark):
+    rows = [(c, i, r, f"{c} <|end|> [{i}] ~ é😀" * (i % 4)) for c in (1, 2, None) for i, r in enumerate(["system"] + ["user", "assistant"] * 6 + ["user"])]
+    rows += [(3, 0, "assistant", "x" * 200), (3, 1, "user", "y"), (4, 0, "user", "only")]
+    rendered = chat.render(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    want = {(e.conv_id, e.example): (e.text, e.loss_start, e.loss_end) for e in chat.expand(rendered).collect()}
+    digests = Counter(map(tuple, chat.read_back(chat.expand(rendered)).collect()))
+    for part_chars in (1, 40, 100, chat.PART_CHARS):
+        written = chat.written(rendered, chat.examples(rendered), part_chars).cache()
+        got = {}
+        for e in sorted(written.collect(), key=lambda e: e.part):
+            text, *_ = got.get((e.conv_id, e.example), ("",))
+            assert e.start == len(text)
+            got[e.conv_id, e.example] = (text + e.text, e.loss_start, e.loss_end)
+        assert got == want and (part_chars < 1000 or written.count() == len(want))
+        assert Counter(map(tuple, chat.read_written(written).collect())) == digests
+        # what is read back is the texts: a context changed in the output shows
+        other = written.withColumn("text", chat.F.replace("text", chat.F.lit("only"), chat.F.lit("other")))
+        changed = Counter(map(tuple, chat.read_written(other).collect())) - digests
+        assert [r[0] for r in changed] == [4] and [r[5] for r in changed] == [len(want[4, 0][0]) + 1]
+        written.unpersist()
+
+
+def test_chat_query_writes_its_examples(spark, monkeypatch, scratch):
+    rows = [(1, 0, "user", "q" * 60), (1, 1, "assistant", "a"), (1, 2, "user", "b"), (1, 3, "assistant", "c")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{scratch}/conversations.parquet")
+    seen, whole = [], chat.written
+    monkeypatch.setattr(chat, "written", lambda *a: seen.append(whole(*a)) or seen[0])
+    got = {r.conv_id: r for r in queries.op4_chat(spark, str(scratch)).collect()}
+    texts = Counter()
+    for e in seen[0].collect():
+        texts[e.conv_id] += len(e.text)
+    assert texts == {c: r.formatted_chars for c, r in got.items()} and texts[1] > 2 * 60
+
+
 # 5 ---------------------------------------------------------------------------------------------------
 def test_deep_shallow_sort():
     rng = random.Random(1)
