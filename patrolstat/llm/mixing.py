@@ -199,28 +199,21 @@ def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     names = [f"_c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
     col = dict(zip([c.lower() for c in docs.columns], names))
+    # written with a number for every row: the way back is a join on it, which moves the texts once
     full = cut(_prepared(plain, col[doc_id.lower()], col[text.lower()], col[source.lower()],
-                         [F.col(n) for n in names]))
+                         [F.col(n) for n in names]).withColumn("_row", F.monotonically_increasing_id()))
     targets = cut(source_targets(full.select("_src", "_size"), block_words=block_words))
-    keys = ["_id", "_src", "_mark", "_size"]
-    # equal rows are numbered apart by their offsets, so the join back is on (row key, ordinal among equals)
-    ordinal = Window.partitionBy(*keys).orderBy("_at")
-    placed = cut(_placed(full.select(*keys), targets, BUCKET_ROWS))
+    placed = cut(_placed(full.select("_row", "_id", "_src", "_mark", "_size"), targets, BUCKET_ROWS))
     runs = (_blocks(placed, block_words).join(draw_slots(targets, shard_slots, seed=seed).hint("merge"), ["sid", "block"])
             .groupBy("sid", "_at", "pass").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("runs"),
                                                F.sum(F.col("hi") - F.col("lo")).alias("n")))
-    taken = (placed.filter("_size > 0").withColumn("_nth", F.row_number().over(ordinal))
-             .select(*keys, "_nth", "sid", "_at").join(runs.hint("merge"), ["sid", "_at"])
-             .select(*[F.col(k).alias(f"t{k}") for k in keys], "_nth", "pass", "runs", "n"))
-    mine = full.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))))
-    match = (F.col("_nth") == F.col("t_nth")) & F.col("_mark").eqNullSafe(F.col("t_mark"))
-    for k in ("_id", "_src", "_size"):
-        match = match & F.col(k).eqNullSafe(F.col(f"t{k}"))
+    taken = (placed.filter("_size > 0").select("_row", "_size", "sid", "_at").join(runs.hint("merge"), ["sid", "_at"])
+             .select("_row", "runs", (F.col("n") == F.col("_size")).alias("_all")))
     t = F.col(col[text.lower()])
     words = F.regexp_extract_all(t, F.lit(r"(?:^[\x20\x09-\x0D]+)?" + WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    out = (mine.join(taken.withColumnRenamed("_nth", "t_nth").hint("merge"), match)
+    out = (full.select(*names, "_row").join(taken.hint("merge"), "_row")
            .withColumn("_words", words)
-           .withColumn("_new", F.when(F.col("n") == F.col("_size"), t).otherwise(F.array_join(F.flatten(F.transform(
+           .withColumn("_new", F.when(F.col("_all"), t).otherwise(F.array_join(F.flatten(F.transform(
                "runs", lambda r: F.slice("_words", (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int")))), ""))))
     chars = col.get("n_chars")
     cols = [F.col("_new").alias(o) if n == col[text.lower()]

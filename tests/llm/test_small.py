@@ -678,6 +678,26 @@ def test_mixed_documents(docs, empty):
     assert sum(n.values()) == sum(r.taken for r in mixing.mix(docs).collect())
 
 
+def test_mix_moves_texts_once(docs, capsys):
+    made = mixing.mix_documents(docs)
+    capsys.readouterr()
+    made.explain(mode="formatted")
+    moved = re.findall(r"^\(\d+\) Exchange\s*\n(?:Input|Output) \[\d+\]: (.*)$", capsys.readouterr().out, re.M)
+    text = f"_c{docs.columns.index('text')}#"
+    assert len(moved) > 3 and sum(text in columns for columns in moved) == 1
+
+
+def test_mixed_rows_keep_their_own_columns(spark):
+    """Rows equal in id, source and text are told apart: every row goes with its own other columns, at most once a pass."""
+    rows = [(1 if i % 3 else None, f"word{i % 2} " * 40, "s", i) for i in range(60)]
+    out = mixing.mix_documents(spark.createDataFrame(rows, "doc_id long, text string, source string, mine int"))
+    taken = Counter()
+    for r in out.collect():
+        assert r.doc_id == rows[r.mine][0] and r.text in rows[r.mine][1]
+        taken[r.mine] += len(WORD.findall(r.text))
+    assert max(taken.values()) <= 2 * 40 and abs(sum(taken.values()) - 1.5 * 60 * 40) <= 4 * mixing.BLOCK_WORDS
+
+
 def test_permutation(spark):
     for n in (1, 2, 7, 100):
         df = spark.range(n).select(mixing.permuted(mixing.F.col("id"), mixing.F.lit(n), mixing.F.lit(3)).alias("p"))
