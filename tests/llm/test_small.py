@@ -165,6 +165,47 @@ def test_context_counts_are_exact(spark):
     assert known > 2_000
 
 
+def test_places_and_turned_codes():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(97, 101, n).astype(np.uint8) for n in (0, 1, 40, 700)] * 2
+    anchors, times = mixing_lm._anchors(texts)
+    keys, places = mixing_lm._places(texts, anchors[times > 1])
+    assert (keys == mixing_lm._pairs(texts, anchors[times > 1])[0]).all()
+    at = 0
+    for piece in mixing_lm._pieces(texts):
+        for place, (key, own) in zip(places, mixing_lm._piece_keys(piece, anchors[times > 1])):
+            mine = place[at: at + len(key)]
+            own = np.ones(len(key), bool) if own is None else own
+            assert (keys[mine[own]] == key[own]).all() and (mine[~own] == len(keys)).all()
+        at += len(key)
+    coder, codes = mixing_lm.Coder(mixing_lm.prefix_code(np.arange(256))), rng.integers(0, 256, 5_000).astype(np.uint8)
+    symbols = np.repeat(np.arange(256), 2)
+    codes = codes[: coder.length[symbols].sum()]
+    assert (mixing_lm._turn(coder, symbols, mixing_lm._turn(coder, symbols, codes)) == codes).all()
+    # a path taken by all counts of its context looks the same at every node
+    keys, counts = np.arange(256, dtype=np.uint64) * np.uint64(257), np.full(256, 3)
+    path, _ = mixing_lm._path_codes(coder, keys, counts)
+    assert len(set(mixing_lm._turn(coder, np.arange(256), path).tolist())) == 1
+
+
+def test_base_counts_words_as_groups_ask(spark, monkeypatch):
+    """Words are asked for by group: what is written is by group, with no row for a word of a text."""
+    monkeypatch.setattr(mixing_lm, "GROUP_BYTES", 400)
+    written, cut = [], mixing_lm.cut
+    monkeypatch.setattr(mixing_lm, "cut", lambda df: written.append(df.columns) or cut(df))
+    rows = [(i, f"one two Two w{i} w{i % 3}") for i in range(60)] + [(60, None), (None, "one")]
+    got = mixing_lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    train = [(t or "").lower().split() for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    seen = Counter(w for t in train for w in t)
+    n, v = sum(seen.values()) + len(train), len(seen) + 1
+    assert {r.train_tokens for r in got} == {n} and len(got) == len(rows)
+    assert all("gid" in columns or "score" in columns for columns in written)
+    for r in got:
+        words = (dict(rows)[r.doc_id] or "").lower().split()
+        base = sum(math.log10((c + 1) / (n + v + 1)) for c in [*(seen[w] for w in words), len(train)])
+        assert (r.n_tokens, r.n_known) == (len(words) + 1, sum(seen[w] > 0 for w in words) + 1) and abs(r.base_score - base) < 1e-9
+
+
 def test_blocks_start_short():
     ends = np.arange(1, 5001) * 3
     edges = mixing_lm._edges(ends)
