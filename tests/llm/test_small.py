@@ -188,6 +188,67 @@ def test_places_and_turned_codes():
     assert len(set(mixing_lm._turn(coder, np.arange(256), path).tolist())) == 1
 
 
+def test_keys_are_ranked_whatever_their_parts():
+    rng = np.random.default_rng(6)
+    key = rng.integers(0, 1 << 62, 150_000, dtype=np.uint64)[rng.integers(0, 150_000, 150_000)]
+    key[:100_000] = (key[0] >> np.uint64(17) << np.uint64(17)) + rng.integers(0, 1 << 17, 100_000).astype(np.uint64)  # one hot part
+    for n, bits in ((0, 62), (1, 62), (150_000, 62), (150_000, 40)):
+        found, place = mixing_lm._ranked(key[:n] >> np.uint64(62 - bits), bits)
+        want, where = np.unique(key[:n] >> np.uint64(62 - bits), return_inverse=True)
+        assert (found == want).all() and (place == where).all()
+
+
+def test_texts_are_mixed_side_by_side_as_alone():
+    """Texts of one to many blocks, together: each the same bits, weights and refinement as alone."""
+    rng = np.random.default_rng(7)
+    logits, parts = mixing_lm._tables()[0], []
+    for n in (1, 129, 5_000, 128, 900):
+        times = rng.integers(1, 20, n)
+        bit = rng.integers(0, 2, times.sum()).astype(np.uint8)
+        codes = rng.integers(0, 256, (mixing_lm.CONTEXTS, len(bit))).astype(np.uint8)
+        parts.append((np.where(rng.random(codes.shape) < 0.3, 0, codes).astype(np.uint8), bit, mixing_lm._edges(np.cumsum(times))))
+    together, alone = ([mixing_lm.Mixer(*mixing_lm.start_weights()) for _ in parts] for _ in range(2))
+    got = mixing_lm._log2(together, parts, logits)
+    for k, (codes, bit, edges) in enumerate(parts):
+        assert alone[k].log2(logits.take(codes), bit, edges) == got[k]
+        assert (alone[k].w == together[k].w).all() and (alone[k].apm == together[k].apm).all()
+        # and as block by block, by the definition
+        w, apm = mixing_lm.start_weights()
+        x, at, total = logits.take(codes).astype(float), 0, 0.0
+        for end in edges:
+            xs, y = x[:, at:end], bit[at:end].astype(float)
+            gate = (xs != 0).sum(axis=0)
+            t = np.clip((w[gate].T * xs).sum(axis=0), -11.9, 11.9)
+            p, cell = 1 / (1 + np.exp(-t)), (t * 32 / 24 + 16.5).astype(int)
+            q = (p + apm[gate, cell]) / 2
+            total += np.log2(np.maximum(np.where(y == 1, q, 1 - q), 2.0 ** -16)).sum()
+            for g in range(len(w)):
+                w[g] += mixing_lm.RATE / np.sqrt(end - at) * (xs[:, gate == g] @ (y - p)[gate == g])
+                for c in range(mixing_lm.BUCKETS):
+                    met = (gate == g) & (cell == c)
+                    if met.any():
+                        apm[g, c] += (1 - (1 - mixing_lm.APM_RATE) ** met.sum()) * (y[met].mean() - apm[g, c])
+            at = end
+        assert abs(total - got[k]) < 1e-3 * abs(total)
+
+
+def test_passages_keep_their_order_in_buckets():
+    """Passages are dealt by ranges of their hash: a group's answers come in the order of its keys, with few far steps to pack."""
+    rng = np.random.default_rng(9)
+    tag = np.uint64(len(mixing_lm.ORDERS) << mixing_lm.TAG)
+    keys = np.unique(np.concatenate((rng.integers(0, 1 << 24, 500, dtype=np.uint64), rng.integers(0, 1 << 62, 4_000, dtype=np.uint64) | tag)))
+    for buckets in (1, 7, 300):
+        order, ends = mixing_lm._dealt(keys, buckets)
+        assert sorted(order.tolist()) == [*range(len(keys))] and len(ends) == buckets and ends[-1] == len(keys)
+        passages = order[keys[order] >= tag]
+        assert (np.diff(passages) == 1).all()
+        bucket = np.searchsorted(ends, np.arange(len(keys)), "right")
+        of: dict = {}
+        for key, b in zip((keys[order] >> np.uint64(22)).tolist(), bucket.tolist()):
+            if key >= int(tag) >> 22:
+                assert of.setdefault(key, b) == b
+
+
 def test_base_counts_words_as_groups_ask(spark, monkeypatch):
     """Words are asked for by group: what is written is by group, with no row for a word of a text."""
     monkeypatch.setattr(mixing_lm, "GROUP_BYTES", 400)
